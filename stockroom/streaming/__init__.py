@@ -1,0 +1,6 @@
+"""Streaming surface: intentionally empty.
+
+The engine reproduces a batch job: three Parquet inputs in, six Parquet tables out, over a
+closed period. It has no stream source, watermark, stateful operator or streaming sink, so
+this package holds no operators; every computation is a batch DataFrame plan.
+"""
