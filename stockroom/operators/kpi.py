@@ -58,15 +58,15 @@ def units_sold(sales: DataFrame, by: str) -> DataFrame:
 
 
 def interval_years(intervals: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Split each interval by calendar year: (Year, keys, StockDays = Stock x days inside the year).
+    """Split each interval by calendar year: (Year, keys, Days inside the year, StockDays = Stock x Days).
 
-    Equal to summing the daily rows of the interval per year, without exploding the days:
-    an interval yields one row per calendar year it touches.
+    Equal to counting and summing the daily rows of the interval per year, without exploding
+    the days: an interval yields one row per calendar year it touches.
     """
     years = F.explode(F.sequence(F.year("StartDate"), F.year("EndDate"))).alias("Year")
     per_year = intervals.select(*keys, "StartDate", "EndDate", "Stock", years)
     days = overlap_days("StartDate", "EndDate", year_first_day("Year"), year_last_day("Year"))
-    return per_year.select("Year", *keys, (F.col("Stock") * days).alias("StockDays"))
+    return per_year.select("Year", *keys, days.alias("Days"), (F.col("Stock") * days).alias("StockDays"))
 
 
 def stock_days(intervals: DataFrame, by: str) -> DataFrame:
@@ -147,7 +147,7 @@ def kpi_facts(
     d = _facts(
         interval_years(family_intervals, ["StoreId", "Family"]),
         StockDays=F.col("StockDays").cast("long"),
-        StockRows=F.lit(1).cast("long"),
+        StockRows=F.col("Days").cast("long"),  # (key, day) rows with positive stock
     )
     return s.unionByName(c).unionByName(d)
 

@@ -27,6 +27,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stockroom import schemas
 from stockroom.config import (
     BUSINESS_PERIOD,
     DEFAULT_BROADCAST_MAX_BYTES,
@@ -147,7 +148,12 @@ def run_pipeline(
             ),
         )
         if "interval_stock" in wanted:
-            step("interval_stock", lambda: write_table(root_iv, f"{out}/interval_stock.parquet", timestamp_output))
+            step(
+                "interval_stock",
+                lambda: write_table(
+                    root_iv, f"{out}/interval_stock.parquet", timestamp_output, contract=schemas.INTERVAL_STOCK
+                ),
+            )
         if "daily_stock" in wanted:
 
             def write_daily() -> None:
@@ -157,6 +163,7 @@ def run_pipeline(
                     densify_daily(root_iv, ROOT_GRAIN, partitions=tasks),
                     f"{out}/daily_stock.parquet",
                     timestamp_output,
+                    contract=schemas.DAILY_STOCK,
                 )
 
             step("daily_stock", write_daily)
@@ -178,7 +185,12 @@ def run_pipeline(
             step(
                 name,
                 lambda t=table, n=name: write_table(
-                    t, f"{out}/{n}.parquet", timestamp_output, sort_by=KPI_SORT[n], partitions=1
+                    t,
+                    f"{out}/{n}.parquet",
+                    timestamp_output,
+                    sort_by=KPI_SORT[n],
+                    partitions=1,
+                    contract=schemas.OUTPUTS[n],
                 ),
             )
     return run

@@ -52,14 +52,21 @@ def write_table(
     timestamp_output: bool = True,
     sort_by: list[str] | None = None,
     partitions: int | None = None,
+    contract: T.StructType | None = None,
 ) -> None:
     """Overwrite a Parquet directory.
 
     ``timestamp_output`` converts DateType columns to the timestamp type of the published
     contract. ``sort_by`` is meant for the small KPI tables only (readability); large
     tables are written in partition order. ``partitions`` coalesces small results into few files.
+    ``contract``: the published schema the written frame must have (checked before writing,
+    when dates are written as timestamps).
     """
     out = dates_to_timestamps(df) if timestamp_output else df
+    if contract is not None and timestamp_output:
+        problems = schemas.schema_mismatches(out, contract)
+        if problems:
+            raise ValueError(f"{path}: output does not match its contract: {problems}")
     if partitions is not None:
         out = out.coalesce(partitions)
     if sort_by:
