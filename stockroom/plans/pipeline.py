@@ -42,7 +42,7 @@ from stockroom.operators.kpi import benefits_from_summary, kpi_facts, kpi_summar
 from stockroom.operators.ledger import densify_daily, ledger
 from stockroom.operators.quality import clean
 from stockroom.session import scratch_path
-from stockroom.sources.parquet import Inputs, read_inputs, write_table
+from stockroom.sources.parquet import DEFAULT_COMPRESSION, Inputs, read_inputs, write_table
 
 KPI_SORT = {
     "store_benefits": ["Year", "StoreId"],
@@ -83,7 +83,7 @@ def movement_cube(
 
 def save(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` as Parquet and return the re-read table (lineage cut, survives executor loss)."""
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", DEFAULT_COMPRESSION).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
