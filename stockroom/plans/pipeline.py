@@ -81,6 +81,14 @@ def movement_cube(
     )
 
 
+def daily_task_count(total_rows: int, rows_per_task: int, parallelism: int) -> int:
+    """Tasks for the daily table: enough that none writes more than ``rows_per_task`` rows,
+    rounded up to whole waves of ``parallelism`` so no wave runs half empty."""
+    tasks = max(1, math.ceil(total_rows / rows_per_task))
+    waves = math.ceil(tasks / max(1, parallelism))
+    return waves * max(1, parallelism)
+
+
 def save(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` as Parquet and return the re-read table (lineage cut, survives executor loss)."""
     df.write.mode("overwrite").option("compression", DEFAULT_COMPRESSION).parquet(path)
@@ -158,7 +166,7 @@ def run_pipeline(
 
             def write_daily() -> None:
                 days = root_iv.agg(F.sum(F.datediff("EndDate", "StartDate") + 1)).first()[0] or 0
-                tasks = max(1, math.ceil(days / daily_rows_per_task))
+                tasks = daily_task_count(days, daily_rows_per_task, spark.sparkContext.defaultParallelism)
                 write_table(
                     densify_daily(root_iv, ROOT_GRAIN, partitions=tasks),
                     f"{out}/daily_stock.parquet",

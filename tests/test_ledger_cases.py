@@ -122,3 +122,37 @@ def test_intervals_schema(spark):
     types = {f.name: f.dataType.simpleString() for f in iv.schema.fields}
     assert types == {"ProductRootCode": "int", "StoreId": "int", "StartDate": "date", "EndDate": "date", "Stock": "bigint"}
     assert set(iv.columns) == {f.name for f in schemas.INTERVAL_STOCK.fields}
+
+
+def test_nan_price_product_is_cleaned_away(spark):
+    products = make_products(spark, [(1, 10, 2.0, float("nan"), "A"), (1, 11, 2.0, 5.0, "A")])
+    clean_ids = sorted(r.ProductId for r in clean(products).collect())
+    assert clean_ids == [11]
+    facts = clean(make_facts(spark, [(1, 10, "2019-05-01", 3), (1, 11, "2019-05-01", 2)]))
+    iv = ledger(enrich(facts, clean(products), ["ProductRootCode"]), ROOT_GRAIN, P)
+    assert collect_sorted(iv.select("Stock")) == [(2,)]
+
+
+def test_duplicate_product_id_fans_out(spark):
+    """Like the plain join it replaces, a ProductId listed twice counts its movements twice."""
+    products = clean(make_products(spark, [(1, 10, 2.0, 5.0, "A"), (1, 10, 2.0, 5.0, "A")]))
+    facts = clean(make_facts(spark, [(1, 10, "2019-05-01", 3)]))
+    iv = ledger(enrich(facts, products, ["ProductRootCode"]), ROOT_GRAIN, P)
+    assert collect_sorted(iv.select("Stock")) == [(6,)]
+
+
+def test_lone_zero_opening_at_family_grain(spark):
+    products = clean(make_products(spark, PRODUCTS))
+    # family A (product 10) goes +1 then -1 before the period; family B (product 11) owes 1.
+    # Both products share root 1, whose stock is therefore negative on every row.
+    facts = clean(
+        make_facts(spark, [(1, 10, "2018-01-01", 1), (1, 10, "2018-02-01", -1), (1, 11, "2018-03-01", -1)])
+    )
+    fam = enrich(facts, products, ["Family"])
+    timeline = stock_timeline(running_stock(net_movements(fam, FAMILY_GRAIN), FAMILY_GRAIN), FAMILY_GRAIN, P.start)
+    reasons = {(r.Family, r.Reason) for r in prunable_keys(timeline, FAMILY_GRAIN, P.start).collect()}
+    assert reasons == {("A", "lone_zero_opening"), ("B", "all_negative")}
+    root = enrich(facts, products, ["ProductRootCode"])
+    timeline = stock_timeline(running_stock(net_movements(root, ROOT_GRAIN), ROOT_GRAIN), ROOT_GRAIN, P.start)
+    assert [r.Reason for r in prunable_keys(timeline, ROOT_GRAIN, P.start).collect()] == ["all_negative"]
+    assert ledger(fam, FAMILY_GRAIN, P).count() == 0

@@ -29,6 +29,16 @@ def test_ledger_has_two_exchanges_and_one_window(spark):
     assert counts["BroadcastExchange"] == 1
 
 
+def test_netting_aggregates_before_every_shuffle(spark):
+    """A hot key cannot send its raw movements through a shuffle: each map task pre-sums them."""
+    products, _, movements = _inputs(spark)
+    iv = ledger(enrich(movements, products, ["ProductRootCode"]), ROOT_GRAIN, P)
+    physical = plan_text(iv).split("== Physical Plan ==")[-1].splitlines()
+    exchanges = [i for i, line in enumerate(physical) if "Exchange hashpartitioning" in line]
+    # the deepest exchange (nearest the scan) sits right above the partial aggregate
+    assert "partial_sum(Quantity" in physical[exchanges[-1] + 1]
+
+
 def test_kpi_summary_aggregates_once(spark):
     products, sales, movements = _inputs(spark)
     sales_e = enrich(period_filter(sales, P), products, ["Family", "RetailPrice"])
