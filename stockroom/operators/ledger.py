@@ -121,16 +121,25 @@ def nonpositive_intervals(intervals: DataFrame) -> DataFrame:
     return intervals.where(F.col("Stock") <= 0)
 
 
-def ledger(movements: DataFrame, grain: Sequence[str], period: Period) -> DataFrame:
+def ledger(movements: DataFrame, grain: Sequence[str], period: Period, colocate: bool = False) -> DataFrame:
     """C5-C8, C11, C12 fused: positive-stock intervals per key inside ``period``.
 
     ``movements`` needs the grain columns, Date and Quantity (raw movements or an already
     netted table). Movements after the period end are cut before netting: the running sum at
     a date only depends on earlier rows and the last interval closes at the period end anyway.
     One window pass computes the running Stock and the next change date.
+
+    ``colocate=True`` hashes the input by the grain once, so netting and the window share a
+    single exchange. It skips the map-side pre-aggregation, so use it only when the rows of one
+    key are already bounded, e.g. a table summed per (finer key, day) whose finer key has a
+    bounded fan-in into the grain; on raw movements keep the default (two exchanges, the first
+    after a partial sum in every map task).
     """
     start, end = period.start_lit, period.end_lit
-    net = net_movements(movements.where(F.col("Date") <= end), grain)
+    cut = movements.where(F.col("Date") <= end)
+    if colocate:
+        cut = cut.repartition(*grain)
+    net = net_movements(cut, grain)
     by_date = _by_date(grain)
     return (
         net.select(

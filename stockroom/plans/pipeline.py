@@ -152,7 +152,10 @@ def run_pipeline(
         root_iv = step(
             "root_intervals",
             lambda: save(
-                ledger(cube.select(*ROOT_GRAIN, "Date", "Quantity"), ROOT_GRAIN, period), f"{scratch}/root_intervals"
+                # The cube holds one row per (root, family, store, day): a (root, store) key has at
+                # most days x families-of-the-root rows, so one hash exchange by key is skew-safe.
+                ledger(cube.select(*ROOT_GRAIN, "Date", "Quantity"), ROOT_GRAIN, period, colocate=True),
+                f"{scratch}/root_intervals",
             ),
         )
         if "interval_stock" in wanted:

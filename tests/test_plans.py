@@ -8,6 +8,7 @@ from stockroom.config import FAMILY_GRAIN, FIXTURE_PERIOD, ROOT_GRAIN
 from stockroom.operators import clean, enrich, kpi_facts, kpi_summary, ledger, period_filter, sized_broadcast
 from stockroom.operators.enrich import measured_size_bytes
 from stockroom.plans import plan_counts, plan_text
+from stockroom.plans.pipeline import movement_cube
 from stockroom.sources import derive_inputs
 
 P = FIXTURE_PERIOD
@@ -29,6 +30,16 @@ def test_ledger_has_two_exchanges_and_one_window(spark):
     assert counts["BroadcastExchange"] == 1
 
 
+def test_root_ledger_from_the_cube_needs_one_exchange(spark, tmp_path):
+    products, _, movements = _inputs(spark)
+    path = str(tmp_path / "cube")
+    movement_cube(movements, products, P).write.parquet(path)
+    cube = spark.read.parquet(path).select(*ROOT_GRAIN, "Date", "Quantity")
+    counts = plan_counts(ledger(cube, ROOT_GRAIN, P, colocate=True))
+    assert counts["Exchange"] == 1 and counts["Window"] == 1
+    assert plan_counts(ledger(cube, ROOT_GRAIN, P))["Exchange"] == 2
+
+
 def test_netting_aggregates_before_every_shuffle(spark):
     """A hot key cannot send its raw movements through a shuffle: each map task pre-sums them."""
     products, _, movements = _inputs(spark)

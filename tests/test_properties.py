@@ -129,8 +129,10 @@ def test_cube_ledger_equals_row_ledger(spark, inputs):
     products, _, movements = inputs
     cube = movement_cube(movements, products, P)
     for grain in (ROOT_GRAIN, FAMILY_GRAIN):
-        a = ledger(cube.select(*grain, "Date", "Quantity"), grain, P)
-        assert collect_sorted(a) == collect_sorted(ledger(_mov(inputs, grain), grain, P))
+        want = collect_sorted(ledger(_mov(inputs, grain), grain, P))
+        for colocate in (False, True):
+            a = ledger(cube.select(*grain, "Date", "Quantity"), grain, P, colocate=colocate)
+            assert collect_sorted(a) == want
 
 
 def test_repartitioned_input_gives_same_intervals(spark, inputs):
