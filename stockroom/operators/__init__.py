@@ -8,12 +8,14 @@ from stockroom.operators.kpi import (
     interval_years,
     kpi_facts,
     kpi_summary,
+    line_amount,
     profit,
     revenue,
     rotation_from_summary,
     stock_days,
     turnover,
     units_sold,
+    with_price_units,
 )
 from stockroom.operators.ledger import (
     active_timeline,
@@ -54,6 +56,7 @@ __all__ = [
     "kpi_facts",
     "kpi_summary",
     "ledger",
+    "line_amount",
     "net_movements",
     "nonpositive_intervals",
     "null_rejects",
@@ -76,4 +79,5 @@ __all__ = [
     "turnover",
     "units_sold",
     "unmatched",
+    "with_price_units",
 ]

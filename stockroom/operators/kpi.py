@@ -19,27 +19,54 @@ from pyspark.sql import functions as F
 
 from stockroom.config import DEFAULT_PRICE_SCALE, Period
 from stockroom.functions.dates import days_in_year, overlap_days, year_first_day, year_last_day
-from stockroom.functions.money import money, money_to_double
+from stockroom.functions.money import money_to_double, price_units, units_to_decimal, units_to_double
 
 KPI_KEYS = ("StoreId", "Family")
+UNITS_SUFFIX = "Units"
 
 
 def _year() -> Column:
     return F.year("Date").alias("Year")
 
 
+def with_price_units(products: DataFrame, price_scale: int = DEFAULT_PRICE_SCALE) -> DataFrame:
+    """Add RetailPriceUnits and SupplierPriceUnits: exact prices in LONG minor units.
+
+    Computed once per product on the dimension, so fact rows joined to it only do LONG math.
+    """
+    return products.withColumns(
+        {
+            "RetailPrice" + UNITS_SUFFIX: price_units("RetailPrice", price_scale),
+            "SupplierPrice" + UNITS_SUFFIX: price_units("SupplierPrice", price_scale),
+        }
+    )
+
+
+def line_amount(df: DataFrame, price: str, price_scale: int = DEFAULT_PRICE_SCALE) -> Column:
+    """Quantity x price in exact LONG minor units; uses the precomputed ``<price>Units`` column
+    when the frame carries it, else converts ``price`` row by row."""
+    pre = price + UNITS_SUFFIX
+    unit = F.col(pre) if pre in df.columns else price_units(price, price_scale)
+    return F.col("Quantity").cast("long") * unit
+
+
 def revenue(sales: DataFrame, by: str, price_scale: int = DEFAULT_PRICE_SCALE) -> DataFrame:
     """sum(Quantity x RetailPrice) per (Year, by); ``sales`` are enriched, in-period, positive.
-    Revenue is an exact DECIMAL."""
-    return sales.groupBy(_year(), by).agg(
-        F.sum(F.col("Quantity") * money("RetailPrice", price_scale)).alias("Revenue")
+    Revenue is an exact DECIMAL(38, price_scale)."""
+    return (
+        sales.groupBy(_year(), by)
+        .agg(F.sum(line_amount(sales, "RetailPrice", price_scale)).alias("_units"))
+        .select("Year", by, units_to_decimal("_units", price_scale).alias("Revenue"))
     )
 
 
 def inbound_cost(movements: DataFrame, by: str, price_scale: int = DEFAULT_PRICE_SCALE) -> DataFrame:
-    """C17: sum(Quantity x SupplierPrice) per (Year, by) over enriched, in-period, inbound movements."""
-    return movements.groupBy(_year(), by).agg(
-        F.sum(F.col("Quantity") * money("SupplierPrice", price_scale)).alias("Cost")
+    """C17: sum(Quantity x SupplierPrice) per (Year, by) over enriched, in-period, inbound movements
+    (exact DECIMAL)."""
+    return (
+        movements.groupBy(_year(), by)
+        .agg(F.sum(line_amount(movements, "SupplierPrice", price_scale)).alias("_units"))
+        .select("Year", by, units_to_decimal("_units", price_scale).alias("Cost"))
     )
 
 
@@ -103,7 +130,7 @@ def turnover(units: DataFrame, avg: DataFrame, by: str) -> DataFrame:
 # All four KPI tables in one aggregation
 # ---------------------------------------------------------------------------------------
 
-_SUMMARY_MEASURES = ("Revenue", "Cost", "UnitsSold", "StockDays", "SalesRows", "CostRows", "StockRows")
+_SUMMARY_MEASURES = ("RevenueUnits", "CostUnits", "UnitsSold", "StockDays", "SalesRows", "CostRows", "StockRows")
 
 
 def _facts(df: DataFrame, **measures: Column) -> DataFrame:
@@ -121,27 +148,38 @@ def kpi_facts(
 ) -> DataFrame:
     """The tagged union feeding :func:`kpi_summary`.
 
-    * ``sales``: enriched (Family, RetailPrice), in-period, positive sales rows.
-    * ``inbound``: enriched (Family, SupplierPrice) in-period inbound movements with Quantity,
-      or pre-aggregated rows carrying ``InboundCost`` and ``InboundRows`` (movement cube).
+    * ``sales``: enriched (Family and RetailPrice or RetailPriceUnits), in-period, positive sales.
+    * ``inbound``: enriched (Family and SupplierPrice or SupplierPriceUnits) in-period inbound
+      movements, or pre-aggregated rows carrying ``InboundCostUnits`` and ``InboundRows``
+      (the movement cube).
     * ``family_intervals``: positive intervals of the (Family, StoreId) ledger.
+
+    Money measures are exact LONG minor units of ``price_scale``.
     """
     s = _facts(
-        sales.select(_year(), "StoreId", "Family", "Quantity", "RetailPrice"),
-        Revenue=F.col("Quantity") * money("RetailPrice", price_scale),
-        UnitsSold=F.col("Quantity").cast("long"),
+        sales.select(
+            _year(),
+            "StoreId",
+            "Family",
+            F.col("Quantity").cast("long").alias("_qty"),
+            line_amount(sales, "RetailPrice", price_scale).alias("_amount"),
+        ),
+        RevenueUnits=F.col("_amount"),
+        UnitsSold=F.col("_qty"),
         SalesRows=F.lit(1).cast("long"),
     )
-    if "InboundCost" in inbound.columns:
+    if "InboundCostUnits" in inbound.columns:
         c = _facts(
-            inbound.select(_year(), "StoreId", "Family", "InboundCost", "InboundRows"),
-            Cost=F.col("InboundCost"),
+            inbound.select(_year(), "StoreId", "Family", "InboundCostUnits", "InboundRows"),
+            CostUnits=F.col("InboundCostUnits"),
             CostRows=F.col("InboundRows").cast("long"),
         )
     else:
         c = _facts(
-            inbound.select(_year(), "StoreId", "Family", "Quantity", "SupplierPrice"),
-            Cost=F.col("Quantity") * money("SupplierPrice", price_scale),
+            inbound.select(
+                _year(), "StoreId", "Family", line_amount(inbound, "SupplierPrice", price_scale).alias("_amount")
+            ),
+            CostUnits=F.col("_amount"),
             CostRows=F.lit(1).cast("long"),
         )
     d = _facts(
@@ -158,8 +196,8 @@ def kpi_summary(facts: DataFrame) -> DataFrame:
     ``Grain`` names the set a row belongs to ('StoreId' or 'Family'); the other key is NULL.
     """
     grouped = facts.groupingSets([["Year", "StoreId"], ["Year", "Family"]], "Year", "StoreId", "Family").agg(
-        F.sum("Revenue").alias("Revenue"),
-        F.sum("Cost").alias("Cost"),
+        F.sum("RevenueUnits").alias("RevenueUnits"),
+        F.sum("CostUnits").alias("CostUnits"),
         F.sum("UnitsSold").alias("UnitsSold"),
         F.sum("StockDays").alias("SumStock"),
         F.sum("SalesRows").alias("SalesRows"),
@@ -173,10 +211,11 @@ def kpi_summary(facts: DataFrame) -> DataFrame:
     )
 
 
-def benefits_from_summary(summary: DataFrame, by: str) -> DataFrame:
+def benefits_from_summary(summary: DataFrame, by: str, price_scale: int = DEFAULT_PRICE_SCALE) -> DataFrame:
     """``store_benefits`` / ``family_benefits``: keys with sales or inbound movements."""
     rows = summary.where((F.col("Grain") == by) & ((F.col("SalesRows") > 0) | (F.col("CostRows") > 0)))
-    return rows.select("Year", by, _profit(F.col("Revenue"), F.col("Cost")).alias("Profit"))
+    net = F.coalesce(F.col("RevenueUnits"), F.lit(0)) - F.coalesce(F.col("CostUnits"), F.lit(0))
+    return rows.select("Year", by, units_to_double(net, price_scale).alias("Profit"))
 
 
 def rotation_from_summary(summary: DataFrame, by: str) -> DataFrame:

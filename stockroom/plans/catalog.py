@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from stockroom.config import FAMILY_GRAIN, FIXTURE_PERIOD, ROOT_GRAIN
 from stockroom.functions.dates import days_in_year
+from stockroom.functions.money import units_to_double
 from stockroom.operators import kpi as K
 from stockroom.operators import quality as Q
 from stockroom.sources.fixtures import derive_inputs
@@ -106,7 +107,12 @@ def _days_in_year(f: Frames) -> DataFrame:
 
 def _kpi_summary(f: Frames) -> DataFrame:
     facts = K.kpi_facts(f.sales_enriched(), f.inbounds_enriched(), f.intervals(FAMILY_GRAIN))
-    return _double(_double(K.kpi_summary(facts), "Revenue"), "Cost")
+    summary = K.kpi_summary(facts)
+    return summary.select(
+        *[c for c in summary.columns if not c.endswith("Units")],
+        units_to_double("RevenueUnits").alias("Revenue"),
+        units_to_double("CostUnits").alias("Cost"),
+    )
 
 
 QUERIES: dict[str, Query] = {

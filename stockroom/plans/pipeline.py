@@ -36,9 +36,15 @@ from stockroom.config import (
     ROOT_GRAIN,
     Period,
 )
-from stockroom.functions.money import money
 from stockroom.operators.enrich import enrich, period_filter
-from stockroom.operators.kpi import benefits_from_summary, kpi_facts, kpi_summary, rotation_from_summary
+from stockroom.operators.kpi import (
+    benefits_from_summary,
+    kpi_facts,
+    kpi_summary,
+    line_amount,
+    rotation_from_summary,
+    with_price_units,
+)
 from stockroom.operators.ledger import densify_daily, ledger
 from stockroom.operators.quality import clean
 from stockroom.session import scratch_path
@@ -63,20 +69,21 @@ def movement_cube(
 ) -> DataFrame:
     """Clean movements up to the period end, aggregated per (root, family, store, day).
 
-    Quantity is the net movement (input of both ledgers); InboundCost and InboundRows cover
-    the positive movements only (input of the profit KPI). Returns and outbound movements
+    Quantity is the net movement (input of both ledgers); InboundCostUnits (exact LONG minor
+    units of ``price_scale``) and InboundRows cover the positive movements only (input of the
+    profit KPI). Returns and outbound movements
     never enter the cost, as the cost is summed per movement row before any netting.
     """
     enriched = enrich(
         movements.where(F.col("Date") <= period.end_lit),
-        products,
-        ["ProductRootCode", "Family", "SupplierPrice"],
+        with_price_units(products, price_scale),
+        ["ProductRootCode", "Family", "SupplierPriceUnits"],
         broadcast_max_bytes,
     )
     inbound = F.col("Quantity") > 0
     return enriched.groupBy("ProductRootCode", "Family", "StoreId", "Date").agg(
         F.sum("Quantity").cast("long").alias("Quantity"),
-        F.sum(F.when(inbound, F.col("Quantity") * money("SupplierPrice", price_scale))).alias("InboundCost"),
+        F.sum(F.when(inbound, line_amount(enriched, "SupplierPrice", price_scale))).alias("InboundCostUnits"),
         F.count_if(inbound).alias("InboundRows"),
     )
 
@@ -183,7 +190,12 @@ def run_pipeline(
     if kpis:
 
         def build_summary() -> DataFrame:
-            sales_e = enrich(period_filter(sales, period), products, ["Family", "RetailPrice"], broadcast_max_bytes)
+            sales_e = enrich(
+                period_filter(sales, period),
+                with_price_units(products, price_scale),
+                ["Family", "RetailPriceUnits"],
+                broadcast_max_bytes,
+            )
             inbound = cube.where(period.contains("Date") & (F.col("InboundRows") > 0))
             family_iv = ledger(cube.select(*FAMILY_GRAIN, "Date", "Quantity"), FAMILY_GRAIN, period)
             facts = kpi_facts(sales_e, inbound, family_iv, price_scale)
@@ -192,7 +204,10 @@ def run_pipeline(
         summary = step("kpi_summary", build_summary)
         for name in sorted(kpis):
             by = "StoreId" if name.startswith("store") else "Family"
-            table = benefits_from_summary(summary, by) if name.endswith("benefits") else rotation_from_summary(summary, by)
+            if name.endswith("benefits"):
+                table = benefits_from_summary(summary, by, price_scale)
+            else:
+                table = rotation_from_summary(summary, by)
             step(
                 name,
                 lambda t=table, n=name: write_table(
