@@ -36,7 +36,7 @@ from stockroom.config import (
     ROOT_GRAIN,
     Period,
 )
-from stockroom.operators.enrich import enrich, period_filter
+from stockroom.operators.enrich import enrich, period_filter, sized_broadcast
 from stockroom.operators.kpi import (
     benefits_from_summary,
     kpi_facts,
@@ -74,9 +74,11 @@ def movement_cube(
     profit KPI). Returns and outbound movements
     never enter the cost, as the cost is summed per movement row before any netting.
     """
+    if "SupplierPriceUnits" not in products.columns:
+        products = with_price_units(products, price_scale)
     enriched = enrich(
         movements.where(F.col("Date") <= period.end_lit),
-        with_price_units(products, price_scale),
+        products,
         ["ProductRootCode", "Family", "SupplierPriceUnits"],
         broadcast_max_bytes,
     )
@@ -144,15 +146,20 @@ def run_pipeline(
             on_step(name, run.seconds[name])
         return result
 
-    products = clean(inputs.products)
+    # The clean product dimension, with exact unit prices, measured once and broadcast to both
+    # fact joins when small enough (the broadcast hint survives the per-join column selection).
+    products = sized_broadcast(
+        with_price_units(clean(inputs.products), price_scale).select(
+            "ProductId", "ProductRootCode", "Family", "SupplierPriceUnits", "RetailPriceUnits"
+        ),
+        broadcast_max_bytes,
+    )
     sales = clean(inputs.sales)
     movements = clean(inputs.stock_movements)
 
     cube = step(
         "movement_cube",
-        lambda: save(
-            movement_cube(movements, products, period, price_scale, broadcast_max_bytes), f"{scratch}/movement_cube"
-        ),
+        lambda: save(movement_cube(movements, products, period, price_scale, None), f"{scratch}/movement_cube"),
     )
 
     if wanted & {"interval_stock", "daily_stock"}:
@@ -190,12 +197,7 @@ def run_pipeline(
     if kpis:
 
         def build_summary() -> DataFrame:
-            sales_e = enrich(
-                period_filter(sales, period),
-                with_price_units(products, price_scale),
-                ["Family", "RetailPriceUnits"],
-                broadcast_max_bytes,
-            )
+            sales_e = enrich(period_filter(sales, period), products, ["Family", "RetailPriceUnits"], None)
             inbound = cube.where(period.contains("Date") & (F.col("InboundRows") > 0))
             family_iv = ledger(cube.select(*FAMILY_GRAIN, "Date", "Quantity"), FAMILY_GRAIN, period)
             facts = kpi_facts(sales_e, inbound, family_iv, price_scale)

@@ -79,3 +79,21 @@ def test_broadcast_only_below_the_measured_size(spark):
     assert 0 < size < 1_000_000
     assert "ResolvedHint (strategy=broadcast)" in plan_text(sized_broadcast(dim, size), "extended")
     assert "strategy=broadcast" not in plan_text(sized_broadcast(dim, size - 1), "extended")
+
+
+def test_broadcast_hint_survives_the_per_join_selection(spark):
+    """The job measures and hints the product dimension once, then each join selects its columns."""
+    products, sales, movements = _inputs(spark)
+    auto = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(auto)
+    spark.conf.set(auto, "-1")  # no size-based broadcast: only the explicit hint can broadcast
+    try:
+        plain = enrich(period_filter(sales, P), products, ["Family"], broadcast_max_bytes=None)
+        assert plan_counts(plain)["BroadcastExchange"] == 0
+        dim = sized_broadcast(products.select("ProductId", "ProductRootCode", "Family", "RetailPrice"))
+        joined = enrich(period_filter(sales, P), dim, ["Family", "RetailPrice"], broadcast_max_bytes=None)
+        assert plan_counts(joined)["BroadcastExchange"] == 1
+        priced = dim.withColumn("SupplierPriceUnits", dim.ProductId.cast("long"))
+        assert plan_counts(movement_cube(movements, priced, P, 2, None))["BroadcastExchange"] == 1
+    finally:
+        spark.conf.set(auto, before)
