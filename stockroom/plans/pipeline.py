@@ -2,14 +2,16 @@
 
 Plan
 ----
-1. Clean the three inputs (``isNotNull`` filters reach the Parquet scans).
-2. **Movement cube**: movements up to the period end, joined to the product dimension
-   (broadcast only after a size check) and aggregated once per
-   (ProductRootCode, Family, StoreId, Date) with the net quantity, the inbound cost and the
-   number of inbound rows. Both ledgers and the inbound cost are derived from it, so the
-   movements table is scanned and shuffled once. It is written to the shared checkpoint
-   folder, which cuts the lineage: a lost executor costs a re-read, not a re-scan.
-3. Root-grain ledger from the cube -> written to the checkpoint folder, then published as
+1. Clean the three inputs (``isNotNull`` filters reach the Parquet scans). The clean product
+   dimension gets exact LONG unit prices and is measured once; it is broadcast to both fact
+   joins only when its measured size is below the bound.
+2. **Movement cube**: movements up to the period end, joined to the product dimension and
+   aggregated once per (ProductRootCode, Family, StoreId, Date) with the net quantity, the
+   inbound cost and the number of inbound rows. Both ledgers and the inbound cost are derived
+   from it, so the movements table is scanned and shuffled once. It is written to the shared
+   checkpoint folder, which cuts the lineage: a lost executor costs a re-read, not a re-scan.
+3. Root-grain ledger from the cube (one key exchange: a key's cube rows are bounded by days x
+   families of the root) -> written to the checkpoint folder, then published as
    ``interval_stock`` and densified into ``daily_stock`` (spread over a number of tasks
    computed from the measured number of output days).
 4. Family-grain ledger from the cube, split by calendar year, unioned with the in-period
@@ -71,8 +73,8 @@ def movement_cube(
 
     Quantity is the net movement (input of both ledgers); InboundCostUnits (exact LONG minor
     units of ``price_scale``) and InboundRows cover the positive movements only (input of the
-    profit KPI). Returns and outbound movements
-    never enter the cost, as the cost is summed per movement row before any netting.
+    profit KPI). Returns and outbound movements never enter the cost, as the cost is summed per
+    movement row before any netting.
     """
     if "SupplierPriceUnits" not in products.columns:
         products = with_price_units(products, price_scale)
@@ -148,11 +150,14 @@ def run_pipeline(
 
     # The clean product dimension, with exact unit prices, measured once and broadcast to both
     # fact joins when small enough (the broadcast hint survives the per-join column selection).
-    products = sized_broadcast(
-        with_price_units(clean(inputs.products), price_scale).select(
-            "ProductId", "ProductRootCode", "Family", "SupplierPriceUnits", "RetailPriceUnits"
+    products = step(
+        "product_dimension",
+        lambda: sized_broadcast(
+            with_price_units(clean(inputs.products), price_scale).select(
+                "ProductId", "ProductRootCode", "Family", "SupplierPriceUnits", "RetailPriceUnits"
+            ),
+            broadcast_max_bytes,
         ),
-        broadcast_max_bytes,
     )
     sales = clean(inputs.sales)
     movements = clean(inputs.stock_movements)

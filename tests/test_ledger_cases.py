@@ -12,6 +12,7 @@ from stockroom.operators import (
     active_timeline,
     change_intervals,
     clean,
+    densify_daily,
     enrich,
     ledger,
     net_movements,
@@ -156,3 +157,21 @@ def test_lone_zero_opening_at_family_grain(spark):
     timeline = stock_timeline(running_stock(net_movements(root, ROOT_GRAIN), ROOT_GRAIN), ROOT_GRAIN, P.start)
     assert [r.Reason for r in prunable_keys(timeline, ROOT_GRAIN, P.start).collect()] == ["all_negative"]
     assert ledger(fam, FAMILY_GRAIN, P).count() == 0
+
+
+def test_flags_are_computed_before_the_end_cut(spark):
+    """A zero opening followed by a change after the period end is not a lone zero opening."""
+    mov = _root_movements(spark, [("2018-01-01", 1), ("2018-02-01", -1), ("2021-03-01", 5)])
+    timeline = stock_timeline(running_stock(net_movements(mov, ROOT_GRAIN), ROOT_GRAIN), ROOT_GRAIN, P.start)
+    assert prunable_keys(timeline, ROOT_GRAIN, P.start).count() == 0
+    assert ledger(mov, ROOT_GRAIN, P).count() == 0
+
+
+def test_reversed_interval_is_not_exploded_backwards(spark):
+    """``sequence`` would count down from StartDate to an earlier EndDate; such rows are dropped."""
+    iv = spark.createDataFrame(
+        [(1, 1, d("2019-01-05"), d("2019-01-03"), 4), (1, 2, d("2019-01-03"), d("2019-01-04"), 2)],
+        "ProductRootCode int, StoreId int, StartDate date, EndDate date, Stock long",
+    )
+    daily = densify_daily(iv, ROOT_GRAIN)
+    assert collect_sorted(daily, ["StoreId", "Date"]) == [(2, d("2019-01-03")), (2, d("2019-01-04"))]
