@@ -1,4 +1,4 @@
-"""Cleaning, quarantine and audit operators.
+"""Cleaning, quarantine and audit operators (C1, C2, C24-C29; C4 ``unmatched`` is with the joins).
 
 Every audit returns a small DataFrame (one row or one row per column) so it can be written,
 joined or asserted on like any other table; none of them collects data to the driver.
@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockroom.functions.nulls import all_present, any_missing
-from stockroom.operators.enrich import unmatched  # noqa: F401  (C4 lives with the joins)
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
