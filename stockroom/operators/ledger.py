@@ -164,9 +164,12 @@ def densify_daily(intervals: DataFrame, grain: Sequence[str], partitions: int |
     A narrow ``explode`` of a date ``sequence``; intervals with StartDate > EndDate are dropped
     first (``sequence`` would count backwards). ``partitions`` spreads the intervals over that
     many tasks by key before exploding, so the output per task stays bounded; a key yields at
-    most one row per day of the period, so hashing by key cannot create a hot task.
+    most one row per day of the period, so hashing by key cannot create a hot task. The
+    intervals (far fewer rows than the output) are then sorted by key and start inside each
+    task, so the daily rows come out clustered by (key, Date): Parquet min/max statistics then
+    let readers that filter on the key skip row groups, at no measurable write cost.
     """
     iv = intervals.where(F.col("StartDate") <= F.col("EndDate"))
     if partitions is not None:
-        iv = iv.repartition(partitions, *grain)
+        iv = iv.repartition(partitions, *grain).sortWithinPartitions(*grain, "StartDate")
     return iv.select(*grain, F.explode(F.sequence("StartDate", "EndDate")).alias("Date"), "Stock")
