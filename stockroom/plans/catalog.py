@@ -105,6 +105,14 @@ def _days_in_year(f: Frames) -> DataFrame:
     return years.select("Year", days_in_year("Year").alias("DaysInTheYear"))
 
 
+def _interval_stock_job(f: Frames) -> DataFrame:
+    """``interval_stock`` through the job's own plan: movement cube, then one key exchange."""
+    from stockroom.plans.pipeline import movement_cube
+
+    cube = movement_cube(f.movements, f.products, P)
+    return L.ledger(cube.select(*ROOT_GRAIN, "Date", "Quantity"), ROOT_GRAIN, P, colocate=True)
+
+
 def _kpi_summary(f: Frames) -> DataFrame:
     facts = K.kpi_facts(f.sales_enriched(), f.inbounds_enriched(), f.intervals(FAMILY_GRAIN))
     summary = K.kpi_summary(facts)
@@ -140,6 +148,7 @@ QUERIES: dict[str, Query] = {
     "stock_intervals_all": _q(lambda f: f.intervals_all()),
     "interval_stock": _q(lambda f: f.intervals()),
     "interval_stock_steps": _q(lambda f: L.positive_intervals(f.intervals_all())),
+    "interval_stock_job": _q(_interval_stock_job),
     "nonpositive_intervals": _q(lambda f: L.nonpositive_intervals(f.intervals_all())),
     "interval_stock_family": _q(lambda f: f.intervals(FAMILY_GRAIN)),
     "daily_stock": _q(lambda f: L.densify_daily(f.intervals(), ROOT_GRAIN)),

@@ -210,6 +210,7 @@ FROM r_flags WHERE (n_rows = 1 AND Stock = 0 AND "Date" = {START}) OR n_non_nega
     "stock_intervals_all": "SELECT * FROM r_iv_all",
     "interval_stock": "SELECT * FROM r_iv",
     "interval_stock_steps": "SELECT * FROM r_iv",
+    "interval_stock_job": "SELECT * FROM r_iv",
     "nonpositive_intervals": "SELECT * FROM r_iv_all WHERE Stock <= 0",
     "interval_stock_family": "SELECT * FROM f_iv",
     "daily_stock": "SELECT * FROM r_daily",
