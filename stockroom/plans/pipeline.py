@@ -93,11 +93,17 @@ def movement_cube(
 
 
 def daily_task_count(total_rows: int, rows_per_task: int, parallelism: int) -> int:
-    """Tasks for the daily table: enough that none writes more than ``rows_per_task`` rows,
-    rounded up to whole waves of ``parallelism`` so no wave runs half empty."""
+    """Tasks for the daily table: enough that none writes more than ``rows_per_task`` rows.
+
+    When the output fills at least one wave of ``parallelism`` tasks, the count is rounded up to
+    whole waves so the last wave does not run half empty; a small output keeps its few tasks
+    (no cluster-sized spray of tiny files).
+    """
     tasks = max(1, math.ceil(total_rows / rows_per_task))
-    waves = math.ceil(tasks / max(1, parallelism))
-    return waves * max(1, parallelism)
+    slots = max(1, parallelism)
+    if tasks < slots:
+        return tasks
+    return math.ceil(tasks / slots) * slots
 
 
 def save(df: DataFrame, path: str) -> DataFrame:

@@ -71,3 +71,13 @@ def test_kpi_tables_match_queries(spark, published, name):
     got = _read(spark, published, name)
     want = QUERIES[name](spark, SF_SMALL)
     assert collect_sorted(got, want.columns) == collect_sorted(want)
+
+
+@pytest.mark.parametrize(
+    "rows,per_task,slots,want",
+    [(171_462, 4_000_000, 8, 1), (120_648_427, 4_000_000, 8, 32), (10_000_000, 4_000_000, 8000, 3), (0, 10, 8, 1)],
+)
+def test_daily_task_count(rows, per_task, slots, want):
+    from stockroom.plans.pipeline import daily_task_count
+
+    assert daily_task_count(rows, per_task, slots) == want
