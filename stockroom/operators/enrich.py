@@ -16,19 +16,21 @@ from pyspark.sql import types as T
 
 from stockroom.config import DEFAULT_BROADCAST_MAX_BYTES, Period
 
-_FIXED_WIDTH = {
-    T.BooleanType: 1,
-    T.ByteType: 1,
-    T.ShortType: 2,
-    T.IntegerType: 4,
-    T.DateType: 4,
-    T.FloatType: 4,
-    T.LongType: 8,
-    T.DoubleType: 8,
-    T.TimestampType: 8,
-    T.TimestampNTZType: 8,
-    T.DecimalType: 16,
-}
+# Types whose value fits the 8-byte slot every field takes in Spark's binary row format
+# (decimals up to 18 digits; wider ones add 16 bytes, counted below).
+_SLOT_TYPES = (
+    T.BooleanType,
+    T.ByteType,
+    T.ShortType,
+    T.IntegerType,
+    T.DateType,
+    T.FloatType,
+    T.LongType,
+    T.DoubleType,
+    T.TimestampType,
+    T.TimestampNTZType,
+    T.DecimalType,
+)
 
 
 def _round8(n: int) -> int:
@@ -36,17 +38,20 @@ def _round8(n: int) -> int:
 
 
 def measured_size_bytes(df: DataFrame) -> int:
-    """Upper bound of the in-memory size of ``df``: rows x (row header + 8 bytes per field +
-    the longest value of each string column). One small aggregate job over ``df``."""
+    """Upper bound of the in-memory size of ``df``: rows x (null-bit header + one 8-byte slot per
+    field + the longest value of each string column, 8-byte aligned). One small aggregate job."""
     string_cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     aggs = [F.count(F.lit(1)).alias("rows")]
     aggs += [F.coalesce(F.max(F.octet_length(c)), F.lit(0)).alias(f"len_{i}") for i, c in enumerate(string_cols)]
-    row = df.agg(*aggs).first()
-    n_fields = len(df.schema.fields)
+    extra = 0
     for f in df.schema.fields:
-        if not isinstance(f.dataType, tuple(_FIXED_WIDTH)) and not isinstance(f.dataType, T.StringType):
+        if isinstance(f.dataType, T.DecimalType) and f.dataType.precision > 18:
+            extra += 16
+        elif not isinstance(f.dataType, (*_SLOT_TYPES, T.StringType)):
             raise TypeError(f"no width bound for column {f.name}: {f.dataType.simpleString()}")
-    per_row = 8 + 8 * n_fields + sum(_round8(row[f"len_{i}"]) for i in range(len(string_cols)))
+    row = df.agg(*aggs).first()
+    n_fields = len(df.schema.fields)
+    per_row = 8 + 8 * n_fields + extra + sum(_round8(row[f"len_{i}"]) for i in range(len(string_cols)))
     return int(row["rows"]) * per_row
 
 
