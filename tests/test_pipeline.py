@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 import pytest
@@ -81,3 +82,23 @@ def test_daily_task_count(rows, per_task, slots, want):
     from stockroom.plans.pipeline import daily_task_count
 
     assert daily_task_count(rows, per_task, slots) == want
+
+
+def test_date_output_and_table_selection(spark):
+    in_dir = tempfile.mkdtemp(prefix="stockroom-in-")
+    out_dir = tempfile.mkdtemp(prefix="stockroom-out-")
+    write_inputs(spark, SF_SMALL, in_dir)
+    run = run_pipeline(
+        spark,
+        out_dir,
+        in_dir=in_dir,
+        period=FIXTURE_PERIOD,
+        timestamp_output=False,
+        tables=("interval_stock", "store_rotation"),
+    )
+    assert "daily_stock" not in run.seconds and "store_benefits" not in run.seconds
+    iv = _read(spark, run, "interval_stock")
+    assert iv.schema["StartDate"].dataType.simpleString() == "date"
+    assert iv.count() == 1036
+    assert _read(spark, run, "store_rotation").count() == 20
+    assert sorted(os.listdir(out_dir)) == ["interval_stock.parquet", "store_rotation.parquet"]
