@@ -95,13 +95,16 @@ def interval_years(intervals: DataFrame, keys: Sequence[str]) -> DataFrame:
     return per_year.select("Year", *keys, days.alias("Days"), (F.col("Stock") * days).alias("StockDays"))
 
 
-def stock_days(intervals: DataFrame, by: str) -> DataFrame:
-    """C20: sum of daily positive stock per (Year, by), from positive intervals."""
-    return (
-        interval_years(intervals, [by])
-        .groupBy("Year", by)
-        .agg(F.sum("StockDays").cast("long").alias("SumStock"))
-    )
+def stock_days(intervals_or_daily: DataFrame, by: str) -> DataFrame:
+    """C20: sum of daily positive stock per (Year, by).
+
+    From positive intervals (StartDate, EndDate) the days are never exploded: each interval is
+    split at year boundaries and weighted by its days. A daily table (Date) is summed directly.
+    """
+    df = intervals_or_daily
+    if "StartDate" not in df.columns:
+        return df.groupBy(_year(), by).agg(F.sum("Stock").cast("long").alias("SumStock"))
+    return interval_years(df, [by]).groupBy("Year", by).agg(F.sum("StockDays").cast("long").alias("SumStock"))
 
 
 def _average(sum_stock: Column, year: Column) -> Column:

@@ -130,13 +130,15 @@ def reconcile_days(intervals: DataFrame, daily: DataFrame) -> DataFrame:
     return sums.withColumn("Balanced", F.col("IntervalDays") == F.col("DailyRows"))
 
 
-def compare_grains(intervals_root: DataFrame, intervals_family: DataFrame) -> DataFrame:
+def compare_grains(root: DataFrame, family: DataFrame) -> DataFrame:
     """Total daily stock of the two ledgers (expected to differ: clipping to positive
-    stock happens at the ledger grain). Computed as sum of Stock x days per interval,
-    which equals the sum over the exploded daily rows without exploding them."""
+    stock happens at the ledger grain). Takes interval tables (summed as Stock x days per
+    interval, without exploding them) or daily tables (Stock summed directly)."""
 
-    def stock_days(iv: DataFrame) -> DataFrame:
-        return interval_days(iv).select((F.col("Stock") * F.col("_days")).alias("s"))
+    def stock_days(df: DataFrame) -> DataFrame:
+        if "StartDate" not in df.columns:
+            return df.select(F.col("Stock").alias("s"))
+        return interval_days(df).select((F.col("Stock") * F.col("_days")).alias("s"))
 
-    sums = _labelled_sums({"RootStock": stock_days(intervals_root), "FamilyStock": stock_days(intervals_family)}, "s")
+    sums = _labelled_sums({"RootStock": stock_days(root), "FamilyStock": stock_days(family)}, "s")
     return sums.withColumn("Differ", F.col("RootStock") != F.col("FamilyStock"))

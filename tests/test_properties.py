@@ -21,6 +21,7 @@ from stockroom.operators import (
     benefits_from_summary,
     change_intervals,
     clean,
+    compare_grains,
     densify_daily,
     enrich,
     inbound_cost,
@@ -104,6 +105,15 @@ def test_stock_days_by_year_overlap_equals_day_explosion(spark, inputs, by):
         .agg(F.sum("Stock").alias("SumStock"))
     )
     assert collect_sorted(stock_days(iv, by)) == collect_sorted(exploded)
+    assert collect_sorted(stock_days(densify_daily(iv, FAMILY_GRAIN), by)) == collect_sorted(exploded)
+
+
+def test_compare_grains_takes_intervals_or_daily(spark, inputs):
+    root = ledger(_mov(inputs, ROOT_GRAIN), ROOT_GRAIN, P)
+    fam = ledger(_mov(inputs, FAMILY_GRAIN), FAMILY_GRAIN, P)
+    a = compare_grains(root, fam).first()
+    b = compare_grains(densify_daily(root, ROOT_GRAIN), densify_daily(fam, FAMILY_GRAIN)).first()
+    assert a == b and a.Differ
 
 
 def test_fused_kpis_equal_operators(spark, inputs):
