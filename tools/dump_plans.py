@@ -77,8 +77,9 @@ def main(sf_dir: str) -> None:
          "priced product slice, partial sum per map task, one exchange, final sum.", cube_df),
         ("root_intervals", "Read the saved cube, one hash exchange by (ProductRootCode, StoreId); netting, "
          "running sum and `lead` share it (one Window node).", root_df),
-        ("daily_stock", "Hash the saved intervals by key into a measured number of tasks, then a narrow "
-         "`explode(sequence)`.", daily),
+        ("daily_stock", "Hash the saved intervals by key into a measured number of tasks, sort the intervals "
+         "(not the output) by key and start inside each task, then a narrow `explode(sequence)`: the daily "
+         "rows come out clustered by (key, Date).", daily),
         ("kpi_summary", "Sales (pushed period and `Quantity > 0`, broadcast join), the cube's inbound cost and "
          "the family ledger's year-split stock-days, unioned and aggregated once with GROUPING SETS.", summary_df),
         ("store_benefits", "A projection of the saved summary.", benefits_from_summary(summary, "StoreId")),
