@@ -28,6 +28,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--date-output", action="store_true", help="write DATE columns instead of timestamps")
     ap.add_argument("--tables", nargs="*", choices=["interval_stock", "daily_stock", *KPI_SORT])
     ap.add_argument("--daily-rows-per-task", type=int, default=DEFAULT_DAILY_ROWS_PER_TASK)
+    ap.add_argument("--resume", metavar="SCRATCH_DIR", help="scratch_dir of an interrupted run of the same job")
     args = ap.parse_args(argv)
 
     builder = SparkSession.builder.appName("stockroom")
@@ -43,8 +44,18 @@ def main(argv: list[str] | None = None) -> None:
         timestamp_output=not args.date_output,
         tables=tuple(args.tables) if args.tables else None,
         daily_rows_per_task=args.daily_rows_per_task,
+        scratch_dir=args.resume,
+    )
+    print(
+        json.dumps(
+            {
+                "out_dir": run.out_dir,
+                "scratch_dir": run.scratch_dir,
+                "reused": run.reused,
+                "seconds": {k: round(v, 3) for k, v in run.seconds.items()},
+            }
+        )
     )
-    print(json.dumps({"out_dir": run.out_dir, "seconds": {k: round(v, 3) for k, v in run.seconds.items()}}))
 
 
 if __name__ == "__main__":

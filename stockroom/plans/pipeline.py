@@ -26,6 +26,7 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -112,11 +113,21 @@ def save(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def committed(spark: SparkSession, path: str) -> bool:
+    """True when a Parquet write to ``path`` completed (its job commit left the ``_SUCCESS`` marker)."""
+    try:
+        spark.read.text(f"{path}/_SUCCESS")
+    except AnalysisException:
+        return False
+    return True
+
+
 @dataclass
 class PipelineRun:
     out_dir: str
     scratch_dir: str
     seconds: dict[str, float] = field(default_factory=dict)
+    reused: list[str] = field(default_factory=list)
 
 
 def run_pipeline(
@@ -131,11 +142,17 @@ def run_pipeline(
     daily_rows_per_task: int = DEFAULT_DAILY_ROWS_PER_TASK,
     tables: tuple[str, ...] | None = None,
     on_step: Callable[[str, float], None] | None = None,
+    scratch_dir: str | None = None,
 ) -> PipelineRun:
     """Compute and write the six tables below ``out_dir``; returns the seconds of each step.
 
     Intermediate tables go to a fresh folder below the session's ``spark.checkpoint.dir``.
     ``tables`` restricts the published outputs (all six by default).
+
+    ``scratch_dir`` resumes an interrupted run of the *same* job (same inputs and parameters):
+    pass the ``scratch_dir`` of the failed run and every intermediate table whose write was
+    committed there is read back instead of recomputed (listed in ``PipelineRun.reused``).
+    Executor loss needs none of this (Spark re-runs the lost tasks); it is for a lost driver.
     """
     if inputs is None:
         if in_dir is None:
@@ -143,9 +160,16 @@ def run_pipeline(
         inputs = read_inputs(spark, in_dir)
     wanted = set(tables or ("interval_stock", "daily_stock", *KPI_SORT))
     out = out_dir.rstrip("/")
-    scratch = scratch_path(spark, "pipeline")
+    scratch = scratch_dir.rstrip("/") if scratch_dir else scratch_path(spark, "pipeline")
     run = PipelineRun(out_dir=out, scratch_dir=scratch)
 
+    def saved(name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        path = f"{scratch}/{name}"
+        if scratch_dir and committed(spark, path):
+            run.reused.append(name)
+            return spark.read.parquet(path)
+        return save(build(), path)
+
     def step(name: str, action: Callable[[], object]) -> object:
         t0 = time.perf_counter()
         result = action()
@@ -170,17 +194,17 @@ def run_pipeline(
 
     cube = step(
         "movement_cube",
-        lambda: save(movement_cube(movements, products, period, price_scale, None), f"{scratch}/movement_cube"),
+        lambda: saved("movement_cube", lambda: movement_cube(movements, products, period, price_scale, None)),
     )
 
     if wanted & {"interval_stock", "daily_stock"}:
         root_iv = step(
             "root_intervals",
-            lambda: save(
+            lambda: saved(
+                "root_intervals",
                 # The cube holds one row per (root, family, store, day): a (root, store) key has at
                 # most days x families-of-the-root rows, so one hash exchange by key is skew-safe.
-                ledger(cube.select(*ROOT_GRAIN, "Date", "Quantity"), ROOT_GRAIN, period, colocate=True),
-                f"{scratch}/root_intervals",
+                lambda: ledger(cube.select(*ROOT_GRAIN, "Date", "Quantity"), ROOT_GRAIN, period, colocate=True),
             ),
         )
         if "interval_stock" in wanted:
@@ -211,10 +235,9 @@ def run_pipeline(
             sales_e = enrich(period_filter(sales, period), products, ["Family", "RetailPriceUnits"], None)
             inbound = cube.where(period.contains("Date") & (F.col("InboundRows") > 0))
             family_iv = ledger(cube.select(*FAMILY_GRAIN, "Date", "Quantity"), FAMILY_GRAIN, period)
-            facts = kpi_facts(sales_e, inbound, family_iv, price_scale)
-            return save(kpi_summary(facts), f"{scratch}/kpi_summary")
+            return kpi_summary(kpi_facts(sales_e, inbound, family_iv, price_scale))
 
-        summary = step("kpi_summary", build_summary)
+        summary = step("kpi_summary", lambda: saved("kpi_summary", build_summary))
         for name in sorted(kpis):
             by = "StoreId" if name.startswith("store") else "Family"
             if name.endswith("benefits"):

@@ -102,3 +102,25 @@ def test_date_output_and_table_selection(spark):
     assert iv.count() == 1036
     assert _read(spark, run, "store_rotation").count() == 20
     assert sorted(os.listdir(out_dir)) == ["interval_stock.parquet", "store_rotation.parquet"]
+
+
+def test_resume_reuses_committed_intermediates(spark, published):
+    from stockroom.plans.pipeline import committed
+    from stockroom.session import scratch_path
+
+    in_dir = tempfile.mkdtemp(prefix="stockroom-in-")
+    write_inputs(spark, SF_SMALL, in_dir)
+    scratch = scratch_path(spark, "resume")
+    assert not committed(spark, f"{scratch}/movement_cube")
+    # an "interrupted" run: only the first outputs were produced before the driver went away
+    first = run_pipeline(
+        spark, tempfile.mkdtemp(), in_dir=in_dir, period=FIXTURE_PERIOD, tables=("interval_stock",), scratch_dir=scratch
+    )
+    assert first.reused == [] and committed(spark, f"{scratch}/movement_cube")
+    out_dir = tempfile.mkdtemp(prefix="stockroom-out-")
+    again = run_pipeline(spark, out_dir, in_dir=in_dir, period=FIXTURE_PERIOD, scratch_dir=scratch)
+    assert again.reused == ["movement_cube", "root_intervals"]
+    for name in ("interval_stock", "store_benefits", "family_rotation"):
+        got = spark.read.parquet(f"{out_dir}/{name}.parquet")
+        want = _read(spark, published, name)
+        assert collect_sorted(got) == collect_sorted(want.select(*got.columns))
