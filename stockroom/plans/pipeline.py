@@ -50,6 +50,7 @@ from stockroom.operators.kpi import (
 )
 from stockroom.operators.ledger import densify_daily, ledger
 from stockroom.operators.quality import clean
+from stockroom.plans.shape import plan_counts
 from stockroom.session import scratch_path
 from stockroom.sources.parquet import DEFAULT_COMPRESSION, Inputs, read_inputs, write_table
 
@@ -128,6 +129,7 @@ class PipelineRun:
     scratch_dir: str
     seconds: dict[str, float] = field(default_factory=dict)
     reused: list[str] = field(default_factory=list)
+    plans: dict[str, dict[str, int]] = field(default_factory=dict)
 
 
 def run_pipeline(
@@ -143,6 +145,7 @@ def run_pipeline(
     tables: tuple[str, ...] | None = None,
     on_step: Callable[[str, float], None] | None = None,
     scratch_dir: str | None = None,
+    record_plans: bool = False,
 ) -> PipelineRun:
     """Compute and write the six tables below ``out_dir``; returns the seconds of each step.
 
@@ -153,6 +156,9 @@ def run_pipeline(
     pass the ``scratch_dir`` of the failed run and every intermediate table whose write was
     committed there is read back instead of recomputed (listed in ``PipelineRun.reused``).
     Executor loss needs none of this (Spark re-runs the lost tasks); it is for a lost driver.
+
+    ``record_plans`` stores the shuffle/sort/window counts of each step's physical plan in
+    ``PipelineRun.plans``.
     """
     if inputs is None:
         if in_dir is None:
@@ -163,12 +169,17 @@ def run_pipeline(
     scratch = scratch_dir.rstrip("/") if scratch_dir else scratch_path(spark, "pipeline")
     run = PipelineRun(out_dir=out, scratch_dir=scratch)
 
+    def shape(name: str, df: DataFrame) -> DataFrame:
+        if record_plans:
+            run.plans[name] = plan_counts(df)
+        return df
+
     def saved(name: str, build: Callable[[], DataFrame]) -> DataFrame:
         path = f"{scratch}/{name}"
         if scratch_dir and committed(spark, path):
             run.reused.append(name)
             return spark.read.parquet(path)
-        return save(build(), path)
+        return save(shape(name, build()), path)
 
     def step(name: str, action: Callable[[], object]) -> object:
         t0 = time.perf_counter()
@@ -211,7 +222,10 @@ def run_pipeline(
             step(
                 "interval_stock",
                 lambda: write_table(
-                    root_iv, f"{out}/interval_stock.parquet", timestamp_output, contract=schemas.INTERVAL_STOCK
+                    shape("interval_stock", root_iv),
+                    f"{out}/interval_stock.parquet",
+                    timestamp_output,
+                    contract=schemas.INTERVAL_STOCK,
                 ),
             )
         if "daily_stock" in wanted:
@@ -220,7 +234,7 @@ def run_pipeline(
                 days = root_iv.agg(F.sum(F.datediff("EndDate", "StartDate") + 1)).first()[0] or 0
                 tasks = daily_task_count(days, daily_rows_per_task, spark.sparkContext.defaultParallelism)
                 write_table(
-                    densify_daily(root_iv, ROOT_GRAIN, partitions=tasks),
+                    shape("daily_stock", densify_daily(root_iv, ROOT_GRAIN, partitions=tasks)),
                     f"{out}/daily_stock.parquet",
                     timestamp_output,
                     contract=schemas.DAILY_STOCK,
@@ -247,7 +261,7 @@ def run_pipeline(
             step(
                 name,
                 lambda t=table, n=name: write_table(
-                    t,
+                    shape(n, t),
                     f"{out}/{n}.parquet",
                     timestamp_output,
                     sort_by=KPI_SORT[n],
