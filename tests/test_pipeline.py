@@ -13,7 +13,7 @@ from stockroom import schemas
 from stockroom.config import FIXTURE_PERIOD
 from stockroom.plans.catalog import QUERIES
 from stockroom.plans.pipeline import run_pipeline
-from stockroom.sources import write_inputs
+from stockroom.sources import derive_inputs, write_inputs
 
 
 @pytest.fixture(scope="module")
@@ -124,3 +124,14 @@ def test_resume_reuses_committed_intermediates(spark, published):
         got = spark.read.parquet(f"{out_dir}/{name}.parquet")
         want = _read(spark, published, name)
         assert collect_sorted(got) == collect_sorted(want.select(*got.columns))
+
+
+def test_empty_facts_give_empty_tables(spark):
+    from stockroom.sources.parquet import Inputs
+
+    raw = derive_inputs(spark, SF_SMALL)
+    inputs = Inputs(raw.products, raw.sales.limit(0), raw.stock_movements.limit(0))
+    out_dir = tempfile.mkdtemp(prefix="stockroom-out-")
+    run_pipeline(spark, out_dir, inputs=inputs, period=FIXTURE_PERIOD)
+    for name in schemas.OUTPUTS:
+        assert spark.read.parquet(f"{out_dir}/{name}.parquet").count() == 0, name
