@@ -39,39 +39,38 @@ def table_shape(df: DataFrame) -> DataFrame:
 
 
 def profile(df: DataFrame, cols: Sequence[str] | None = None, digits: int = 6) -> DataFrame:
-    """Count, mean, sample stddev, min and max per numeric column, one row per column.
+    """Per column, one row: Count, and for numeric columns Mean, sample StdDev, Min, Max
+    (DOUBLE), for string columns MinText, MaxText (default: every numeric and string column).
 
-    One pass over the data (a single global aggregate), then the wide row is turned into
-    one row per column with ``explode``. Statistics are rounded to ``digits`` decimals.
+    One pass over the data (a single global aggregate), then the wide row is turned into one
+    row per column with ``explode``. Mean and StdDev are rounded to ``digits`` decimals.
     """
-    names = list(cols) if cols else [f.name for f in df.schema.fields if isinstance(f.dataType, _NUMERIC)]
+    names = list(cols) if cols else [
+        f.name for f in df.schema.fields if isinstance(f.dataType, (*_NUMERIC, T.StringType))
+    ]
     if not names:
-        raise ValueError("profile needs at least one numeric column")
-    aggs = []
+        raise ValueError("profile needs at least one numeric or string column")
+    no_double, no_text = F.lit(None).cast("double"), F.lit(None).cast("string")
+    aggs, structs = [], []
     for i, n in enumerate(names):
-        x = F.col(n).cast("double")
-        aggs += [
-            F.count(x).alias(f"n{i}"),
-            F.avg(x).alias(f"mean{i}"),
-            F.stddev_samp(x).alias(f"sd{i}"),
-            F.min(x).alias(f"min{i}"),
-            F.max(x).alias(f"max{i}"),
-        ]
-    wide = df.agg(*aggs)
-    rows = F.array(
-        *[
+        text = isinstance(df.schema[n].dataType, T.StringType)
+        x = F.col(n) if text else F.col(n).cast("double")
+        aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}")]
+        if not text:
+            aggs += [F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"sd{i}")]
+        structs.append(
             F.struct(
                 F.lit(n).alias("Column"),
                 F.col(f"n{i}").alias("Count"),
-                F.round(f"mean{i}", digits).alias("Mean"),
-                F.round(f"sd{i}", digits).alias("StdDev"),
-                F.col(f"min{i}").alias("Min"),
-                F.col(f"max{i}").alias("Max"),
+                (no_double if text else F.round(f"mean{i}", digits)).alias("Mean"),
+                (no_double if text else F.round(f"sd{i}", digits)).alias("StdDev"),
+                (no_double if text else F.col(f"min{i}")).alias("Min"),
+                (no_double if text else F.col(f"max{i}")).alias("Max"),
+                (F.col(f"min{i}") if text else no_text).alias("MinText"),
+                (F.col(f"max{i}") if text else no_text).alias("MaxText"),
             )
-            for i, n in enumerate(names)
-        ]
-    )
-    return wide.select(F.explode(rows).alias("s")).select("s.*")
+        )
+    return df.agg(*aggs).select(F.explode(F.array(*structs)).alias("s")).select("s.*")
 
 
 def date_range(df: DataFrame, col: str = "Date") -> DataFrame:

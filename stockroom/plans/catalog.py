@@ -175,6 +175,7 @@ QUERIES: dict[str, Query] = {
     # audits
     "shape_movements": _q(lambda f: Q.table_shape(f.raw.stock_movements)),
     "profile_sales": _q(lambda f: Q.profile(f.raw.sales)),
+    "profile_products": _q(lambda f: Q.profile(f.raw.products)),
     "date_range_movements": _q(lambda f: Q.date_range(f.raw.stock_movements)),
     "reconcile_quantity": _q(
         lambda f: Q.reconcile_quantity(

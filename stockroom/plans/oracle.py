@@ -156,12 +156,19 @@ def _nulls(table: str, cols: list[str], floats: list[str]) -> str:
     return f"SELECT * FROM {table} WHERE " + " OR ".join(terms)
 
 
-def _profile(table: str, cols: list[str]) -> str:
+def _profile(table: str, numeric: list[str], text: list[str] = ()) -> str:
     parts = [
         f"""SELECT '{c}' AS "Column", COUNT({c}) AS "Count",
        ROUND(AVG(CAST({c} AS DOUBLE)), 6) AS Mean, ROUND(STDDEV_SAMP(CAST({c} AS DOUBLE)), 6) AS StdDev,
-       CAST(MIN({c}) AS DOUBLE) AS "Min", CAST(MAX({c}) AS DOUBLE) AS "Max" FROM {table}"""
-        for c in cols
+       CAST(MIN({c}) AS DOUBLE) AS "Min", CAST(MAX({c}) AS DOUBLE) AS "Max",
+       CAST(NULL AS VARCHAR) AS MinText, CAST(NULL AS VARCHAR) AS MaxText FROM {table}"""
+        for c in numeric
+    ] + [
+        f"""SELECT '{c}' AS "Column", COUNT({c}) AS "Count",
+       CAST(NULL AS DOUBLE) AS Mean, CAST(NULL AS DOUBLE) AS StdDev,
+       CAST(NULL AS DOUBLE) AS "Min", CAST(NULL AS DOUBLE) AS "Max",
+       MIN({c}) AS MinText, MAX({c}) AS MaxText FROM {table}"""
+        for c in text
     ]
     return "\nUNION ALL\n".join(parts)
 
@@ -243,6 +250,9 @@ SELECT CASE WHEN GROUPING(StoreId) = 1 THEN 'Family' ELSE 'StoreId' END AS Grain
 FROM kpi_facts GROUP BY GROUPING SETS (("Year", StoreId), ("Year", Family))""",
     "shape_movements": 'SELECT COUNT(*) AS "Rows", CAST(4 AS INTEGER) AS "Columns" FROM stock_movements',
     "profile_sales": _profile("sales", ["StoreId", "ProductId", "Quantity"]),
+    "profile_products": _profile(
+        "products", ["ProductRootCode", "ProductId", "SupplierPrice", "RetailPrice"], ["Family"]
+    ),
     "date_range_movements": 'SELECT MIN("Date") AS MinDate, MAX("Date") AS MaxDate FROM stock_movements',
     "reconcile_quantity": """
 SELECT er AS EnrichedRoot, nr AS NetRoot, ef AS EnrichedFamily, nf AS NetFamily,
