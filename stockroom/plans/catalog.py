@@ -176,7 +176,9 @@ QUERIES: dict[str, Query] = {
     "shape_movements": _q(lambda f: Q.table_shape(f.raw.stock_movements)),
     "profile_sales": _q(lambda f: Q.profile(f.raw.sales)),
     "profile_products": _q(lambda f: Q.profile(f.raw.products)),
+    "profile_movements": _q(lambda f: Q.profile(f.raw.stock_movements)),
     "date_range_movements": _q(lambda f: Q.date_range(f.raw.stock_movements)),
+    "date_range_sales": _q(lambda f: Q.date_range(f.raw.sales)),
     "reconcile_quantity": _q(
         lambda f: Q.reconcile_quantity(
             f.movements_at(ROOT_GRAIN), f.net(ROOT_GRAIN), f.movements_at(FAMILY_GRAIN), f.net(FAMILY_GRAIN)

@@ -253,7 +253,9 @@ FROM kpi_facts GROUP BY GROUPING SETS (("Year", StoreId), ("Year", Family))""",
     "profile_products": _profile(
         "products", ["ProductRootCode", "ProductId", "SupplierPrice", "RetailPrice"], ["Family"]
     ),
+    "profile_movements": _profile("stock_movements", ["StoreId", "ProductId", "Quantity"]),
     "date_range_movements": 'SELECT MIN("Date") AS MinDate, MAX("Date") AS MaxDate FROM stock_movements',
+    "date_range_sales": 'SELECT MIN("Date") AS MinDate, MAX("Date") AS MaxDate FROM sales',
     "reconcile_quantity": """
 SELECT er AS EnrichedRoot, nr AS NetRoot, ef AS EnrichedFamily, nf AS NetFamily,
        (er = nr AND nr = ef AND ef = nf) AS Balanced
