@@ -174,6 +174,8 @@ QUERIES: dict[str, Query] = {
     "kpi_summary": _q(_kpi_summary),
     # audits
     "shape_movements": _q(lambda f: Q.table_shape(f.raw.stock_movements)),
+    "shape_sales": _q(lambda f: Q.table_shape(f.raw.sales)),
+    "shape_products": _q(lambda f: Q.table_shape(f.raw.products)),
     "profile_sales": _q(lambda f: Q.profile(f.raw.sales)),
     "profile_products": _q(lambda f: Q.profile(f.raw.products)),
     "profile_movements": _q(lambda f: Q.profile(f.raw.stock_movements)),

@@ -249,6 +249,8 @@ SELECT CASE WHEN GROUPING(StoreId) = 1 THEN 'Family' ELSE 'StoreId' END AS Grain
        CAST(SUM(StockRows) AS BIGINT) AS StockRows
 FROM kpi_facts GROUP BY GROUPING SETS (("Year", StoreId), ("Year", Family))""",
     "shape_movements": 'SELECT COUNT(*) AS "Rows", CAST(4 AS INTEGER) AS "Columns" FROM stock_movements',
+    "shape_sales": 'SELECT COUNT(*) AS "Rows", CAST(4 AS INTEGER) AS "Columns" FROM sales',
+    "shape_products": 'SELECT COUNT(*) AS "Rows", CAST(5 AS INTEGER) AS "Columns" FROM products',
     "profile_sales": _profile("sales", ["StoreId", "ProductId", "Quantity"]),
     "profile_products": _profile(
         "products", ["ProductRootCode", "ProductId", "SupplierPrice", "RetailPrice"], ["Family"]
