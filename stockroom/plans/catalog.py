@@ -151,6 +151,9 @@ QUERIES: dict[str, Query] = {
     "interval_stock_job": _q(_interval_stock_job),
     "nonpositive_intervals": _q(lambda f: L.nonpositive_intervals(f.intervals_all())),
     "interval_stock_family": _q(lambda f: f.intervals(FAMILY_GRAIN)),
+    "net_movements_family": _q(lambda f: f.net(FAMILY_GRAIN)),
+    "pruned_stock_family": _q(lambda f: L.prunable_keys(f.timeline(FAMILY_GRAIN), FAMILY_GRAIN, P.start)),
+    "nonpositive_intervals_family": _q(lambda f: L.nonpositive_intervals(f.intervals_all(FAMILY_GRAIN))),
     "daily_stock": _q(lambda f: L.densify_daily(f.intervals(), ROOT_GRAIN)),
     "daily_stock_family": _q(lambda f: L.densify_daily(f.intervals(FAMILY_GRAIN), FAMILY_GRAIN)),
     # profit

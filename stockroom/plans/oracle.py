@@ -220,6 +220,12 @@ FROM r_flags WHERE (n_rows = 1 AND Stock = 0 AND "Date" = {START}) OR n_non_nega
     "interval_stock_job": "SELECT * FROM r_iv",
     "nonpositive_intervals": "SELECT * FROM r_iv_all WHERE Stock <= 0",
     "interval_stock_family": "SELECT * FROM f_iv",
+    "net_movements_family": "SELECT * FROM f_net",
+    "pruned_stock_family": f"""
+SELECT Family, StoreId, "Date", Stock,
+       CASE WHEN n_rows = 1 AND Stock = 0 AND "Date" = {START} THEN 'lone_zero_opening' ELSE 'all_negative' END AS Reason
+FROM f_flags WHERE (n_rows = 1 AND Stock = 0 AND "Date" = {START}) OR n_non_negative = 0""",
+    "nonpositive_intervals_family": "SELECT * FROM f_iv_all WHERE Stock <= 0",
     "daily_stock": "SELECT * FROM r_daily",
     "daily_stock_family": "SELECT * FROM f_daily",
     "revenue_by_family": 'SELECT "Year", Family, CAST(Revenue AS DOUBLE) AS Revenue FROM rev_family',
