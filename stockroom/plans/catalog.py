@@ -113,9 +113,20 @@ def _interval_stock_job(f: Frames) -> DataFrame:
     return L.ledger(cube.select(*ROOT_GRAIN, "Date", "Quantity"), ROOT_GRAIN, P, colocate=True)
 
 
-def _kpi_summary(f: Frames) -> DataFrame:
-    facts = K.kpi_facts(f.sales_enriched(), f.inbounds_enriched(), f.intervals(FAMILY_GRAIN))
-    summary = K.kpi_summary(facts)
+def _kpi_summary_job(f: Frames) -> DataFrame:
+    """The KPI summary through the job's own plan: priced dimension, movement cube, family ledger
+    from the cube."""
+    from stockroom.plans.pipeline import movement_cube
+
+    priced = K.with_price_units(f.products)
+    cube = movement_cube(f.movements, priced, P)
+    sales = E.enrich(f.sales_in_period(), priced, ["Family", "RetailPriceUnits"])
+    inbound = cube.where(P.contains("Date") & (F.col("InboundRows") > 0))
+    family_iv = L.ledger(cube.select(*FAMILY_GRAIN, "Date", "Quantity"), FAMILY_GRAIN, P)
+    return _summary_doubles(K.kpi_summary(K.kpi_facts(sales, inbound, family_iv)))
+
+
+def _summary_doubles(summary: DataFrame) -> DataFrame:
     return summary.select(
         *[c for c in summary.columns if not c.endswith("Units")],
         units_to_double("RevenueUnits").alias("Revenue"),
@@ -123,6 +134,11 @@ def _kpi_summary(f: Frames) -> DataFrame:
     )
 
 
+def _kpi_summary(f: Frames) -> DataFrame:
+    facts = K.kpi_facts(f.sales_enriched(), f.inbounds_enriched(), f.intervals(FAMILY_GRAIN))
+    return _summary_doubles(K.kpi_summary(facts))
+
+
 QUERIES: dict[str, Query] = {
     # Cleaning and quarantine
     "clean_products": _q(lambda f: f.products),
@@ -175,6 +191,7 @@ QUERIES: dict[str, Query] = {
     "store_rotation": _q(lambda f: K.turnover(f.units("StoreId"), f.average("StoreId"), "StoreId")),
     # all four KPI tables in one GROUPING SETS aggregate (what the pipeline runs)
     "kpi_summary": _q(_kpi_summary),
+    "kpi_summary_job": _q(_kpi_summary_job),
     # audits
     "shape_movements": _q(lambda f: Q.table_shape(f.raw.stock_movements)),
     "shape_sales": _q(lambda f: Q.table_shape(f.raw.sales)),

@@ -282,9 +282,12 @@ FROM (SELECT (SELECT CAST(COALESCE(SUM(Stock), 0) AS BIGINT) FROM r_daily) AS r,
 }
 
 
+_BODIES["kpi_summary_job"] = _BODIES["kpi_summary"]  # same result, computed by the job's plan
+
+
 def oracle_queries() -> dict[str, str]:
     out = {}
     for name, body in _BODIES.items():
-        prelude = PRELUDE.rstrip() + ("," + _KPI_FACTS if name == "kpi_summary" else "\n")
+        prelude = PRELUDE.rstrip() + ("," + _KPI_FACTS if name.startswith("kpi_summary") else "\n")
         out[name] = prelude + body.strip() + "\n"
     return out
