@@ -20,6 +20,7 @@ use); :func:`ledger` computes the published intervals in one window pass.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, WindowSpec
@@ -46,7 +47,7 @@ def running_stock(net: DataFrame, grain: Sequence[str]) -> DataFrame:
     return net.select(*grain, "Date", "Quantity", F.sum("Quantity").over(_running(grain)).alias("Stock"))
 
 
-def opening_stock(stock: DataFrame, grain: Sequence[str], start) -> DataFrame:
+def opening_stock(stock: DataFrame, grain: Sequence[str], start: dt.date) -> DataFrame:
     """The balance as of ``start`` (last row dated on or before it), re-dated to ``start``.
 
     A movement on the start day is part of the opening. Keys without history on or before
@@ -60,7 +61,7 @@ def opening_stock(stock: DataFrame, grain: Sequence[str], start) -> DataFrame:
     )
 
 
-def stock_timeline(stock: DataFrame, grain: Sequence[str], start) -> DataFrame:
+def stock_timeline(stock: DataFrame, grain: Sequence[str], start: dt.date) -> DataFrame:
     """Opening row plus every change after ``start``, in one pass.
 
     A row is kept when the state it sets still holds after ``start``: its next change is
@@ -75,7 +76,7 @@ def stock_timeline(stock: DataFrame, grain: Sequence[str], start) -> DataFrame:
     )
 
 
-def _with_key_flags(timeline: DataFrame, grain: Sequence[str], start) -> DataFrame:
+def _with_key_flags(timeline: DataFrame, grain: Sequence[str], start: dt.date) -> DataFrame:
     w = Window.partitionBy(*grain)
     rows = F.count(F.lit(1)).over(w)
     non_negative = F.sum(F.when(F.col("Stock") >= 0, 1).otherwise(0)).over(w)
@@ -88,18 +89,18 @@ def _with_key_flags(timeline: DataFrame, grain: Sequence[str], start) -> DataFra
     )
 
 
-def prunable_keys(timeline: DataFrame, grain: Sequence[str], start) -> DataFrame:
+def prunable_keys(timeline: DataFrame, grain: Sequence[str], start: dt.date) -> DataFrame:
     """C9 (audit): rows of keys whose only row is a zero opening balance, or whose stock is
     negative on every row. Such keys never reach the positive intervals."""
     return _with_key_flags(timeline, grain, start).where(F.col("Reason").isNotNull())
 
 
-def active_timeline(timeline: DataFrame, grain: Sequence[str], start) -> DataFrame:
+def active_timeline(timeline: DataFrame, grain: Sequence[str], start: dt.date) -> DataFrame:
     """The timeline without the rows reported by :func:`prunable_keys`."""
     return _with_key_flags(timeline, grain, start).where(F.col("Reason").isNull()).drop("Reason")
 
 
-def change_intervals(timeline: DataFrame, grain: Sequence[str], end) -> DataFrame:
+def change_intervals(timeline: DataFrame, grain: Sequence[str], end: dt.date) -> DataFrame:
     """C11: each change row becomes [StartDate, EndDate], EndDate = day before the next change,
     or ``end`` for the last one. Changes after ``end`` are cut first, so they never matter."""
     nxt = F.lead("Date").over(_by_date(grain))
