@@ -135,3 +135,15 @@ def test_empty_facts_give_empty_tables(spark):
     run_pipeline(spark, out_dir, inputs=inputs, period=FIXTURE_PERIOD)
     for name in schemas.OUTPUTS:
         assert spark.read.parquet(f"{out_dir}/{name}.parquet").count() == 0, name
+
+
+def test_resume_ignores_uncommitted_folders(spark):
+    """A folder without the job-commit marker (an interrupted write) is never reused."""
+    from stockroom.plans.pipeline import committed
+
+    path = tempfile.mkdtemp(prefix="stockroom-partial-") + "/movement_cube"
+    spark.range(3).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
+    assert spark.read.parquet(path).count() == 3  # data files are there ...
+    assert not committed(spark, path)  # ... but the write is not known to be complete
+    spark.range(3).write.mode("overwrite").parquet(path)
+    assert committed(spark, path)
