@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockroom.llm import bpe, exact_dedup, token_files
+from stockroom.llm import bpe, exact_dedup, langid, line_dedup, token_files
 from stockroom.llm.common import table
 
 MULTI_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -28,10 +28,21 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"), BPE_JSON)
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_token_files": op5_token_files,
+    "op8_line_dedup": op8_line_dedup,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE: dict[str, str] = {
@@ -41,5 +52,22 @@ WITH texts AS (
 best AS (SELECT body, max(doc_id) AS keep_id, count(*) AS group_size FROM texts GROUP BY body)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256
 FROM texts JOIN best USING (body)
+""",
+    "op8_line_dedup": r"""
+WITH lines AS (
+  SELECT doc_id, u.n AS n, u.line AS line,
+         translate(trim(u.line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM documents, LATERAL (
+    SELECT unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+           unnest(range(1, 1 + len(string_split(coalesce(text, ''), chr(10))))) AS n) u),
+often AS (
+  SELECT key, max(doc_id) AS keep_id FROM lines WHERE length(key) >= 40
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+marked AS (
+  SELECT l.doc_id, l.n, l.line, o.key IS NOT NULL AND l.doc_id <> o.keep_id AS gone
+  FROM lines l LEFT JOIN often o ON l.key = o.key)
+SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
 """,
 }
