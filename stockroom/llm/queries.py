@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockroom.llm import bpe, exact_dedup, langid, line_dedup, near_dedup, suffix_dedup, token_files
+from stockroom.llm import bpe, decontam, exact_dedup, langid, line_dedup, near_dedup, suffix_dedup, token_files
 from stockroom.llm.common import table
 
 MULTI_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -33,6 +33,10 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=3, share=0.85)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_token_files": op5_token_files,
+    "op6_decontamination": op6_decontamination,
     "op7_near_dedup": op7_near_dedup,
     "op8_line_dedup": op8_line_dedup,
     "op10_language_id": op10_language_id,
