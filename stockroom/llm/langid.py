@@ -205,7 +205,7 @@ def calibrated(found: DataFrame, learned: Column, label: Column) -> DataFrame:
     right = found.where(learned & (label == F.col("lang")))
     levels = right.groupBy("lang").agg(F.percentile_approx("entropy", [0.5, 0.999], 10000).alias("q"))
     levels = levels.select("lang", (F.col("q")[0] + F.greatest(4 * (F.col("q")[1] - F.col("q")[0]), F.lit(1.0))).alias("level"))
-    limit = F.coalesce("level", F.lit(float("inf"))) + F.lit(8.0) / F.sqrt("n_symbols")
+    limit = F.coalesce("level", F.lit(float("inf"))) + F.lit(8.0) / F.sqrt(F.greatest("n_symbols", F.lit(1)))
     symbols_ = F.least("n_symbols", F.lit(50))
     lead = 1 / (1 + F.exp(-F.least((F.col("second") - F.col("entropy")) * symbols_, F.lit(500.0))))
     fit_ = 1 / (1 + F.exp(F.greatest(F.least((F.col("entropy") - limit) * 10, F.lit(500.0)), F.lit(-500.0))))
