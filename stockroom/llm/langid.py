@@ -210,7 +210,7 @@ def calibrated(found: DataFrame, learned: Column, label: Column) -> DataFrame:
     lead = 1 / (1 + F.exp(-F.least((F.col("second") - F.col("entropy")) * symbols_, F.lit(500.0))))
     fit_ = 1 / (1 + F.exp(F.greatest(F.least((F.col("entropy") - limit) * 10, F.lit(500.0)), F.lit(-500.0))))
     # one row a language, at most as many as the model has
-    return found.join(F.broadcast(levels), "lang", "left").withColumn("limit", limit).withColumn("score", F.coalesce(lead * fit_, F.lit(0.0)))
+    return found.join(F.broadcast(levels), "lang", "left").withColumn("limit", limit).withColumn("score", F.when(F.col("entropy").isNull(), 0.0).otherwise(lead * fit_))
 
 
 def scored(docs: DataFrame, carry: list[str]) -> DataFrame:
