@@ -4,7 +4,7 @@
     python -m stockroom --in dat --out res --start 2019-01-01 --end 2020-12-31
 
 On a cluster the session comes from spark-submit and ``spark.checkpoint.dir`` must name a
-shared folder; locally a folder below ``--out`` is used when none is configured.
+shared folder; only with a local master a folder below ``--out`` is used when none is set.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import SparkSession
 
 from stockroom.config import BUSINESS_PERIOD, Period
 from stockroom.plans.pipeline import DEFAULT_DAILY_ROWS_PER_TASK, KPI_SORT, run_pipeline
-from stockroom.session import RECOMMENDED_CONF, ensure_checkpoint_dir
+from stockroom.session import RECOMMENDED_CONF, shared_or_local
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -28,6 +28,9 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--date-output", action="store_true", help="write DATE columns instead of timestamps")
     ap.add_argument("--tables", nargs="*", choices=["interval_stock", "daily_stock", *KPI_SORT])
     ap.add_argument("--daily-rows-per-task", type=int, default=DEFAULT_DAILY_ROWS_PER_TASK)
+    ap.add_argument("--price-scale", type=int, help="decimals that a price may have (default: those of DECIMAL prices, at least 2)")
+    ap.add_argument("--daily-by-year", action="store_true", help="write daily_stock in folders Year=...")
+    ap.add_argument("--keep-scratch", action="store_true", help="keep the intermediate tables")
     ap.add_argument("--resume", metavar="SCRATCH_DIR", help="scratch_dir of an interrupted run of the same job")
     args = ap.parse_args(argv)
 
@@ -35,7 +38,7 @@ def main(argv: list[str] | None = None) -> None:
     for k, v in RECOMMENDED_CONF.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    ensure_checkpoint_dir(spark, f"{args.out_dir.rstrip('/')}/_checkpoints")
+    shared_or_local(spark, f"{args.out_dir.rstrip('/')}/_checkpoints")
     run = run_pipeline(
         spark,
         args.out_dir,
@@ -45,6 +48,9 @@ def main(argv: list[str] | None = None) -> None:
         tables=tuple(args.tables) if args.tables else None,
         daily_rows_per_task=args.daily_rows_per_task,
         scratch_dir=args.resume,
+        price_scale=args.price_scale,
+        daily_by_year=args.daily_by_year,
+        keep_scratch=args.keep_scratch,
     )
     print(
         json.dumps(

@@ -51,9 +51,10 @@ FIXTURE_PERIOD = Period(_dt.date(1999, 1, 1), _dt.date(2000, 12, 31))
 ROOT_GRAIN: tuple[str, ...] = ("ProductRootCode", "StoreId")
 FAMILY_GRAIN: tuple[str, ...] = ("Family", "StoreId")
 
-# Decimal scale used for money; prices are cast to DECIMAL(12, scale) before multiplying
-# so that sums are exact and do not depend on the order rows are added in.
+# Decimals that a price may have; sums are exact in these units and do not depend on the order
+# rows are added in. A price that needs more decimals raises. The fixtures halve prices in cents.
 DEFAULT_PRICE_SCALE = 2
+FIXTURE_PRICE_SCALE = 3
 
 # A dimension is broadcast only when its measured size is below this bound.
 DEFAULT_BROADCAST_MAX_BYTES = 64 * 1024 * 1024

@@ -34,6 +34,7 @@ from stockroom.operators.quality import (
     clean,
     compare_grains,
     date_range,
+    duplicate_products,
     null_rejects,
     profile,
     reconcile_days,
@@ -50,6 +51,7 @@ __all__ = [
     "compare_grains",
     "date_range",
     "densify_daily",
+    "duplicate_products",
     "enrich",
     "inbound_cost",
     "interval_years",

@@ -35,8 +35,8 @@ def with_price_units(products: DataFrame, price_scale: int = DEFAULT_PRICE_SCALE
     """
     return products.withColumns(
         {
-            "RetailPrice" + UNITS_SUFFIX: price_units("RetailPrice", price_scale),
-            "SupplierPrice" + UNITS_SUFFIX: price_units("SupplierPrice", price_scale),
+            "RetailPrice" + UNITS_SUFFIX: price_units(products, "RetailPrice", price_scale),
+            "SupplierPrice" + UNITS_SUFFIX: price_units(products, "SupplierPrice", price_scale),
         }
     )
 
@@ -45,7 +45,7 @@ def line_amount(df: DataFrame, price: str, price_scale: int = DEFAULT_PRICE_SCAL
     """Quantity x price in exact LONG minor units; uses the precomputed ``<price>Units`` column
     when the frame carries it, else converts ``price`` row by row."""
     pre = price + UNITS_SUFFIX
-    unit = F.col(pre) if pre in df.columns else price_units(price, price_scale)
+    unit = F.col(pre) if pre in df.columns else price_units(df, price, price_scale)
     return F.col("Quantity").cast("long") * unit
 
 
@@ -195,9 +195,11 @@ def kpi_facts(
 def kpi_summary(facts: DataFrame) -> DataFrame:
     """Sums per (Year, StoreId) and per (Year, Family) in one GROUPING SETS aggregate.
 
-    ``Grain`` names the set a row belongs to ('StoreId' or 'Family'); the other key is NULL.
+    ``Grain`` names the set a row belongs to ('StoreId' or 'Family'); the other key is NULL. The facts are
+    first summed per (Year, StoreId, Family), so only that small result is expanded to both sets.
     """
-    grouped = facts.groupingSets([["Year", "StoreId"], ["Year", "Family"]], "Year", "StoreId", "Family").agg(
+    sums = facts.groupBy("Year", "StoreId", "Family").agg(*[F.sum(m).alias(m) for m in _SUMMARY_MEASURES])
+    grouped = sums.groupingSets([["Year", "StoreId"], ["Year", "Family"]], "Year", "StoreId", "Family").agg(
         F.sum("RevenueUnits").alias("RevenueUnits"),
         F.sum("CostUnits").alias("CostUnits"),
         F.sum("UnitsSold").alias("UnitsSold"),

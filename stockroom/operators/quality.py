@@ -38,12 +38,12 @@ def table_shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("Rows")).select("Rows", F.lit(len(df.columns)).alias("Columns"))
 
 
-def profile(df: DataFrame, cols: Sequence[str] | None = None, digits: int = 6) -> DataFrame:
+def profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Per column, one row: Count, and for numeric columns Mean, sample StdDev, Min, Max
     (DOUBLE), for string columns MinText, MaxText (default: every numeric and string column).
 
     One pass over the data (a single global aggregate), then the wide row is turned into one
-    row per column with ``explode``. Mean and StdDev are rounded to ``digits`` decimals.
+    row per column with ``explode``.
     """
     names = list(cols) if cols else [
         f.name for f in df.schema.fields if isinstance(f.dataType, (*_NUMERIC, T.StringType))
@@ -62,8 +62,8 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None, digits: int = 6) -
             F.struct(
                 F.lit(n).alias("Column"),
                 F.col(f"n{i}").alias("Count"),
-                (no_double if text else F.round(f"mean{i}", digits)).alias("Mean"),
-                (no_double if text else F.round(f"sd{i}", digits)).alias("StdDev"),
+                (no_double if text else F.col(f"mean{i}")).alias("Mean"),
+                (no_double if text else F.col(f"sd{i}")).alias("StdDev"),
                 (no_double if text else F.col(f"min{i}")).alias("Min"),
                 (no_double if text else F.col(f"max{i}")).alias("Max"),
                 (F.col(f"min{i}") if text else no_text).alias("MinText"),
@@ -73,6 +73,12 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None, digits: int = 6) -
     return df.agg(*aggs).select(F.explode(F.array(*structs)).alias("s")).select("s.*")
 
 
+def duplicate_products(products: DataFrame) -> DataFrame:
+    """Product ids that occur more than once, with their number of rows. Each of their facts would
+    be counted that many times by the enrichment."""
+    return products.groupBy("ProductId").agg(F.count(F.lit(1)).alias("Rows")).where(F.col("Rows") > 1)
+
+
 def date_range(df: DataFrame, col: str = "Date") -> DataFrame:
     """Earliest and latest date (``describe`` skips date columns)."""
     return df.agg(F.min(col).alias("MinDate"), F.max(col).alias("MaxDate"))

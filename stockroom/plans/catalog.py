@@ -8,23 +8,29 @@ Money columns are converted to DOUBLE at the end of a query; dates stay DATE.
 from __future__ import annotations
 
 import importlib
+import tempfile
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockroom.config import FAMILY_GRAIN, FIXTURE_PERIOD, ROOT_GRAIN
+from stockroom import schemas
+from stockroom.config import FAMILY_GRAIN, FIXTURE_PERIOD, FIXTURE_PRICE_SCALE, ROOT_GRAIN
 from stockroom.functions.dates import days_in_year
 from stockroom.functions.money import units_to_double
 from stockroom.operators import kpi as K
 from stockroom.operators import quality as Q
+from stockroom.plans import pipeline as job
+from stockroom.session import scratch_path, shared_or_local
 from stockroom.sources.fixtures import derive_inputs
+from stockroom.sources.parquet import write_table
 
 # The package re-exports functions named like these two modules, so import the modules by path.
 E = importlib.import_module("stockroom.operators.enrich")
 L = importlib.import_module("stockroom.operators.ledger")
 
-P = FIXTURE_PERIOD
+P, SCALE = FIXTURE_PERIOD, FIXTURE_PRICE_SCALE
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -32,11 +38,22 @@ class Frames:
     """The fixture inputs of one test-data folder and the frames derived from them (lazy)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
         self.raw = derive_inputs(spark, sf_dir)
         self.products = Q.clean(self.raw.products)
         self.sales = Q.clean(self.raw.sales)
         self.movements = Q.clean(self.raw.stock_movements)
 
+    @cached_property
+    def dimension(self) -> DataFrame:
+        """The clean products with exact unit prices, measured once for all joins of a query."""
+        return E.sized_broadcast(K.with_price_units(self.products, SCALE))
+
+    def saved(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written to the shared checkpoint folder and read again."""
+        shared_or_local(self.spark, tempfile.gettempdir())
+        return job.save(df, scratch_path(self.spark, name))
+
     # --- enrichment -------------------------------------------------------------------
     def sales_in_period(self) -> DataFrame:
         return E.period_filter(self.sales, P)
@@ -45,14 +62,27 @@ class Frames:
         return E.period_filter(self.movements, P)
 
     def sales_enriched(self) -> DataFrame:
-        return E.enrich(self.sales_in_period(), self.products, ["Family", "RetailPrice"])
+        return E.enrich(self.sales_in_period(), self.dimension, ["Family", "RetailPrice", "RetailPriceUnits"], None)
 
     def inbounds_enriched(self) -> DataFrame:
-        return E.enrich(self.inbounds_in_period(), self.products, ["Family", "SupplierPrice"])
+        return E.enrich(self.inbounds_in_period(), self.dimension, ["Family", "SupplierPrice", "SupplierPriceUnits"], None)
 
     def movements_at(self, grain: tuple[str, ...]) -> DataFrame:
-        return E.enrich(self.movements, self.products, [grain[0]])
+        return E.enrich(self.movements, self.dimension, [grain[0]], None)
+
+    def unmatched(self, fact: DataFrame) -> DataFrame:
+        return E.unmatched(fact, self.dimension, None)
+
+    # --- the job's own plan -------------------------------------------------------------
+    def cube(self) -> DataFrame:
+        return job.movement_cube(self.movements, self.dimension, P, SCALE, None)
+
+    def summary_job(self) -> DataFrame:
+        return job.summary_of(self.sales, self.dimension, self.cube(), P, SCALE)
 
+    def daily(self, grain=ROOT_GRAIN) -> DataFrame:
+        """The daily table of written intervals, spread by their measured days."""
+        return job.daily_table(self.saved(self.intervals(grain), "intervals"), grain)
     # --- ledger, step by step ---------------------------------------------------------
     def net(self, grain=ROOT_GRAIN) -> DataFrame:
         return L.net_movements(self.movements_at(grain), grain)
@@ -73,10 +103,10 @@ class Frames:
 
     # --- KPI halves ---------------------------------------------------------------------
     def revenue(self, by: str) -> DataFrame:
-        return K.revenue(self.sales_enriched(), by)
+        return K.revenue(self.sales_enriched(), by, SCALE)
 
     def cost(self, by: str) -> DataFrame:
-        return K.inbound_cost(self.inbounds_enriched(), by)
+        return K.inbound_cost(self.inbounds_enriched(), by, SCALE)
 
     def units(self, by: str) -> DataFrame:
         return K.units_sold(self.sales_enriched(), by)
@@ -101,41 +131,56 @@ def _double(df: DataFrame, col: str) -> DataFrame:
 
 
 def _days_in_year(f: Frames) -> DataFrame:
-    years = f.stock_days("Family").select("Year").distinct()
+    """The years from the first movement (or the period's start) to the period's end."""
+    first = f.movements.agg(F.greatest(F.min("Date"), P.start_lit).alias("First")).where(F.col("First") <= P.end_lit)
+    years = first.select(F.explode(F.sequence(F.year("First"), F.year(P.end_lit))).alias("Year"))
     return years.select("Year", days_in_year("Year").alias("DaysInTheYear"))
 
 
-def _interval_stock_job(f: Frames) -> DataFrame:
-    """``interval_stock`` through the job's own plan: movement cube, then one key exchange."""
-    from stockroom.plans.pipeline import movement_cube
+def _reconcile_quantity(f: Frames) -> DataFrame:
+    """One enrichment, written once; both nets come from its sums per (root, family, store, day)."""
+    enriched = E.enrich(f.movements, f.dimension, ["ProductRootCode", "Family"], None)
+    enriched = f.saved(enriched.select("ProductRootCode", "Family", "StoreId", "Date", "Quantity"), "enriched")
+    return Q.reconcile_quantity(enriched, L.net_movements(enriched, ROOT_GRAIN), enriched, L.net_movements(enriched, FAMILY_GRAIN))
+
+
+def _reconcile_days(f: Frames) -> DataFrame:
+    """The intervals are built once and written; the daily rows are those of the written table."""
+    intervals = f.saved(f.intervals(), "intervals")
+    return Q.reconcile_days(intervals, job.daily_table(intervals, ROOT_GRAIN))
+
+
+def _compare_grains(f: Frames) -> DataFrame:
+    """Both ledgers from one movement cube."""
+    cube = f.saved(f.cube(), "cube")
+    family = L.ledger(cube.select(*FAMILY_GRAIN, "Date", "Quantity"), FAMILY_GRAIN, P)
+    return Q.compare_grains(job.root_intervals(cube, P), family)
 
-    cube = movement_cube(f.movements, f.products, P)
-    return L.ledger(cube.select(*ROOT_GRAIN, "Date", "Quantity"), ROOT_GRAIN, P, colocate=True)
 
+def _profile(df: DataFrame) -> DataFrame:
+    """The profile to six digits: two engines sum in different orders."""
+    found = Q.profile(df)
+    return found.withColumns({c: F.round(c, 6) for c in ("Mean", "StdDev")})
 
-def _kpi_summary_job(f: Frames) -> DataFrame:
-    """The KPI summary through the job's own plan: priced dimension, movement cube, family ledger
-    from the cube."""
-    from stockroom.plans.pipeline import movement_cube
 
-    priced = K.with_price_units(f.products)
-    cube = movement_cube(f.movements, priced, P)
-    sales = E.enrich(f.sales_in_period(), priced, ["Family", "RetailPriceUnits"])
-    inbound = cube.where(P.contains("Date") & (F.col("InboundRows") > 0))
-    family_iv = L.ledger(cube.select(*FAMILY_GRAIN, "Date", "Quantity"), FAMILY_GRAIN, P)
-    return _summary_doubles(K.kpi_summary(K.kpi_facts(sales, inbound, family_iv)))
+def _written(f: Frames) -> DataFrame:
+    """``interval_stock`` as it is published: written through the sink with timestamps, read again."""
+    shared_or_local(f.spark, tempfile.gettempdir())
+    path = f"{scratch_path(f.spark, 'published')}/interval_stock.parquet"
+    write_table(job.root_intervals(f.cube(), P), path, contract=schemas.INTERVAL_STOCK)
+    return f.spark.read.parquet(path).withColumns({c: F.col(c).cast("date") for c in ("StartDate", "EndDate")})
 
 
 def _summary_doubles(summary: DataFrame) -> DataFrame:
     return summary.select(
         *[c for c in summary.columns if not c.endswith("Units")],
-        units_to_double("RevenueUnits").alias("Revenue"),
-        units_to_double("CostUnits").alias("Cost"),
+        units_to_double("RevenueUnits", SCALE).alias("Revenue"),
+        units_to_double("CostUnits", SCALE).alias("Cost"),
     )
 
 
 def _kpi_summary(f: Frames) -> DataFrame:
-    facts = K.kpi_facts(f.sales_enriched(), f.inbounds_enriched(), f.intervals(FAMILY_GRAIN))
+    facts = K.kpi_facts(f.sales_enriched(), f.inbounds_enriched(), f.intervals(FAMILY_GRAIN), SCALE)
     return _summary_doubles(K.kpi_summary(facts))
 
 
@@ -149,9 +194,9 @@ QUERIES: dict[str, Query] = {
     "null_movements": _q(lambda f: Q.null_rejects(f.raw.stock_movements)),
     # Enrichment and period
     "enrich_movements": _q(lambda f: f.movements_at(ROOT_GRAIN)),
-    "enrich_sales": _q(lambda f: f.sales_enriched()),
-    "unmatched_sales": _q(lambda f: E.unmatched(f.sales_in_period(), f.products)),
-    "unmatched_movements": _q(lambda f: E.unmatched(f.inbounds_in_period(), f.products)),
+    "enrich_sales": _q(lambda f: f.sales_enriched().drop("RetailPriceUnits")),
+    "unmatched_sales": _q(lambda f: f.unmatched(f.sales_in_period())),
+    "unmatched_movements": _q(lambda f: f.unmatched(f.inbounds_in_period())),
     "sales_in_period": _q(lambda f: f.sales_in_period()),
     "inbounds_in_period": _q(lambda f: f.inbounds_in_period()),
     # ledger
@@ -164,14 +209,16 @@ QUERIES: dict[str, Query] = {
     "stock_intervals_all": _q(lambda f: f.intervals_all()),
     "interval_stock": _q(lambda f: f.intervals()),
     "interval_stock_steps": _q(lambda f: L.positive_intervals(f.intervals_all())),
-    "interval_stock_job": _q(_interval_stock_job),
+    "interval_stock_job": _q(lambda f: job.root_intervals(f.cube(), P)),
     "nonpositive_intervals": _q(lambda f: L.nonpositive_intervals(f.intervals_all())),
     "interval_stock_family": _q(lambda f: f.intervals(FAMILY_GRAIN)),
     "net_movements_family": _q(lambda f: f.net(FAMILY_GRAIN)),
     "pruned_stock_family": _q(lambda f: L.prunable_keys(f.timeline(FAMILY_GRAIN), FAMILY_GRAIN, P.start)),
     "nonpositive_intervals_family": _q(lambda f: L.nonpositive_intervals(f.intervals_all(FAMILY_GRAIN))),
-    "daily_stock": _q(lambda f: L.densify_daily(f.intervals(), ROOT_GRAIN)),
-    "daily_stock_family": _q(lambda f: L.densify_daily(f.intervals(FAMILY_GRAIN), FAMILY_GRAIN)),
+    "daily_stock": _q(lambda f: f.daily()),
+    "daily_stock_family": _q(lambda f: f.daily(FAMILY_GRAIN)),
+    "daily_stock_job": _q(lambda f: job.daily_table(f.saved(job.root_intervals(f.cube(), P), "intervals"), ROOT_GRAIN)),
+    "interval_stock_written": _q(_written),
     # profit
     "revenue_by_family": _q(lambda f: _double(f.revenue("Family"), "Revenue")),
     "revenue_by_store": _q(lambda f: _double(f.revenue("StoreId"), "Revenue")),
@@ -191,21 +238,19 @@ QUERIES: dict[str, Query] = {
     "store_rotation": _q(lambda f: K.turnover(f.units("StoreId"), f.average("StoreId"), "StoreId")),
     # all four KPI tables in one GROUPING SETS aggregate (what the pipeline runs)
     "kpi_summary": _q(_kpi_summary),
-    "kpi_summary_job": _q(_kpi_summary_job),
+    "kpi_summary_job": _q(lambda f: _summary_doubles(f.summary_job())),
+    **{f"{name}_job": _q(lambda f, name=name: job.kpi_table(f.summary_job(), name, SCALE)) for name in job.KPI_SORT},
     # audits
     "shape_movements": _q(lambda f: Q.table_shape(f.raw.stock_movements)),
     "shape_sales": _q(lambda f: Q.table_shape(f.raw.sales)),
     "shape_products": _q(lambda f: Q.table_shape(f.raw.products)),
-    "profile_sales": _q(lambda f: Q.profile(f.raw.sales)),
-    "profile_products": _q(lambda f: Q.profile(f.raw.products)),
-    "profile_movements": _q(lambda f: Q.profile(f.raw.stock_movements)),
+    "profile_sales": _q(lambda f: _profile(f.raw.sales)),
+    "profile_products": _q(lambda f: _profile(f.raw.products)),
+    "profile_movements": _q(lambda f: _profile(f.raw.stock_movements)),
+    "duplicate_products": _q(lambda f: Q.duplicate_products(f.raw.products)),
     "date_range_movements": _q(lambda f: Q.date_range(f.raw.stock_movements)),
     "date_range_sales": _q(lambda f: Q.date_range(f.raw.sales)),
-    "reconcile_quantity": _q(
-        lambda f: Q.reconcile_quantity(
-            f.movements_at(ROOT_GRAIN), f.net(ROOT_GRAIN), f.movements_at(FAMILY_GRAIN), f.net(FAMILY_GRAIN)
-        )
-    ),
-    "reconcile_days": _q(lambda f: Q.reconcile_days(f.intervals(), L.densify_daily(f.intervals(), ROOT_GRAIN))),
-    "compare_grains": _q(lambda f: Q.compare_grains(f.intervals(ROOT_GRAIN), f.intervals(FAMILY_GRAIN))),
+    "reconcile_quantity": _q(_reconcile_quantity),
+    "reconcile_days": _q(_reconcile_days),
+    "compare_grains": _q(_compare_grains),
 }

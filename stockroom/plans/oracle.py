@@ -65,15 +65,15 @@ products AS (
          CAST(p_retailprice * 0.5 AS FLOAT) AS SupplierPrice,
          CAST(CASE WHEN p_partkey % 50 = 7 THEN NULL ELSE p_retailprice END AS FLOAT) AS RetailPrice,
          p_type AS Family
-  FROM part WHERE p_partkey % 40 <> 11),
+  FROM part),
 sales AS (
-  SELECT CAST(l_suppkey AS INTEGER) AS StoreId, CAST(l_partkey AS INTEGER) AS ProductId,
+  SELECT CAST(l_suppkey AS INTEGER) AS StoreId, CAST(CASE WHEN l_partkey % 40 = 11 THEN l_partkey + 1000000000 ELSE l_partkey END AS INTEGER) AS ProductId,
          CAST(l_shipdate AS DATE) AS "Date",
-         CAST(CASE WHEN l_orderkey % 997 = 0 THEN NULL WHEN l_returnflag = 'R' THEN -l_quantity
+         CAST(CASE WHEN l_orderkey % 997 = 0 THEN NULL WHEN l_returnflag = 'R' OR l_suppkey % 10 = 3 THEN -l_quantity
                    ELSE l_quantity END AS INTEGER) AS Quantity
-  FROM lineitem WHERE l_linestatus = 'O' AND l_suppkey % 10 <> 3),
+  FROM lineitem),
 stock_movements AS (
-  SELECT CAST(l_suppkey AS INTEGER) AS StoreId, CAST(l_partkey AS INTEGER) AS ProductId,
+  SELECT CAST(l_suppkey AS INTEGER) AS StoreId, CAST(CASE WHEN l_partkey % 40 = 11 THEN l_partkey + 1000000000 ELSE l_partkey END AS INTEGER) AS ProductId,
          CASE WHEN l_orderkey % 991 = 0 THEN NULL ELSE CAST(l_shipdate AS DATE) END AS "Date",
          CAST(CASE WHEN l_suppkey % 10 = 4 THEN -l_quantity
                    WHEN l_suppkey % 10 = 5 AND l_shipdate <= TIMESTAMP '1999-01-01 00:00:00' THEN 0
@@ -102,16 +102,16 @@ m_inbound AS (
 {_ledger_ctes("f", "Family")},
 rev_family AS (
   SELECT CAST(year("Date") AS INTEGER) AS "Year", Family,
-         SUM(Quantity * CAST(RetailPrice AS DECIMAL(12,2))) AS Revenue FROM s_enriched GROUP BY 1, 2),
+         SUM(Quantity * CAST(RetailPrice AS DECIMAL(14,3))) AS Revenue FROM s_enriched GROUP BY 1, 2),
 rev_store AS (
   SELECT CAST(year("Date") AS INTEGER) AS "Year", StoreId,
-         SUM(Quantity * CAST(RetailPrice AS DECIMAL(12,2))) AS Revenue FROM s_enriched GROUP BY 1, 2),
+         SUM(Quantity * CAST(RetailPrice AS DECIMAL(14,3))) AS Revenue FROM s_enriched GROUP BY 1, 2),
 cost_family AS (
   SELECT CAST(year("Date") AS INTEGER) AS "Year", Family,
-         SUM(Quantity * CAST(SupplierPrice AS DECIMAL(12,2))) AS Cost FROM m_inbound GROUP BY 1, 2),
+         SUM(Quantity * CAST(SupplierPrice AS DECIMAL(14,3))) AS Cost FROM m_inbound GROUP BY 1, 2),
 cost_store AS (
   SELECT CAST(year("Date") AS INTEGER) AS "Year", StoreId,
-         SUM(Quantity * CAST(SupplierPrice AS DECIMAL(12,2))) AS Cost FROM m_inbound GROUP BY 1, 2),
+         SUM(Quantity * CAST(SupplierPrice AS DECIMAL(14,3))) AS Cost FROM m_inbound GROUP BY 1, 2),
 units_family AS (
   SELECT CAST(year("Date") AS INTEGER) AS "Year", Family, CAST(SUM(Quantity) AS BIGINT) AS UnitsSold
   FROM s_enriched GROUP BY 1, 2),
@@ -176,11 +176,11 @@ def _profile(table: str, numeric: list[str], text: list[str] = ()) -> str:
 _KPI_FACTS = """
 kpi_facts AS (
   SELECT CAST(year("Date") AS INTEGER) AS "Year", StoreId, Family,
-         Quantity * CAST(RetailPrice AS DECIMAL(12,2)) AS Revenue, NULL AS Cost,
+         Quantity * CAST(RetailPrice AS DECIMAL(14,3)) AS Revenue, NULL AS Cost,
          CAST(Quantity AS BIGINT) AS UnitsSold, NULL AS StockDays, 1 AS SalesRows, NULL AS CostRows, NULL AS StockRows
   FROM s_enriched
   UNION ALL
-  SELECT CAST(year("Date") AS INTEGER), StoreId, Family, NULL, Quantity * CAST(SupplierPrice AS DECIMAL(12,2)),
+  SELECT CAST(year("Date") AS INTEGER), StoreId, Family, NULL, Quantity * CAST(SupplierPrice AS DECIMAL(14,3)),
          NULL, NULL, NULL, 1, NULL
   FROM m_inbound
   UNION ALL
@@ -282,6 +282,11 @@ FROM (SELECT (SELECT CAST(COALESCE(SUM(Stock), 0) AS BIGINT) FROM r_daily) AS r,
 }
 
 
+_BODIES["daily_stock_job"] = _BODIES["daily_stock"]  # the published plans, same results
+_BODIES["interval_stock_written"] = _BODIES["interval_stock"]
+for _name in ("store_benefits", "family_benefits", "store_rotation", "family_rotation"):
+    _BODIES[f"{_name}_job"] = _BODIES[_name]
+_BODIES["duplicate_products"] = 'SELECT ProductId, COUNT(*) AS "Rows" FROM products GROUP BY ProductId HAVING COUNT(*) > 1'
 _BODIES["kpi_summary_job"] = _BODIES["kpi_summary"]  # same result, computed by the job's plan
 
 

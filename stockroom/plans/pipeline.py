@@ -21,6 +21,8 @@ Plan
 
 from __future__ import annotations
 
+import hashlib
+import json
 import math
 import time
 from collections.abc import Callable
@@ -39,6 +41,7 @@ from stockroom.config import (
     ROOT_GRAIN,
     Period,
 )
+from stockroom.functions.money import price_scale_of
 from stockroom.operators.enrich import enrich, period_filter, sized_broadcast
 from stockroom.operators.kpi import (
     benefits_from_summary,
@@ -51,7 +54,7 @@ from stockroom.operators.kpi import (
 from stockroom.operators.ledger import densify_daily, ledger
 from stockroom.operators.quality import clean
 from stockroom.plans.shape import plan_counts
-from stockroom.session import scratch_path
+from stockroom.session import remove_path, require_ansi, scratch_path
 from stockroom.sources.parquet import DEFAULT_COMPRESSION, Inputs, read_inputs, write_table
 
 KPI_SORT = {
@@ -94,6 +97,43 @@ def movement_cube(
     )
 
 
+def priced_products(products: DataFrame, price_scale: int, broadcast_max_bytes: int | None = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
+    """The clean products as the job joins them: exact unit prices, measured once, broadcast when small."""
+    narrow = with_price_units(products, price_scale).select(
+        "ProductId", "ProductRootCode", "Family", "SupplierPriceUnits", "RetailPriceUnits"
+    )
+    return sized_broadcast(narrow, broadcast_max_bytes)
+
+
+def root_intervals(cube: DataFrame, period: Period) -> DataFrame:
+    """The published ledger from the cube. The cube holds one row per (root, family, store, day): a
+    (root, store) key has at most days x families-of-the-root rows, so one hash exchange by key is safe."""
+    return ledger(cube.select(*ROOT_GRAIN, "Date", "Quantity"), ROOT_GRAIN, period, colocate=True)
+
+
+def daily_table(intervals: DataFrame, grain: tuple[str, ...], rows_per_task: int = DEFAULT_DAILY_ROWS_PER_TASK) -> DataFrame:
+    """The daily table of written ``intervals``, over as many tasks as their measured days ask for."""
+    days = intervals.agg(F.sum(F.datediff("EndDate", "StartDate") + 1)).first()[0] or 0
+    tasks = daily_task_count(days, rows_per_task, intervals.sparkSession.sparkContext.defaultParallelism)
+    return densify_daily(intervals, grain, partitions=tasks)
+
+
+def summary_of(sales: DataFrame, products: DataFrame, cube: DataFrame, period: Period, price_scale: int) -> DataFrame:
+    """The KPI summary from clean sales, priced products and the movement cube."""
+    sales_e = enrich(period_filter(sales, period), products, ["Family", "RetailPriceUnits"], None)
+    inbound = cube.where(period.contains("Date") & (F.col("InboundRows") > 0))
+    family_iv = ledger(cube.select(*FAMILY_GRAIN, "Date", "Quantity"), FAMILY_GRAIN, period)
+    return kpi_summary(kpi_facts(sales_e, inbound, family_iv, price_scale))
+
+
+def kpi_table(summary: DataFrame, name: str, price_scale: int) -> DataFrame:
+    """One of the four published KPI tables from the summary."""
+    by = "StoreId" if name.startswith("store") else "Family"
+    if name.endswith("benefits"):
+        return benefits_from_summary(summary, by, price_scale)
+    return rotation_from_summary(summary, by)
+
+
 def daily_task_count(total_rows: int, rows_per_task: int, parallelism: int) -> int:
     """Tasks for the daily table: enough that none writes more than ``rows_per_task`` rows.
 
@@ -123,6 +163,28 @@ def committed(spark: SparkSession, path: str) -> bool:
     return True
 
 
+#: Changes whenever an intermediate table changes its meaning.
+LAYOUT = 2
+
+
+def fingerprint(inputs: Inputs, period: Period, price_scale: int) -> str:
+    """What an intermediate table depends on, as text: parameters, layout version and the input files with
+    size and time (or the plan, for inputs that are no files)."""
+    tables = {}
+    for name in ("products", "sales", "stock_movements"):
+        df = getattr(inputs, name)
+        files = df.inputFiles()
+        if files:
+            listed = df.sparkSession.read.format("binaryFile").load(files).select(F.xxhash64("path", "modificationTime", "length").alias("h"))
+            row = listed.agg(F.count("*").alias("n"), F.sum(F.col("h").cast("decimal(20,0)")).alias("sum")).first()
+            names = hashlib.sha256("\n".join(sorted(files)).encode()).hexdigest()
+            tables[name] = [names, row["n"], str(row["sum"])]
+        else:
+            tables[name] = [df.semanticHash()]
+        tables[name].append(df.schema.simpleString())
+    return json.dumps({"layout": LAYOUT, "period": [str(period.start), str(period.end)], "price_scale": price_scale, "inputs": tables}, sort_keys=True)
+
+
 @dataclass
 class PipelineRun:
     out_dir: str
@@ -139,23 +201,29 @@ def run_pipeline(
     inputs: Inputs | None = None,
     period: Period = BUSINESS_PERIOD,
     timestamp_output: bool = True,
-    price_scale: int = DEFAULT_PRICE_SCALE,
+    price_scale: int | None = None,
     broadcast_max_bytes: int | None = DEFAULT_BROADCAST_MAX_BYTES,
     daily_rows_per_task: int = DEFAULT_DAILY_ROWS_PER_TASK,
     tables: tuple[str, ...] | None = None,
     on_step: Callable[[str, float], None] | None = None,
     scratch_dir: str | None = None,
     record_plans: bool = False,
+    keep_scratch: bool = False,
+    daily_by_year: bool = False,
 ) -> PipelineRun:
     """Compute and write the six tables below ``out_dir``; returns the seconds of each step.
 
-    Intermediate tables go to a fresh folder below the session's ``spark.checkpoint.dir``.
-    ``tables`` restricts the published outputs (all six by default).
+    Intermediate tables go to a fresh folder below the session's ``spark.checkpoint.dir``, which is
+    removed when all tables are written (``keep_scratch`` keeps it). ``tables`` restricts the published
+    outputs (all six by default). ``price_scale`` is the number of decimals that a price may have; by
+    default that of DECIMAL prices, at least 2. ``daily_by_year`` writes ``daily_stock`` in folders
+    ``Year=...``.
 
-    ``scratch_dir`` resumes an interrupted run of the *same* job (same inputs and parameters):
-    pass the ``scratch_dir`` of the failed run and every intermediate table whose write was
-    committed there is read back instead of recomputed (listed in ``PipelineRun.reused``).
-    Executor loss needs none of this (Spark re-runs the lost tasks); it is for a lost driver.
+    ``scratch_dir`` resumes an interrupted run of the *same* job: pass the ``scratch_dir`` of the failed
+    run and every intermediate table whose write was committed there is read back instead of recomputed
+    (listed in ``PipelineRun.reused``). A manifest beside each table holds the parameters and input files
+    it was made from; any difference raises. Executor loss needs none of this (Spark re-runs the lost
+    tasks); it is for a lost driver.
 
     ``record_plans`` stores the shuffle/sort/window counts of each step's physical plan in
     ``PipelineRun.plans``.
@@ -164,10 +232,14 @@ def run_pipeline(
         if in_dir is None:
             raise ValueError("give in_dir or inputs")
         inputs = read_inputs(spark, in_dir)
+    require_ansi(spark)
+    if price_scale is None:
+        price_scale = price_scale_of(inputs.products)
     wanted = set(tables or ("interval_stock", "daily_stock", *KPI_SORT))
     out = out_dir.rstrip("/")
     scratch = scratch_dir.rstrip("/") if scratch_dir else scratch_path(spark, "pipeline")
     run = PipelineRun(out_dir=out, scratch_dir=scratch)
+    made_from = fingerprint(inputs, period, price_scale)
 
     def shape(name: str, df: DataFrame) -> DataFrame:
         if record_plans:
@@ -176,9 +248,15 @@ def run_pipeline(
 
     def saved(name: str, build: Callable[[], DataFrame]) -> DataFrame:
         path = f"{scratch}/{name}"
+        manifest = f"{scratch}/{name}.manifest"
         if scratch_dir and committed(spark, path):
+            known = spark.read.text(manifest).first()[0] if committed(spark, manifest) else "no manifest"
+            if known != made_from:
+                raise ValueError(f"{path} was made from other inputs or parameters: {known}; this run has {made_from}")
             run.reused.append(name)
             return spark.read.parquet(path)
+        # the manifest first: a committed table always has one
+        spark.createDataFrame([(made_from,)], "value string").coalesce(1).write.mode("overwrite").text(manifest)
         return save(shape(name, build()), path)
 
     def step(name: str, action: Callable[[], object]) -> object:
@@ -193,12 +271,7 @@ def run_pipeline(
     # fact joins when small enough (the broadcast hint survives the per-join column selection).
     products = step(
         "product_dimension",
-        lambda: sized_broadcast(
-            with_price_units(clean(inputs.products), price_scale).select(
-                "ProductId", "ProductRootCode", "Family", "SupplierPriceUnits", "RetailPriceUnits"
-            ),
-            broadcast_max_bytes,
-        ),
+        lambda: priced_products(clean(inputs.products), price_scale, broadcast_max_bytes),
     )
     sales = clean(inputs.sales)
     movements = clean(inputs.stock_movements)
@@ -211,12 +284,7 @@ def run_pipeline(
     if wanted & {"interval_stock", "daily_stock"}:
         root_iv = step(
             "root_intervals",
-            lambda: saved(
-                "root_intervals",
-                # The cube holds one row per (root, family, store, day): a (root, store) key has at
-                # most days x families-of-the-root rows, so one hash exchange by key is skew-safe.
-                lambda: ledger(cube.select(*ROOT_GRAIN, "Date", "Quantity"), ROOT_GRAIN, period, colocate=True),
-            ),
+            lambda: saved("root_intervals", lambda: root_intervals(cube, period)),
         )
         if "interval_stock" in wanted:
             step(
@@ -231,33 +299,21 @@ def run_pipeline(
         if "daily_stock" in wanted:
 
             def write_daily() -> None:
-                days = root_iv.agg(F.sum(F.datediff("EndDate", "StartDate") + 1)).first()[0] or 0
-                tasks = daily_task_count(days, daily_rows_per_task, spark.sparkContext.defaultParallelism)
                 write_table(
-                    shape("daily_stock", densify_daily(root_iv, ROOT_GRAIN, partitions=tasks)),
+                    shape("daily_stock", daily_table(root_iv, ROOT_GRAIN, daily_rows_per_task)),
                     f"{out}/daily_stock.parquet",
                     timestamp_output,
                     contract=schemas.DAILY_STOCK,
+                    by_year=daily_by_year,
                 )
 
             step("daily_stock", write_daily)
 
     kpis = wanted & set(KPI_SORT)
     if kpis:
-
-        def build_summary() -> DataFrame:
-            sales_e = enrich(period_filter(sales, period), products, ["Family", "RetailPriceUnits"], None)
-            inbound = cube.where(period.contains("Date") & (F.col("InboundRows") > 0))
-            family_iv = ledger(cube.select(*FAMILY_GRAIN, "Date", "Quantity"), FAMILY_GRAIN, period)
-            return kpi_summary(kpi_facts(sales_e, inbound, family_iv, price_scale))
-
-        summary = step("kpi_summary", lambda: saved("kpi_summary", build_summary))
+        summary = step("kpi_summary", lambda: saved("kpi_summary", lambda: summary_of(sales, products, cube, period, price_scale)))
         for name in sorted(kpis):
-            by = "StoreId" if name.startswith("store") else "Family"
-            if name.endswith("benefits"):
-                table = benefits_from_summary(summary, by, price_scale)
-            else:
-                table = rotation_from_summary(summary, by)
+            table = kpi_table(summary, name, price_scale)
             step(
                 name,
                 lambda t=table, n=name: write_table(
@@ -269,4 +325,6 @@ def run_pipeline(
                     contract=schemas.OUTPUTS[n],
                 ),
             )
+    if not keep_scratch:
+        remove_path(spark, scratch)
     return run

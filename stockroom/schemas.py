@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,19 +86,50 @@ OUTPUTS = {
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select the contract columns in contract order, cast to the contract types.
 
-    Only the listed columns are selected, so the Parquet scan reads nothing else.
+    Only the listed columns are selected, so the Parquet scan reads nothing else. Nothing is rounded or
+    cut: a price keeps a DOUBLE, DECIMAL or integer type, a LONG Quantity stays LONG, and a value that is
+    no whole number, or outside the contract's integer range, raises (NaN counts as NULL). A timestamp
+    becomes its day.
     """
     missing = [f.name for f in schema.fields if f.name not in df.columns]
     if missing:
         raise ValueError(f"input is missing columns {missing}; has {df.columns}")
     return df.select(
         [
-            F.col(f.name) if df.schema[f.name].dataType == f.dataType else F.col(f.name).cast(f.dataType).alias(f.name)
-            for f in schema.fields
+            _wide(f.name, df.schema[f.name].dataType, f.dataType).alias(f.name) for f in schema.fields
         ]
     )
 
 
+_FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _wide(name: str, actual: T.DataType, wanted: T.DataType) -> Column:
+    """The column in the contract's type, or in a wider one of the input; never a narrowed value."""
+    col = F.col(name)
+    if actual == wanted:
+        return col
+    if isinstance(wanted, T.FloatType) and isinstance(actual, (*_FRACTIONAL, *_WHOLE)):
+        return col.cast("decimal(20,0)") if isinstance(actual, _WHOLE) else col
+    if not isinstance(wanted, T.IntegerType) or not isinstance(actual, (*_FRACTIONAL, *_WHOLE)):
+        return col.cast(wanted)
+    if name == "Quantity" and isinstance(actual, _WHOLE):
+        return col.cast("long") if isinstance(actual, T.LongType) else col.cast(wanted)
+    target = T.LongType() if name == "Quantity" else wanted
+    whole = col.try_cast(target)
+    problem = F.raise_error(F.concat(F.lit(f"{name} "), col.cast("string"), F.lit(f" is no {target.simpleString()}")))
+    missing = (col.isNull() | F.isnan(name)) if isinstance(actual, (T.FloatType, T.DoubleType)) else col.isNull()
+    return F.when(missing, F.lit(None).cast(target)).when(F.coalesce(whole.cast(actual) == col, F.lit(False)), whole).otherwise(problem)
+
+
+def with_dates(schema: T.StructType) -> T.StructType:
+    """A published contract for output whose dates are not converted to timestamps."""
+    return T.StructType(
+        [T.StructField(f.name, T.DateType() if isinstance(f.dataType, T.TimestampType) else f.dataType, f.nullable) for f in schema.fields]
+    )
+
+
 def schema_mismatches(df: DataFrame, schema: T.StructType, check_nullability: bool = True) -> list[str]:
     """Differences between a frame's schema and a contract; empty when they agree."""
     problems: list[str] = []

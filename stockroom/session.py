@@ -15,6 +15,7 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -66,6 +67,31 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     return root.rstrip("/")
 
 
+def require_ansi(spark: SparkSession) -> None:
+    """Sums and casts rely on ANSI mode to raise on overflow instead of giving NULL or wrapped values."""
+    if spark.conf.get("spark.sql.ansi.enabled", "true").lower() != "true":
+        raise RuntimeError("spark.sql.ansi.enabled is false; the sums of this job would not raise on overflow")
+
+
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process, so that a local folder is shared by all of them."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
+def shared_or_local(spark: SparkSession, fallback: str) -> str:
+    """The session's checkpoint folder; ``fallback`` only where none is set and the master is local."""
+    if not is_local(spark):
+        return checkpoint_root(spark)
+    return ensure_checkpoint_dir(spark, fallback)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it is in."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/stockroom/{uuid.uuid4().hex}/{name}"

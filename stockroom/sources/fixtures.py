@@ -3,26 +3,27 @@
 The reference ships schemas but no data. The fixtures map ``part`` to products and
 ``lineitem`` to sales and stock movements, with deliberate nulls, orphans, returns,
 all-negative stores and zero-start stores so every branch of the ledger is exercised.
-The derivation is a plain projection/filter of the source tables (no sampling): every
-row of ``lineitem`` becomes a stock movement.
+The derivation is a plain projection of the source tables: every row of ``part`` is a product,
+every row of ``lineitem`` a sale and a stock movement.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockroom import schemas
 from stockroom.sources.parquet import Inputs
 
 # Fixed values of the fixture definition (FIXTURES.md §2).
-PRODUCT_ABSENT_MOD, PRODUCT_ABSENT_REM = 40, 11  # products missing from the dimension -> orphan facts
+ORPHAN_MOD, ORPHAN_REM = 40, 11  # facts of these parts name a product that does not exist
+ORPHAN_SHIFT = 1_000_000_000  # above every part key
 PRICE_NULL_MOD, PRICE_NULL_REM = 50, 7  # products with a null RetailPrice
 ROOT_SIZE = 4  # ProductRootCode = floor(partkey / 4)
 SUPPLIER_PRICE_FACTOR = 0.5
-NO_SALES_STORE_REM = 3  # stores whose id ends in 3 never sell
+NO_SALES_STORE_REM = 3  # stores whose id ends in 3 never sell, they only take returns
 OUTBOUND_ONLY_STORE_REM = 4  # stores ending in 4 only lose stock
 ZERO_START_STORE_REM = 5  # stores ending in 5 start at zero
 ZERO_START_UNTIL = _dt.date(1999, 1, 1)
@@ -33,7 +34,7 @@ MOVEMENT_NULL_DATE_MOD = 991
 def derive_products(part: DataFrame) -> DataFrame:
     key = F.col("p_partkey")
     return schemas.conform(
-        part.where(key % PRODUCT_ABSENT_MOD != PRODUCT_ABSENT_REM).select(
+        part.select(
             F.floor(key / ROOT_SIZE).cast("int").alias("ProductRootCode"),
             key.cast("int").alias("ProductId"),
             (F.col("p_retailprice") * SUPPLIER_PRICE_FACTOR).cast("float").alias("SupplierPrice"),
@@ -47,15 +48,21 @@ def derive_products(part: DataFrame) -> DataFrame:
     )
 
 
+def _product_id() -> Column:
+    key = F.col("l_partkey")
+    shifted = F.when(key % ORPHAN_MOD == ORPHAN_REM, key + ORPHAN_SHIFT).otherwise(key)
+    return shifted.cast("int").alias("ProductId")
+
+
 def derive_sales(lineitem: DataFrame) -> DataFrame:
     qty = F.col("l_quantity")
     return schemas.conform(
-        lineitem.where((F.col("l_linestatus") == "O") & (F.col("l_suppkey") % 10 != NO_SALES_STORE_REM)).select(
+        lineitem.select(
             F.col("l_suppkey").cast("int").alias("StoreId"),
-            F.col("l_partkey").cast("int").alias("ProductId"),
+            _product_id(),
             F.col("l_shipdate").cast("date").alias("Date"),
             F.when(F.col("l_orderkey") % SALES_NULL_QTY_MOD == 0, F.lit(None))
-            .when(F.col("l_returnflag") == "R", -qty)
+            .when((F.col("l_returnflag") == "R") | (F.col("l_suppkey") % 10 == NO_SALES_STORE_REM), -qty)
             .otherwise(qty)
             .cast("int")
             .alias("Quantity"),
@@ -71,7 +78,7 @@ def derive_stock_movements(lineitem: DataFrame) -> DataFrame:
     return schemas.conform(
         lineitem.select(
             F.col("l_suppkey").cast("int").alias("StoreId"),
-            F.col("l_partkey").cast("int").alias("ProductId"),
+            _product_id(),
             F.when(F.col("l_orderkey") % MOVEMENT_NULL_DATE_MOD == 0, F.lit(None).cast("date"))
             .otherwise(ship_day)
             .alias("Date"),

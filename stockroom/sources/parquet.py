@@ -57,22 +57,27 @@ def write_table(
     partitions: int | None = None,
     contract: T.StructType | None = None,
     compression: str = DEFAULT_COMPRESSION,
+    by_year: bool = False,
 ) -> None:
     """Overwrite a Parquet directory.
 
     ``timestamp_output`` converts DateType columns to the timestamp type of the published
     contract. ``sort_by`` is meant for the small KPI tables only (readability); large
     tables are written in partition order. ``partitions`` coalesces small results into few files.
-    ``contract``: the published schema the written frame must have (checked before writing,
-    when dates are written as timestamps).
+    ``contract``: the published schema the written frame must have (checked before writing; with
+    DATE in place of timestamps when dates are written as they are). ``by_year`` adds folders
+    ``Year=...`` from the Date column, so that a reader of some years scans these alone.
     """
     out = dates_to_timestamps(df) if timestamp_output else df
-    if contract is not None and timestamp_output:
-        problems = schemas.schema_mismatches(out, contract)
+    if contract is not None:
+        problems = schemas.schema_mismatches(out, contract if timestamp_output else schemas.with_dates(contract))
         if problems:
             raise ValueError(f"{path}: output does not match its contract: {problems}")
     if partitions is not None:
         out = out.coalesce(partitions)
     if sort_by:
         out = out.sortWithinPartitions(*sort_by)
-    out.write.mode("overwrite").option("compression", compression).parquet(path)
+    writer = (out.withColumn("Year", F.year("Date")) if by_year else out).write
+    if by_year:
+        writer = writer.partitionBy("Year")
+    writer.mode("overwrite").option("compression", compression).parquet(path)

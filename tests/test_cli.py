@@ -18,7 +18,7 @@ def test_cli_writes_the_six_tables(spark):
     in_dir = tempfile.mkdtemp(prefix="stockroom-in-")
     out_dir = tempfile.mkdtemp(prefix="stockroom-out-")
     write_inputs(spark, SF_SMALL, in_dir)
-    cmd = [sys.executable, "-m", "stockroom", "--in", in_dir, "--out", out_dir, "--start", "1999-01-01", "--end", "2000-12-31"]
+    cmd = [sys.executable, "-m", "stockroom", "--in", in_dir, "--out", out_dir, "--start", "1999-01-01", "--end", "2000-12-31", "--price-scale", "3"]
     done = subprocess.run(cmd, cwd=ROOT, capture_output=True, text=True, timeout=600, env={**os.environ, "PYTHONPATH": ROOT})
     assert done.returncode == 0, done.stderr[-2000:]
     report = json.loads(done.stdout.strip().splitlines()[-1])

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 import pytest
 from conftest import make_facts, make_products
+from pyspark.errors import PySparkException
 
 from stockroom import schemas
 from stockroom.config import BUSINESS_PERIOD as P
 from stockroom.config import FAMILY_GRAIN
+from stockroom.functions.money import price_scale_of
 from stockroom.operators import (
     average_stock,
     benefits_from_summary,
     clean,
+    duplicate_products,
     enrich,
     inbound_cost,
     kpi_facts,
@@ -122,3 +127,43 @@ def test_profit_not_null_in_schema(spark):
     inb = enrich(period_filter(movements, P), products, ["Family", "SupplierPrice"])
     out = profit(revenue(sales_e, "StoreId"), inbound_cost(inb, "StoreId"), "StoreId")
     assert not out.schema["Profit"].nullable
+
+
+def _profit_at(spark, price_type, prices, quantities, scale=2):
+    """Profit of one store that sells ``quantities`` at ``prices`` of the given type."""
+    schema = f"ProductRootCode int, ProductId int, SupplierPrice {price_type}, RetailPrice {price_type}, Family string"
+    rows = [(i, i, prices[0], p, "A") for i, p in enumerate(prices)]
+    products = schemas.conform(spark.createDataFrame(rows, schema), schemas.PRODUCTS)
+    sales = make_facts(spark, [(1, i, "2019-05-01", q) for i, q in enumerate(quantities)], schemas.SALES)
+    cost = make_facts(spark, [(1, 0, "2019-05-01", -1)])
+    sales_e = enrich(period_filter(sales, P), products, ["Family", "RetailPrice"])
+    inbound = enrich(period_filter(cost, P), products, ["Family", "SupplierPrice"])
+    row = profit(revenue(sales_e, "StoreId", scale), inbound_cost(inbound, "StoreId", scale), "StoreId").first()
+    return row["Profit"]
+
+
+def test_prices_are_never_rounded(spark):
+    # 1,000 units each at 0.125 and 0.004: int x price gives 129.0
+    with pytest.raises(PySparkException, match="no exact value with 2 decimals"):
+        _profit_at(spark, "float", [0.125, 0.004], [1000, 1000])
+    assert _profit_at(spark, "float", [0.125, 0.004], [1000, 1000], scale=3) == 129.0
+    assert _profit_at(spark, "double", [1234567.89, 16777217.01], [1, 1]) == 18011784.90
+    assert _profit_at(spark, "decimal(12,4)", [Decimal("0.1250"), Decimal("0.0041")], [1000, 1000], scale=4) == 129.1
+    with pytest.raises(PySparkException, match="no exact value"):
+        _profit_at(spark, "decimal(12,4)", [Decimal("0.1250"), Decimal("0.0041")], [1000, 1000], scale=3)
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_prices_that_are_not_finite_raise(spark, kind):
+    with pytest.raises(PySparkException, match="no exact value"):
+        _profit_at(spark, kind, [10.0, float("inf")], [1, 1])
+
+
+def test_the_scale_comes_from_decimal_prices(spark):
+    frame = lambda kind: spark.createDataFrame([], f"SupplierPrice float, RetailPrice {kind}")
+    assert [price_scale_of(frame(k)) for k in ("float", "decimal(10,1)", "decimal(12,4)")] == [2, 2, 4]
+
+
+def test_duplicate_products_are_reported(spark):
+    products = make_products(spark, [(1, 10, 1.0, 2.0, "A"), (1, 10, 1.0, 3.0, "B"), (2, 20, 1.0, 1.0, "A")])
+    assert [tuple(r) for r in duplicate_products(products).collect()] == [(10, 2)]

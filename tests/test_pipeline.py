@@ -10,7 +10,7 @@ from conftest import SF_SMALL, collect_sorted
 from pyspark.sql import functions as F
 
 from stockroom import schemas
-from stockroom.config import FIXTURE_PERIOD
+from stockroom.config import FIXTURE_PERIOD, FIXTURE_PRICE_SCALE, Period
 from stockroom.plans.catalog import QUERIES
 from stockroom.plans.pipeline import run_pipeline
 from stockroom.sources import derive_inputs, write_inputs
@@ -21,7 +21,7 @@ def published(spark):
     in_dir = tempfile.mkdtemp(prefix="stockroom-in-")
     out_dir = tempfile.mkdtemp(prefix="stockroom-out-")
     write_inputs(spark, SF_SMALL, in_dir)
-    run = run_pipeline(spark, out_dir, in_dir=in_dir, period=FIXTURE_PERIOD, daily_rows_per_task=50_000)
+    run = run_pipeline(spark, out_dir, in_dir=in_dir, period=FIXTURE_PERIOD, price_scale=FIXTURE_PRICE_SCALE, daily_rows_per_task=50_000)
     return run
 
 
@@ -92,7 +92,7 @@ def test_date_output_and_table_selection(spark):
         spark,
         out_dir,
         in_dir=in_dir,
-        period=FIXTURE_PERIOD,
+        period=FIXTURE_PERIOD, price_scale=FIXTURE_PRICE_SCALE,
         timestamp_output=False,
         tables=("interval_stock", "store_rotation"),
     )
@@ -114,25 +114,80 @@ def test_resume_reuses_committed_intermediates(spark, published):
     assert not committed(spark, f"{scratch}/movement_cube")
     # an "interrupted" run: only the first outputs were produced before the driver went away
     first = run_pipeline(
-        spark, tempfile.mkdtemp(), in_dir=in_dir, period=FIXTURE_PERIOD, tables=("interval_stock",), scratch_dir=scratch
+        spark,
+        tempfile.mkdtemp(),
+        in_dir=in_dir,
+        period=FIXTURE_PERIOD,
+        price_scale=FIXTURE_PRICE_SCALE,
+        tables=("interval_stock",),
+        scratch_dir=scratch,
+        keep_scratch=True,
     )
     assert first.reused == [] and committed(spark, f"{scratch}/movement_cube")
     out_dir = tempfile.mkdtemp(prefix="stockroom-out-")
-    again = run_pipeline(spark, out_dir, in_dir=in_dir, period=FIXTURE_PERIOD, scratch_dir=scratch)
+    again = run_pipeline(spark, out_dir, in_dir=in_dir, period=FIXTURE_PERIOD, price_scale=FIXTURE_PRICE_SCALE, scratch_dir=scratch)
     assert again.reused == ["movement_cube", "root_intervals"]
+    assert not committed(spark, f"{scratch}/movement_cube")  # removed when all tables are written
     for name in ("interval_stock", "store_benefits", "family_rotation"):
         got = spark.read.parquet(f"{out_dir}/{name}.parquet")
         want = _read(spark, published, name)
         assert collect_sorted(got) == collect_sorted(want.select(*got.columns))
 
 
+def test_resume_refuses_tables_of_another_run(spark):
+    """Intermediates of other parameters or inputs raise instead of giving another run's tables."""
+    in_dir = tempfile.mkdtemp(prefix="stockroom-in-")
+    write_inputs(spark, SF_SMALL, in_dir)
+    only_1999 = Period.of("1999-01-01", "1999-12-31")
+    run = lambda **kw: run_pipeline(spark, tempfile.mkdtemp(), in_dir=in_dir, tables=("interval_stock",), keep_scratch=True, **kw)
+    first = run(period=only_1999, price_scale=FIXTURE_PRICE_SCALE)
+    with pytest.raises(ValueError, match="other inputs or parameters"):
+        run(period=FIXTURE_PERIOD, price_scale=FIXTURE_PRICE_SCALE, scratch_dir=first.scratch_dir)
+    with pytest.raises(ValueError, match="other inputs or parameters"):
+        run(period=only_1999, price_scale=4, scratch_dir=first.scratch_dir)
+    assert run(period=only_1999, price_scale=FIXTURE_PRICE_SCALE, scratch_dir=first.scratch_dir).reused
+    spark.read.parquet(f"{in_dir}/sales.parquet").limit(5).write.mode("append").parquet(f"{in_dir}/sales.parquet")
+    with pytest.raises(ValueError, match="other inputs or parameters"):
+        run(period=only_1999, price_scale=FIXTURE_PRICE_SCALE, scratch_dir=first.scratch_dir)
+
+
+def test_the_job_needs_ansi_mode(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(RuntimeError, match="ansi"):
+            run_pipeline(spark, tempfile.mkdtemp(), inputs=derive_inputs(spark, SF_SMALL), period=FIXTURE_PERIOD)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_contract_is_checked_with_date_output_too(spark):
+    from stockroom.sources import write_table
+
+    wrong = spark.createDataFrame([], "ProductRootCode int, StoreId int, StartDate date, EndDate date, Stock int")
+    with pytest.raises(ValueError, match="Stock: int != bigint"):
+        write_table(wrong, tempfile.mkdtemp() + "/t", timestamp_output=False, contract=schemas.INTERVAL_STOCK)
+
+
+def test_daily_table_by_year_is_pruned(spark):
+    from stockroom.plans.shape import plan_text
+    from stockroom.sources import write_table
+
+    path = tempfile.mkdtemp(prefix="stockroom-out-") + "/daily_stock.parquet"
+    daily = QUERIES["daily_stock"](spark, SF_SMALL)
+    write_table(daily, path, contract=schemas.DAILY_STOCK, by_year=True)
+    back = spark.read.parquet(path)
+    one = back.where("Year = 2000")
+    assert "PartitionFilters: [isnotnull(Year" in plan_text(one)
+    assert one.count() == daily.where(F.year("Date") == 2000).count() and back.count() == daily.count()
+
+
 def test_empty_facts_give_empty_tables(spark):
     from stockroom.sources.parquet import Inputs
 
     raw = derive_inputs(spark, SF_SMALL)
     inputs = Inputs(raw.products, raw.sales.limit(0), raw.stock_movements.limit(0))
     out_dir = tempfile.mkdtemp(prefix="stockroom-out-")
-    run_pipeline(spark, out_dir, inputs=inputs, period=FIXTURE_PERIOD)
+    run_pipeline(spark, out_dir, inputs=inputs, period=FIXTURE_PERIOD, price_scale=FIXTURE_PRICE_SCALE)
     for name in schemas.OUTPUTS:
         assert spark.read.parquet(f"{out_dir}/{name}.parquet").count() == 0, name
 

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime
+from decimal import Decimal
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from stockroom import schemas
@@ -17,10 +19,24 @@ def test_conform_selects_and_casts_in_contract_order(spark):
     )
     got = schemas.conform(raw, schemas.SALES)
     assert [f.name for f in got.schema.fields] == ["StoreId", "ProductId", "Date", "Quantity"]
-    assert [f.dataType.simpleString() for f in got.schema.fields] == ["int", "int", "date", "int"]
+    assert [f.dataType.simpleString() for f in got.schema.fields] == ["int", "int", "date", "bigint"]
     assert tuple(got.first()) == (7, 3, datetime.date(2019, 1, 2), 5)
 
 
+def test_conform_keeps_wide_prices_and_refuses_to_cut(spark):
+    products = "ProductRootCode long, ProductId int, SupplierPrice double, RetailPrice decimal(12,4), Family string"
+    got = schemas.conform(spark.createDataFrame([(1, 2, 16777217.01, Decimal("0.1250"), "a")], products), schemas.PRODUCTS)
+    assert [f.dataType.simpleString() for f in got.schema.fields] == ["int", "int", "double", "decimal(12,4)", "string"]
+    assert (got.first()["SupplierPrice"], got.first()["RetailPrice"]) == (16777217.01, Decimal("0.1250"))
+    sales = "StoreId long, ProductId int, Date date, Quantity double"
+    day = datetime.date(2019, 1, 2)
+    for row in ((1, 2, day, 1.9), (1, 2, day, float("inf")), (1 << 40, 2, day, 1.0)):
+        with pytest.raises(PySparkException, match="is no"):
+            schemas.conform(spark.createDataFrame([row], sales), schemas.SALES).collect()
+    empty = schemas.conform(spark.createDataFrame([(None, 2, day, float("nan"))], sales), schemas.SALES).first()
+    assert empty["StoreId"] is None and empty["Quantity"] is None
+
+
 def test_conform_reports_missing_columns(spark):
     with pytest.raises(ValueError, match="missing columns"):
         schemas.conform(spark.createDataFrame([(1,)], "StoreId int"), schemas.SALES)
