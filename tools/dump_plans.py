@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from stockroom.config import FAMILY_GRAIN, FIXTURE_PERIOD, ROOT_GRAIN  # noqa: E402
+from stockroom.config import FAMILY_GRAIN, FIXTURE_PERIOD, FIXTURE_PRICE_SCALE, ROOT_GRAIN  # noqa: E402
 from stockroom.operators import (  # noqa: E402
     benefits_from_summary,
     clean,
@@ -55,13 +55,13 @@ def main(sf_dir: str) -> None:
     write_inputs(spark, sf_dir, f"{scratch}/in")
     inputs = read_inputs(spark, f"{scratch}/in")
     products = sized_broadcast(
-        with_price_units(clean(inputs.products)).select(
+        with_price_units(clean(inputs.products), FIXTURE_PRICE_SCALE).select(
             "ProductId", "ProductRootCode", "Family", "SupplierPriceUnits", "RetailPriceUnits"
         )
     )
     sales, movements = clean(inputs.sales), clean(inputs.stock_movements)
 
-    cube_df = movement_cube(movements, products, P, 2, None)
+    cube_df = movement_cube(movements, products, P, FIXTURE_PRICE_SCALE, None)
     cube = save(cube_df, f"{scratch}/cube")
     root_df = ledger(cube.select(*ROOT_GRAIN, "Date", "Quantity"), ROOT_GRAIN, P, colocate=True)
     root = save(root_df, f"{scratch}/root")
@@ -69,7 +69,7 @@ def main(sf_dir: str) -> None:
     sales_e = enrich(period_filter(sales, P), products, ["Family", "RetailPriceUnits"], None)
     inbound = cube.where(P.contains("Date") & (F.col("InboundRows") > 0))
     family_iv = ledger(cube.select(*FAMILY_GRAIN, "Date", "Quantity"), FAMILY_GRAIN, P)
-    summary_df = kpi_summary(kpi_facts(sales_e, inbound, family_iv))
+    summary_df = kpi_summary(kpi_facts(sales_e, inbound, family_iv, FIXTURE_PRICE_SCALE))
     summary = save(summary_df, f"{scratch}/summary")
 
     steps = [
@@ -81,8 +81,8 @@ def main(sf_dir: str) -> None:
          "(not the output) by key and start inside each task, then a narrow `explode(sequence)`: the daily "
          "rows come out clustered by (key, Date).", daily),
         ("kpi_summary", "Sales (pushed period and `Quantity > 0`, broadcast join), the cube's inbound cost and "
-         "the family ledger's year-split stock-days, unioned and aggregated once with GROUPING SETS.", summary_df),
-        ("store_benefits", "A projection of the saved summary.", benefits_from_summary(summary, "StoreId")),
+         "the family ledger's year-split stock-days, unioned, summed per (Year, StoreId, Family) and that small result aggregated with GROUPING SETS.", summary_df),
+        ("store_benefits", "A projection of the saved summary.", benefits_from_summary(summary, "StoreId", FIXTURE_PRICE_SCALE)),
     ]
     out = [
         "# Physical plans of the job",
