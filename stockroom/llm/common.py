@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -10,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockroom.session import checkpoint_root, ensure_checkpoint_dir, scratch_path
+from stockroom.session import ensure_checkpoint_dir, is_local, scratch_path
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -32,12 +33,8 @@ def scratch(spark: SparkSession, name: str) -> str:
 
     Only a local master may lack that setting (tests); it then gets a folder of its own.
     """
-    if spark.sparkContext.master.startswith("local["):
-        import tempfile
-
-        if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
-            ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="stockroom-"))
-    checkpoint_root(spark)
+    if is_local(spark) and not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
+        ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="stockroom-"))
     return scratch_path(spark, name)
 
 
@@ -97,10 +94,6 @@ def with_row_id(docs: DataFrame, *columns: Column | str) -> DataFrame:
     return docs.select(F.monotonically_increasing_id().alias("rid"), *columns)
 
 
-def bounded_partitions(df: DataFrame, rows_per_task: int, rows: int) -> int:
-    return max(1, -(-rows // rows_per_task))
-
-
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit values (multiply and shift)."""
     x = x.astype(np.uint64, copy=True)
