@@ -67,13 +67,13 @@ products AS (
          p_type AS Family
   FROM part),
 sales AS (
-  SELECT CAST(l_suppkey AS INTEGER) AS StoreId, CAST(CASE WHEN l_partkey % 40 = 11 THEN l_partkey + 1000000000 ELSE l_partkey END AS INTEGER) AS ProductId,
+  SELECT CAST(l_suppkey AS INTEGER) AS StoreId, CAST(CASE WHEN l_partkey % 40 = 11 THEN -l_partkey ELSE l_partkey END AS INTEGER) AS ProductId,
          CAST(l_shipdate AS DATE) AS "Date",
          CAST(CASE WHEN l_orderkey % 997 = 0 THEN NULL WHEN l_returnflag = 'R' OR l_suppkey % 10 = 3 THEN -l_quantity
                    ELSE l_quantity END AS INTEGER) AS Quantity
   FROM lineitem),
 stock_movements AS (
-  SELECT CAST(l_suppkey AS INTEGER) AS StoreId, CAST(CASE WHEN l_partkey % 40 = 11 THEN l_partkey + 1000000000 ELSE l_partkey END AS INTEGER) AS ProductId,
+  SELECT CAST(l_suppkey AS INTEGER) AS StoreId, CAST(CASE WHEN l_partkey % 40 = 11 THEN -l_partkey ELSE l_partkey END AS INTEGER) AS ProductId,
          CASE WHEN l_orderkey % 991 = 0 THEN NULL ELSE CAST(l_shipdate AS DATE) END AS "Date",
          CAST(CASE WHEN l_suppkey % 10 = 4 THEN -l_quantity
                    WHEN l_suppkey % 10 = 5 AND l_shipdate <= TIMESTAMP '1999-01-01 00:00:00' THEN 0

@@ -19,7 +19,6 @@ from stockroom.sources.parquet import Inputs
 
 # Fixed values of the fixture definition (FIXTURES.md §2).
 ORPHAN_MOD, ORPHAN_REM = 40, 11  # facts of these parts name a product that does not exist
-ORPHAN_SHIFT = 1_000_000_000  # above every part key
 PRICE_NULL_MOD, PRICE_NULL_REM = 50, 7  # products with a null RetailPrice
 ROOT_SIZE = 4  # ProductRootCode = floor(partkey / 4)
 SUPPLIER_PRICE_FACTOR = 0.5
@@ -50,8 +49,8 @@ def derive_products(part: DataFrame) -> DataFrame:
 
 def _product_id() -> Column:
     key = F.col("l_partkey")
-    shifted = F.when(key % ORPHAN_MOD == ORPHAN_REM, key + ORPHAN_SHIFT).otherwise(key)
-    return shifted.cast("int").alias("ProductId")
+    # no part has a negative key
+    return F.when(key % ORPHAN_MOD == ORPHAN_REM, -key).otherwise(key).cast("int").alias("ProductId")
 
 
 def derive_sales(lineitem: DataFrame) -> DataFrame:
