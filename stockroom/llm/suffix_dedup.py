@@ -232,7 +232,8 @@ def hot_windows(found: DataFrame, length: int, gram: int) -> DataFrame:
 
     rows = found.select("cid", "left", "right").mapInArrow(run, "w1 long, w2 long, cid long, d long").where(F.col("d").between(0, reach))
     # at the same d, two contexts are two places; at different d they may overlap in one document
-    twice = rows.groupBy("w1", "w2", "d").agg(F.min("cid").alias("c_low"), F.max("cid").alias("c_top")).where("c_low < c_top").select("w1", "w2", "d")
+    twice = rows.groupBy("w1", "w2", "d").agg(F.min("cid").alias("c_low"), F.max("cid").alias("c_top")).where("c_low < c_top")
+    twice = save(twice.select("w1", "w2", "d"), "windows")
     return rows.join(twice, ["w1", "w2", "d"]).groupBy("cid").agg(F.min("d").alias("low"), F.max("d").alias("high"))
 
 
@@ -244,7 +245,9 @@ def repeated_spans(docs: DataFrame, length: int, gram: int, hot: int) -> DataFra
     found = anchors(docs, length, gram)
     per_gram = found.groupBy("gram").agg(F.count("*").alias("n"), *[f(c).alias(f"{g}_{c}") for c in ("c1", "c2") for g, f in (("low", F.min), ("top", F.max))]).where("n > 1")
     mixed = (F.col("low_c1") != F.col("top_c1")) | (F.col("low_c2") != F.col("top_c2"))
-    found = save(found.join(per_gram.select("gram", mixed.alias("mixed")), "gram"), "anchors")
+    # written first: a join of two shuffled sides is split where a gram is hot, one with an aggregate is not
+    per_gram = save(per_gram.select("gram", mixed.alias("mixed")), "grams")
+    found = save(found.join(per_gram, "gram"), "anchors")
     per_context = found.where("mixed").groupBy("gram", "c1", "c2").agg(F.count("*").alias("n"), F.min(F.struct("did", "body", "pos")).alias("at"))
     per_context = save(per_context.select(F.monotonically_increasing_id().alias("cid"), "gram", "c1", "c2", "n", "at.*"), "contexts")
     kinds = per_context.groupBy("gram").agg(F.count("*").alias("kinds"))
