@@ -14,7 +14,8 @@ Skew: a line that a third of all documents hold is summed up per task before eac
 leave its row; only their 128-bit hashes are shuffled.
 
 Defined results: a null or empty text is one empty line; rows with the same doc_id and text are one
-document and get the same result; a null doc_id counts as smallest; other columns are ignored.
+document and get the same result, other rows are documents of their own, and a line stays in all rows of
+the largest doc_id; a null doc_id counts as smallest; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -122,12 +123,12 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     store = LineRuns(docs.sparkSession)
     for batch in range(batches):
         store.add(lines.where(F.col("batch") == batch).drop("batch").distinct())
-    often = store.merged().where(F.col("n_docs") >= min_docs).select("line", F.col("keep.did").alias("keep_did"), F.col("keep.body").alias("keep_body"))
+    often = store.merged().where(F.col("n_docs") >= min_docs).select("line", F.col("keep.did").alias("keep_did"))
     often = save(often, "often")
     # a line's hash in one document once more: repeated rows of a document collapse in the set
     drops = (
         lines.join(often, "line")
-        .where((F.col("did") != F.col("keep_did")) | (F.col("body") != F.col("keep_body")))
+        .where(F.col("did") != F.col("keep_did"))
         .groupBy("did", "body")
         .agg(F.collect_set("line").alias("drop"))
     )

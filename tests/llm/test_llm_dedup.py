@@ -137,6 +137,7 @@ def test_lines_match_brute_force(spark):
     rows = [(rnd.randrange(40), "\n".join(rnd.choice(lines) + (str(rnd.randrange(3)) if rnd.random() < 0.2 else "") for _ in range(rnd.randrange(0, 8)))) for _ in range(60)]
     # one text per doc_id, so that the largest doc_id names one document
     rows = list(dict(rows).items()) + [(d, t) for d, t, *_ in EDGES if d is None or d < 0 or d > 40]
+    rows += [(39, "\n".join(lines)), (39, "\n".join(reversed(lines)))]
     expected = sorted((d is not None, d or 0, *x) for (d, *x) in without_frequent_lines(rows))
     got = sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["n_lines"], r["n_dropped"], r["kept"]) for r in line_dedup.dedup_lines(frame(spark, rows)).collect())
     assert got == expected
