@@ -24,10 +24,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from stockroom.llm.common import per_worker, slices, text_array
+from stockroom.llm.common import in_tasks, per_worker, slices, text_array
 from stockroom.llm.pieces import distinct_pieces
 
-RUN_BYTES, RUN_WORDS, KNOWN, LONG = 4 << 20, 25_000, 800_000, 400
+RUN_BYTES, RUN_WORDS, KNOWN, LONG = 2 << 20, 16_000, 400_000, 400
 ENCODED = "doc_id long, n_tokens long, ids binary, decoded binary"
 
 #: b packs the pair's merged id, the position of its left part and of its right part.
@@ -80,7 +80,7 @@ class Codec:
         self.ranks = read_ranks(path)
         self.byte_ids = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
         self.db = duckdb.connect()
-        self.db.execute("SET threads = 1; SET memory_limit = '250MB'; SET preserve_insertion_order = false")
+        self.db.execute("SET threads = 1; SET memory_limit = '160MB'; SET preserve_insertion_order = false")
         left, right, merged = (pa.array(x, pa.int32()) for x in merge_rows(self.ranks))
         self._table("merges", pa.table({"left_tok": left, "right_tok": right, "merged": merged}))
         tokens = sorted(self.ranks, key=self.ranks.get)
@@ -206,4 +206,4 @@ def encoded(docs: DataFrame, ranks_path: str, digest: bool = False) -> DataFrame
                 )
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" if digest else ENCODED
-    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, schema)
+    return in_tasks(docs.selectExpr("cast(doc_id as long) doc_id", "text"), run, schema)

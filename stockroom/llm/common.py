@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import tempfile
 from collections.abc import Callable, Iterator
@@ -49,6 +50,28 @@ def save(df: DataFrame, name: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def in_tasks(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``df.mapInArrow(run, schema)``, whose tasks give the memory they used back to the system.
+
+    Python workers live on between tasks and stages; what their allocators keep would add up in executors.
+    """
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return df.mapInArrow(tidy, schema)
+
+
+def release_memory() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
 def per_worker(key: object, build: Callable[[], object]) -> object:
     """``build()`` once for each Python worker process, kept between its tasks."""
     store = vars(sys).setdefault("_stockroom_llm_store", {})

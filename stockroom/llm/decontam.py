@@ -27,10 +27,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from stockroom.llm.common import save, slices, text_array
+from stockroom.llm.common import in_tasks, save, slices, text_array
 from stockroom.llm.words import Words, alphanumeric
 
-SEED, COMMON, THRESHOLD, BLOCK_WORDS, RUN_BYTES = 4, 10, 0.5, 1_000_000, 2 << 20
+SEED, COMMON, THRESHOLD, BLOCK_WORDS, RUN_BYTES = 4, 10, 0.5, 1_000_000, 1 << 20
 HITS = "doc_id long, item_id long, score double, n_seeds long, start long, end long"
 
 
@@ -98,7 +98,7 @@ def gram_documents(docs: DataFrame, items: Items) -> dict[int, int]:
                 gram, n = np.unique(pairs, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(distinct[gram].view(np.int64)), pa.array(n)], ["gram", "n"])
 
-    counts = docs.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    counts = in_tasks(docs.select("text"), run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     return {row["gram"]: row["n"] for row in counts.toLocalIterator()}
 
 
@@ -199,7 +199,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
                         kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
                         yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names)
 
-        hits = docs.mapInArrow(run, HITS)
+        hits = in_tasks(docs, run, HITS)
         out = hits if out is None else out.unionByName(hits)
     return docs.sparkSession.createDataFrame([], HITS) if out is None else out
 
@@ -219,5 +219,5 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
                     keep[[d for d, *_ in matches(found, shared.value, threshold)]] = False
                     yield pa.RecordBatch.from_arrays([part.column("doc")], ["doc"]).filter(pa.array(keep))
 
-        rows = save(rows.select("doc", F.col("doc.text").alias("text")).mapInArrow(run, StructType([rows.schema["doc"]])), "clean")
+        rows = save(in_tasks(rows.select("doc", F.col("doc.text").alias("text")), run, StructType([rows.schema["doc"]])), "clean")
     return rows.select("doc.*")

@@ -29,9 +29,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from stockroom.llm.common import byte_view, per_worker, save, slices, text_array
+from stockroom.llm.common import byte_view, in_tasks, per_worker, save, slices, text_array
 
-ORDER, BITS, RUN_BYTES = 4, 6, 4 << 20
+ORDER, BITS, RUN_BYTES = 4, 6, 1 << 20
 CODES = 1 << (ORDER * BITS)
 UND = "und"
 MODEL = "lang string, " + ", ".join(f"codes{n} binary, counts{n} binary, contexts{n} binary, totals{n} binary, followers{n} binary, discount{n} double" for n in range(1, ORDER + 1))
@@ -75,9 +75,14 @@ def symbols(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return code, at, count
 
 
-def numbered(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def code_tables() -> tuple[np.ndarray, np.ndarray]:
+    """Room for ``numbered``; a task makes it once and drops it at its end."""
+    return np.zeros(CODES, bool), np.zeros(CODES, np.int32)
+
+
+def numbered(code: np.ndarray, tables: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """The distinct codes, ascending, and the number of each code among them."""
-    seen, number = per_worker("llm code tables", lambda: (np.zeros(CODES, bool), np.zeros(CODES, np.int32)))
+    seen, number = tables
     seen[code] = True
     distinct = np.flatnonzero(seen)
     seen[distinct] = False
@@ -89,11 +94,12 @@ def gram_counts(docs: DataFrame) -> DataFrame:
     """(lang, code, count) over all rows of ``docs`` (text, lang)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = code_tables()
         for batch in batches:
             for part in slices(batch, most=RUN_BYTES):
                 code, at, _ = symbols(text_array(part.column("text")))
                 langs = part.column("lang").dictionary_encode()
-                distinct, number = numbered(code)
+                distinct, number = numbered(code, tables)
                 lang = np.repeat(langs.indices.to_numpy(), np.diff(at)).astype(np.int64)
                 sums = np.bincount(lang * len(distinct) + number, minlength=len(langs.dictionary) * len(distinct))
                 some = np.flatnonzero(sums)
@@ -103,7 +109,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
                     )
 
     rows = docs.select("text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    return rows.mapInArrow(run, "lang string, code long, count long").groupBy("lang", "code").agg(F.sum("count").alias("count"))
+    return in_tasks(rows, run, "lang string, code long, count long").groupBy("lang", "code").agg(F.sum("count").alias("count"))
 
 
 def _fit(group: pa.Table) -> pa.Table:
@@ -161,7 +167,7 @@ def entropies(docs: DataFrame, models: list[dict], carry: list[str]) -> DataFram
     shared = docs.sparkSession.sparkContext.broadcast(models)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
+        own, tables = shared.value, code_tables()
         names = np.array([m["lang"] for m in own], object)
         for batch in batches:
             for part in slices(batch, most=RUN_BYTES):
@@ -170,7 +176,7 @@ def entropies(docs: DataFrame, models: list[dict], carry: list[str]) -> DataFram
                 best, first, second = np.zeros(n, np.int64), np.full(n, np.nan), np.full(n, np.nan)
                 some = np.flatnonzero((letters > 0) & bool(own))
                 if len(some):
-                    distinct, number = numbered(code)
+                    distinct, number = numbered(code, tables)
                     sums = np.empty((len(own), len(some)))
                     for k, model in enumerate(own):
                         steps = np.concatenate([[0.0], np.cumsum(log_probs(model, distinct)[number])])
@@ -186,7 +192,7 @@ def entropies(docs: DataFrame, models: list[dict], carry: list[str]) -> DataFram
 
     docs = docs.select(*carry, "text")
     schema = StructType([docs.schema[c] for c in carry] + SCORED)
-    return docs.mapInArrow(run, schema)
+    return in_tasks(docs, run, schema)
 
 
 def fold(doc_id: Column) -> Column:

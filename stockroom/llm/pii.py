@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockroom.llm.common import save, slices, text_array
+from stockroom.llm.common import in_tasks, save, slices, text_array
 from stockroom.llm.words import Words, alphanumeric
 
 KINDS = ("email", "ip", "card", "phone")
@@ -151,7 +151,7 @@ def base(rows: DataFrame) -> DataFrame:
                 names=["doc_id", "did", "body", *(f"n_{k}" for k in KINDS), "base", "near"],
             )
 
-    return rows.mapInArrow(run, FOUND)
+    return in_tasks(rows, run, FOUND)
 
 
 class Bloom:
@@ -189,7 +189,7 @@ def term_documents(rows: DataFrame, wanted: DataFrame) -> DataFrame:
                 term, n = np.unique(word[new], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(n)], ["term", "n"])
 
-    counts = rows.select("text").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
+    counts = in_tasks(rows.select("text"), run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
     return counts.join(wanted, "term", "left_semi")
 
 
@@ -222,7 +222,7 @@ def occurrences(rows: DataFrame, marked: DataFrame) -> DataFrame:
                 where = pa.array(doc)
                 yield pa.RecordBatch.from_arrays([part.column("did").take(where), part.column("body").take(where), pa.array(found.hash[hit].view(np.int64)), pa.array(start), pa.array(end)], ["did", "body", "term", "start", "end"])
 
-    hits = rows.select("did", "body", "text").mapInArrow(run, "did long, body long, term long, start long, end long").join(marked, "term")
+    hits = in_tasks(rows.select("did", "body", "text"), run, "did long, body long, term long, start long, end long").join(marked, "term")
     return hits.groupBy("did", "body").agg(F.array_sort(F.collect_set(F.struct("start", "end", "disclosure"))).alias("terms"))
 
 
@@ -258,7 +258,7 @@ def spans(docs: DataFrame) -> DataFrame:
                 gone.append(",".join(s for s, t in zip(spelled, clear) if t["disclosure"] >= REMOVE))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(every, pa.string()), pa.array(gone, pa.string())], [*names, "spans", "removed"])
 
-    return joined.select(*fixed.replace(",", " ").split()[::2], "terms").mapInArrow(run, f"{fixed}, {kinds}")
+    return in_tasks(joined.select(*fixed.replace(",", " ").split()[::2], "terms"), run, f"{fixed}, {kinds}")
 
 
 def sanitised(docs: DataFrame) -> DataFrame:
@@ -284,4 +284,4 @@ def sanitised(docs: DataFrame) -> DataFrame:
 
     # rows of one key have one text, so a key's spans are wanted once
     marks = spans(docs).select("did", "body", "spans", "removed").dropDuplicates(["did", "body"])
-    return keyed(docs).join(marks, ["did", "body"]).select("doc_id", "text", "spans", "removed").mapInArrow(run, "doc_id long, clean string")
+    return in_tasks(keyed(docs).join(marks, ["did", "body"]).select("doc_id", "text", "spans", "removed"), run, "doc_id long, clean string")

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from stockroom.llm.common import slices, text_array
+from stockroom.llm.common import in_tasks, slices, text_array
 from stockroom.llm.words import Words, spaced
 
 SAMPLE, TREES, DEPTH, RATE, LEAST, PENALTY, RUN_BYTES = 20_000, 40, 3, 0.3, 10, 0.001, 2 << 20
@@ -99,7 +99,7 @@ def statistics(docs: DataFrame, carry: list[str]) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in carry), *(pa.array(v) for v in values.T)], names=[*carry, *STATS])
 
     docs = docs.select(*carry, "text")
-    return docs.mapInArrow(run, StructType([docs.schema[c] for c in carry] + [StructField(s, DoubleType()) for s in STATS]))
+    return in_tasks(docs, run, StructType([docs.schema[c] for c in carry] + [StructField(s, DoubleType()) for s in STATS]))
 
 
 # --- learning ------------------------------------------------------------------------------------

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockroom.llm.common import RollingHash, byte_view, mix64, save, slices, text_array
+from stockroom.llm.common import RollingHash, byte_view, in_tasks, mix64, save, slices, text_array
 
 LENGTH, GRAM, HOT, RUN_BYTES, NO_ID = 400, 200, 50_000, 1 << 20, -(1 << 63)
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
@@ -96,7 +96,7 @@ def anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
                     names=["did", "body", "pos", "gram", "c1", "c2"],
                 )
 
-    return docs.select("did", "body", "text").mapInArrow(run, "did long, body long, pos long, gram long, c1 long, c2 long")
+    return in_tasks(docs.select("did", "body", "text"), run, "did long, body long, pos long, gram long, c1 long, c2 long")
 
 
 def contexts(docs: DataFrame, wanted: DataFrame, length: int, gram: int) -> DataFrame:
@@ -113,7 +113,7 @@ def contexts(docs: DataFrame, wanted: DataFrame, length: int, gram: int) -> Data
                 yield pa.RecordBatch.from_arrays([pa.array(cid, pa.int64()), pa.array(name, pa.int64()), pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["cid", "gram", "left", "right"])
 
     # rows with the same doc_id and text give a context more than once; readers tell by cid
-    return docs.select("did", "body", "text").join(places, ["did", "body"]).select("text", "places").mapInArrow(run, "cid long, gram long, left binary, right binary")
+    return in_tasks(docs.select("did", "body", "text").join(places, ["did", "body"]).select("text", "places"), run, "cid long, gram long, left binary, right binary")
 
 
 # --- within a bucket -----------------------------------------------------------------------------
@@ -214,7 +214,7 @@ def bucketed(found: DataFrame, length: int, gram: int) -> DataFrame:
             yield settle(held)
 
     lead = F.substring("right", 1, 24)
-    return found.repartitionByRange(lead, "gram").sortWithinPartitions("gram").select("cid", "gram", "left", "right").mapInArrow(run, "cid long, low long, high long")
+    return in_tasks(found.repartitionByRange(lead, "gram").sortWithinPartitions("gram").select("cid", "gram", "left", "right"), run, "cid long, low long, high long")
 
 
 def hot_windows(found: DataFrame, length: int, gram: int) -> DataFrame:
@@ -230,7 +230,7 @@ def hot_windows(found: DataFrame, length: int, gram: int) -> DataFrame:
                 n = len(starts)
                 yield pa.RecordBatch.from_arrays([pa.array(w1.view(np.int64)), pa.array(w2.view(np.int64)), pa.array(np.full(n, cid)), pa.array(len(left) - starts)], ["w1", "w2", "cid", "d"])
 
-    rows = found.select("cid", "left", "right").mapInArrow(run, "w1 long, w2 long, cid long, d long").where(F.col("d").between(0, reach))
+    rows = in_tasks(found.select("cid", "left", "right"), run, "w1 long, w2 long, cid long, d long").where(F.col("d").between(0, reach))
     # at the same d, two contexts are two places; at different d they may overlap in one document
     twice = rows.groupBy("w1", "w2", "d").agg(F.min("cid").alias("c_low"), F.max("cid").alias("c_top")).where("c_low < c_top")
     twice = save(twice.select("w1", "w2", "d"), "windows")
@@ -292,4 +292,4 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int | None = Non
     rows = keyed(docs)
     spans = repeated_spans(rows, length, gram or max(1, length * GRAM // LENGTH), hot)
     spans = spans.groupBy("did", "body").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    return rows.join(spans, ["did", "body"], "left").select("doc_id", "text", "spans").mapInArrow(lambda batches: cut(batches, length), RESULT)
+    return in_tasks(rows.join(spans, ["did", "body"], "left").select("doc_id", "text", "spans"), lambda batches: cut(batches, length), RESULT)

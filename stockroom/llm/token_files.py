@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stockroom.llm.common import per_worker, scratch, slices, text_array
+from stockroom.llm.common import in_tasks, per_worker, scratch, slices, text_array
 from stockroom.llm.pieces import distinct_pieces
 
 TASK_BYTES, RUN_BYTES, RUN_PIECES, KNOWN = 16 << 20, 4 << 20, 4096, 400_000
@@ -119,7 +119,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str) -> None:
                 yield pa.RecordBatch.from_arrays([pa.array(["ids"] * len(ids) + ["index"] * len(ids)), at, pa.array(ids + index, pa.binary())], ["kind", "seq", "value"])
                 end, seq = int(rows["end"][-1]), seq + len(ids)
 
-    rows = placed.mapInArrow(run, "kind string, seq long, value binary").sortWithinPartitions("kind", "seq")
+    rows = in_tasks(placed, run, "kind string, seq long, value binary").sortWithinPartitions("kind", "seq")
     rows.select("kind", F.col("value").cast("string")).write.partitionBy("kind").option("lineSep", "\0" * kind.itemsize).text(path)
 
 
@@ -178,7 +178,7 @@ def read_tokens(spark: SparkSession, path: str, kind: np.dtype) -> DataFrame:
                 )
 
     # a file a task: the rows are few, what they name is large
-    return found.repartition(max(1, found.count()), "part").mapInArrow(run, READ)
+    return in_tasks(found.repartition(max(1, found.count()), "part"), run, READ)
 
 
 def round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:
