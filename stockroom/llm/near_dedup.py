@@ -35,12 +35,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockroom.llm.common import mix64, save, slices, text_array
+from stockroom.llm.common import in_tasks, mix64, save, slices, text_array
 from stockroom.llm.words import Words, spaced
 
-CHUNKS, CHUNK, ERRORS, RUN_BYTES = 8, 5, 1, 2 << 20
+CHUNKS, CHUNK, ERRORS, RUN_BYTES = 8, 5, 1, 1 << 20
 SIGNED = "doc_id long, did long, body long, n_shingles long, node binary, signature binary"
-NO_ID = -(1 << 63)
+NO_ID = (1 << 63) - 1
 
 
 def shingle_sets(texts: pa.Array, words: int) -> list[np.ndarray]:
@@ -91,11 +91,11 @@ def signed(docs: DataFrame, words: int) -> DataFrame:
                     [part.column("doc_id"), part.column("did"), part.column("body"), pa.array([len(s) for s in sets], pa.int64()), pa.array(node, pa.binary()), pa.array(names, pa.binary())], names=SIGNED.replace(",", " ").split()[::2]
                 )
 
-    return keyed(docs).mapInArrow(run, SIGNED)
+    return in_tasks(keyed(docs), run, SIGNED)
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """(doc_id, did, body, text): a row with its key, doc_id (null smallest) and a hash of the text."""
+    """(doc_id, did, body, text): a row with its key, doc_id (null greatest) and a hash of the text."""
     doc_id = F.col("doc_id").cast("long")
     return docs.select(doc_id.alias("doc_id"), F.coalesce(doc_id, F.lit(NO_ID)).alias("did"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("body"), "text")
 
@@ -118,7 +118,7 @@ def chunk_keys(nodes: DataFrame) -> DataFrame:
             where = pa.array(np.repeat(np.arange(batch.num_rows), CHUNKS * len(kept)))
             yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64)), batch.column("nid").take(where)], ["key", "nid"])
 
-    return nodes.select("nid", "signature").mapInArrow(run, "key long, nid long")
+    return in_tasks(nodes.select("nid", "signature"), run, "key long, nid long")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -130,7 +130,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
                 sets = shingle_sets(text_array(part.column("text")), words)
                 yield pa.RecordBatch.from_arrays([part.column("nid"), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["nid", "n", "shingles"])
 
-    return keyed(docs).join(wanted, ["did", "body"]).select("nid", "text").mapInArrow(run, "nid long, n long, shingles binary")
+    return in_tasks(keyed(docs).join(wanted, ["did", "body"]).select("nid", "text"), run, "nid long, n long, shingles binary")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, share: float) -> DataFrame:
@@ -150,26 +150,36 @@ def confirmed(pairs: DataFrame, sets: DataFrame, share: float) -> DataFrame:
 
     left = sets.select(F.col("nid").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("nid").alias("b"), F.col("shingles").alias("sb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+    return in_tasks(pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb"), run, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
     """(nid, comp) of every node of ``links`` (a, b): comp is the least node that can be reached.
 
     Each round takes the least label among a node and its neighbours, then the label of that label; the
-    labels are written to the shared folder after each round.
+    labels are written to the shared folder after each round. Labels only fall, so they are final when
+    their sum no longer changes.
     """
     both = save(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
     labels = save(both.groupBy(F.col("a").alias("nid")).agg(F.least(F.min("b"), F.first("a")).alias("comp")), "labels")
+    total = None
     while True:
-        near = both.join(labels.select(F.col("nid").alias("b"), "comp"), "b").groupBy(F.col("a").alias("nid")).agg(F.min("comp").alias("near"))
-        step = labels.join(near, "nid").select("nid", F.col("comp").alias("old"), F.least("comp", "near").alias("comp"))
+        offered = both.join(labels.select(F.col("nid").alias("b"), "comp"), "b").select(F.col("a").alias("nid"), "comp").unionByName(labels)
+        step = offered.groupBy("nid").agg(F.min("comp").alias("comp"))
         jump = labels.select(F.col("nid").alias("comp"), F.col("comp").alias("further"))
-        step = step.join(jump, "comp", "left").select("nid", "old", F.least("comp", "further").alias("comp"))
-        labels = save(step, "labels")
-        if labels.where("comp <> old").isEmpty():
-            return labels.select("nid", "comp")
-        labels = labels.select("nid", "comp")
+        labels = save(step.join(jump, "comp", "left").select("nid", F.least("comp", "further").alias("comp")), "labels")
+        before, total = total, labels.agg(F.sum(F.col("comp").cast("decimal(38,0)"))).first()[0]
+        if total == before:
+            return labels
+
+
+def merged(labels: DataFrame, more: DataFrame) -> DataFrame:
+    """(comp, final) of the components of ``labels`` (nid, comp) that the links ``more`` join; nodes without
+    a label are their own component."""
+    named = lambda side: labels.select(F.col("nid").alias(side), F.col("comp").alias(f"comp_{side}"))
+    ends = more.join(named("a"), "a", "left").join(named("b"), "b", "left")
+    ends = ends.select(F.coalesce("comp_a", "a").alias("a"), F.coalesce("comp_b", "b").alias("b")).where("a <> b")
+    return components(ends).select(F.col("nid").alias("comp"), F.col("comp").alias("final"))
 
 
 def prefix_pairs(mixed: DataFrame, sets: DataFrame, share: float) -> DataFrame:
@@ -184,7 +194,7 @@ def prefix_pairs(mixed: DataFrame, sets: DataFrame, share: float) -> DataFrame:
                 flat = np.frombuffer(b"".join(part.column("shingles").to_pylist()), np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(flat), part.column("nid").take(where), part.column("n").take(where)], ["token", "nid", "n"])
 
-    rows = sets.join(mixed.select("nid"), "nid").mapInArrow(tokens, "token long, nid long, n long")
+    rows = in_tasks(sets.join(mixed.select("nid"), "nid"), tokens, "token long, nid long, n long")
     shared = rows.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     per_node = rows.join(shared, "token").groupBy("nid", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("live"))
     # shingles that no other mixed node has come first in the order and need no row
@@ -212,8 +222,9 @@ def prefix_pairs(mixed: DataFrame, sets: DataFrame, share: float) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, share: float = 0.8) -> DataFrame:
-    """(doc_id, did, body, n_shingles, component_id, kept) of every row of ``docs``; the row of the smallest
-    doc_id of a component stays."""
+    """(doc_id, did, body, n_shingles, component_id, stays, kept) of every row of ``docs``. ``kept`` marks the rows
+    of the smallest doc_id of a component, ``stays`` one text of each component: that of the smallest doc_id,
+    by hash among several, or of some row if no row has a doc_id."""
     rows = save(signed(docs, words), "signed")
     nodes = rows.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("first_id"), F.min(F.struct("did", "body")).alias("rep"), F.min("signature").alias("signature")
@@ -232,23 +243,23 @@ def near_duplicates(docs: DataFrame, words: int = 5, share: float = 0.8) -> Data
     mixed = grouped.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("top")).where("low < top")
     mixed = save(grouped.join(mixed.select("key"), "key").select("nid", "comp").distinct(), "mixed")
     more = save(confirmed(prefix_pairs(mixed, sets, share), sets, share), "more")
-    labels = components(links.unionByName(more))
-    placed = nodes.join(labels, "nid", "left").select("node", "first_id", F.coalesce("comp", "nid").alias("comp"))
-    least = placed.groupBy("comp").agg(F.min("first_id").alias("component_id"))
-    named = placed.join(least, "comp").select("node", "component_id")
+    placed = nodes.join(labels, "nid", "left").withColumn("comp", F.coalesce("comp", "nid")).withColumn("rep", F.struct("did", "body"))
+    placed = placed.join(merged(labels, more), "comp", "left").select("node", "first_id", "rep", F.coalesce("final", "comp").alias("comp"))
+    least = placed.groupBy("comp").agg(F.min("first_id").alias("component_id"), F.min("rep").alias("rep"))
+    named = placed.drop("rep").join(least, "comp").select("node", "component_id", "rep")
     out = rows.join(named, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "did", "body", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+    stays = F.col("node").isNull() | (F.struct("did", "body") == F.col("rep"))
+    out = out.select("doc_id", "did", "body", "n_shingles", component.alias("component_id"), stays.alias("stays"))
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
 def keep_one(docs: DataFrame, words: int = 5, share: float = 0.8) -> DataFrame:
     """The rows of ``docs`` that stay, one document of each component, with all their columns.
 
-    Rows with the same doc_id and text stay or go together; a row without doc_id stays only where its
-    component has no doc_id at all.
+    Rows with the same doc_id and text stay or go together.
     """
-    found = near_duplicates(docs, words, share)
-    stay = found.where(F.col("kept") | F.col("component_id").isNull()).select("did", "body").distinct()
+    stay = near_duplicates(docs, words, share).where("stays").select("did", "body").distinct()
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
     doc_id, text = F.col("doc.doc_id").cast("long"), F.coalesce(F.col("doc.text"), F.lit(""))
     whole = whole.withColumn("did", F.coalesce(doc_id, F.lit(NO_ID))).withColumn("body", F.xxhash64(text))

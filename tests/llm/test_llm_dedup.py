@@ -129,6 +129,9 @@ def test_near_edges(spark):
     assert kept.columns == frame(spark, []).columns
     ids = [r["doc_id"] for r in kept.collect()]
     assert 1 in ids and 2 not in ids and 3 in ids and 4 in ids
+    # one text of a group stays, with or without doc_ids
+    same = [(None, "some words that two rows without number share"), (None, "Some words that two rows without number share"), (7, "a b c d e"), (7, "A b c d e")]
+    assert near_dedup.keep_one(frame(spark, same), 3, 0.85).count() == 2
 
 
 def test_lines_match_brute_force(spark):
