@@ -1,17 +1,15 @@
-"""Operator 6: benchmark decontamination by rare n-gram seeds and Smith-Waterman alignment.
+"""Operator 6: benchmark decontamination by n-gram seeds and Smith-Waterman alignment.
 
-Words are runs of ASCII letters and digits and of other non-ASCII characters, A-Z lower-cased. The
-n-grams of the test items are looked up in every document, first to count in how many documents each
-occurs, then as seeds: a gram is a seed of an item unless it is common, that is, occurs in more than
-``COMMON`` times as many documents as a quarter of the item's grams do. The measure is relative to the
-item, so an item copied into very many documents keeps its seeds. Where seeds of an item lie in a document,
-the passage around them is aligned with the whole item by Smith-Waterman over words (match 2, mismatch
-and gap -1); the score is divided by that of the item with itself. Documents with a score of
-``THRESHOLD`` or more are contaminated.
+Words are runs of ASCII letters and digits and of other non-ASCII characters, A-Z lower-cased. Every
+n-gram of the test items is a seed, however many documents hold it, as copies of an item make its own grams
+common. Where seeds of an item lie in a document, the passage around them is aligned with the whole item by
+Smith-Waterman over words (match 2, mismatch and gap -1), unless it has too few words of the item to reach
+the threshold; the score is divided by that of the item with itself. Documents with a score of ``THRESHOLD``
+or more are contaminated.
 
 Items travel to the tasks in blocks of at most ``BLOCK_WORDS`` words, a pass over the documents each, so
 what is broadcast is bounded whatever the size of the benchmark. A document is scored in the task that
-reads it: nothing is shuffled but gram counts, and no document or item can be hot.
+reads it: nothing is shuffled, and no document or item can be hot.
 
 Defined results: texts that are null or without words match nothing; an item shorter than a seed is its own
 seed; repeated rows, documents or items, give their rows each; other columns are ignored.
@@ -30,7 +28,7 @@ from pyspark.sql.types import StructType
 from stockroom.llm.common import in_tasks, save, slices, text_array
 from stockroom.llm.words import Words, alphanumeric
 
-SEED, COMMON, THRESHOLD, BLOCK_WORDS, RUN_BYTES = 4, 10, 0.5, 1_000_000, 1 << 20
+SEED, THRESHOLD, BLOCK_WORDS, RUN_BYTES = 4, 0.5, 1_000_000, 1 << 20
 HITS = "doc_id long, item_id long, score double, n_seeds long, start long, end long"
 
 
@@ -53,11 +51,6 @@ class Items:
         self.gram, self.item, self.place = (x[order] for x in joined)
         self.sizes = [int(s) for s in np.unique(self.size[self.size > 0])]
 
-    def only(self, keep: np.ndarray) -> Items:
-        out = object.__new__(Items)
-        out.__dict__ = self.__dict__ | {"gram": self.gram[keep], "item": self.item[keep], "place": self.place[keep]}
-        return out
-
 
 def blocks(benchmark: DataFrame) -> Iterator[Items]:
     """The items in blocks of bounded size."""
@@ -83,36 +76,6 @@ def seed_hits(found: Words, items: Items, distinct: np.ndarray) -> tuple[np.ndar
     return (np.concatenate(places), np.concatenate(which)) if places else (np.empty(0, np.int64), np.empty(0, np.int64))
 
 
-def gram_documents(docs: DataFrame, items: Items) -> dict[int, int]:
-    """The number of documents that hold each gram of the items (as many rows as the block has grams)."""
-    shared = docs.sparkSession.sparkContext.broadcast((items, np.unique(items.gram)))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, distinct = shared.value
-        for batch in batches:
-            for part in slices(batch, most=RUN_BYTES):
-                found = Words(text_array(part.column("text")), alphanumeric())
-                place, which = seed_hits(found, own, distinct)
-                doc = np.searchsorted(found.at, place, side="right") - 1
-                pairs = np.unique(np.stack([which, doc]), axis=1)[0]
-                gram, n = np.unique(pairs, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(distinct[gram].view(np.int64)), pa.array(n)], ["gram", "n"])
-
-    counts = in_tasks(docs.select("text"), run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    return {row["gram"]: row["n"] for row in counts.toLocalIterator()}
-
-
-def seeds(docs: DataFrame, items: Items) -> Items:
-    """The items with those of their grams that are no common ones."""
-    counts = gram_documents(docs, items)
-    n = np.array([counts.get(g, 0) for g in items.gram.view(np.int64).tolist()], np.int64)
-    keep = np.zeros(len(n), bool)
-    order = np.argsort(items.item, kind="stable")
-    for rows in np.split(order, np.flatnonzero(np.diff(items.item[order])) + 1) if len(order) else ():
-        keep[rows] = n[rows] <= COMMON * (1 + np.sort(n[rows])[len(rows) // 4])
-    return items.only(keep)
-
-
 def align(item: np.ndarray, words: np.ndarray) -> tuple[float, int]:
     """Smith-Waterman: the best local score of ``item`` against ``words``, and the word it ends before."""
     best, end = 0.0, 0
@@ -180,7 +143,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     out = None
     for items in blocks(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(seeds(docs, items))
+        shared = docs.sparkSession.sparkContext.broadcast(items)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             own = shared.value
@@ -208,8 +171,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
     """The rows of ``docs`` that hold no item, with all their columns."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
     for items in blocks(benchmark):
-        texts = rows.select(F.col("doc.text").alias("text"))
-        shared = docs.sparkSession.sparkContext.broadcast(seeds(texts, items))
+        shared = docs.sparkSession.sparkContext.broadcast(items)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:

@@ -167,6 +167,19 @@ def test_decontamination_keeps_items_of_many_documents(spark):
     assert decontam.contaminated(frame(spark, rows), items).count() == 30
 
 
+def test_decontamination_finds_one_version_of_an_item_in_many_documents(spark):
+    words = {i: [f"w{i}x{k}" for k in range(30)] for i in (1, 2)}
+    items = spark.createDataFrame([(i, " ".join(w)) for i, w in words.items()], "item_id long, text string")
+    edited = ["other" if k in (5, 14, 23) else w for k, w in enumerate(words[1])]
+    rows = [(i, f"text {i} before {' '.join(edited)} text {i} after") for i in range(50)]
+    rows += [(100 + i, f"text {i} before {' '.join(words[2][:18])} text {i} after") for i in range(50)]
+    rows += [(200 + i, f"text {i} {' '.join(words[1 + i % 2])}") for i in range(6)] + [(300, "no item")]
+    got = {r["doc_id"]: (r["item_id"], r["score"]) for r in decontam.contaminated(frame(spark, rows), items).collect()}
+    want = {i: (1, 51 / 60) for i in range(50)} | {100 + i: (2, 36 / 60) for i in range(50)} | {200 + i: (1 + i % 2, 1.0) for i in range(6)}
+    assert got == want
+    assert [r["doc_id"] for r in decontam.keep_clean(frame(spark, rows), items).collect()] == [300]
+
+
 def test_decontamination_of_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     one = spark.createDataFrame([(1, "some words here and there")], "item_id long, text string")
