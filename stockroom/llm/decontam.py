@@ -1,18 +1,27 @@
-"""Operator 6: benchmark decontamination by n-gram seeds and Smith-Waterman alignment.
+"""Operator 6: benchmark decontamination by seeds of word pairs and Smith-Waterman alignment.
 
-Words are runs of ASCII letters and digits and of other non-ASCII characters, A-Z lower-cased. Every
-n-gram of the test items is a seed, however many documents hold it, as copies of an item make its own grams
-common. Where seeds of an item lie in a document, the passage around them is aligned with the whole item by
-Smith-Waterman over words (match 2, mismatch and gap -1), unless it has too few words of the item to reach
-the threshold; the score is divided by that of the item with itself. Documents with a score of ``THRESHOLD``
-or more are contaminated.
+Words are runs of ASCII letters and digits and of other non-ASCII characters, A-Z lower-cased. A document
+is contaminated if its local alignment with an item by Smith-Waterman over words (match 2, mismatch and gap -1)
+scores ``THRESHOLD`` or more of the item's alignment with itself. Seeds say where to align, and lose none:
+
+* A seed is a pair of words of the item, next to each other or with one between, that the document has
+  next to each other or with one between; it weighs 2 if next to each other in both, else 1.
+* Neighbouring matches of an alignment with no error between them are a seed of weight 2, with one error
+  of weight 1. M matches and E errors score 2M - E, so for T = ``THRESHOLD`` and an item of L words
+  E <= 2M - 2TL, and the seeds of its M - 1 steps weigh 2(M - 1) - E >= 2TL - 2 together.
+* The alignment has at most M + E <= (3 - 2T)L words of the document.
+
+So a document is aligned with an item where a stretch of that many words has seeds of that weight, and
+nowhere else. At most two of a place's weight come from one place of the item, so seeds lie at TL - 1 places
+or more; of the others one more than can be missing, the rarest in the benchmark, are looked up first. No
+seed is dropped because many documents hold it.
 
 Items travel to the tasks in blocks of at most ``BLOCK_WORDS`` words, a pass over the documents each, so
 what is broadcast is bounded whatever the size of the benchmark. A document is scored in the task that
 reads it: nothing is shuffled, and no document or item can be hot.
 
-Defined results: texts that are null or without words match nothing; an item shorter than a seed is its own
-seed; repeated rows, documents or items, give their rows each; other columns are ignored.
+Defined results: texts that are null or without words match nothing; an item of fewer than ``SEED``
+words matches only where it stands whole; repeated rows, documents or items, give their rows each; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,55 +34,81 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from stockroom.llm.common import in_tasks, save, slices, text_array
+from stockroom.llm.common import in_tasks, mix64, save, slices, text_array
 from stockroom.llm.words import Words, alphanumeric
 
 SEED, THRESHOLD, BLOCK_WORDS, RUN_BYTES = 4, 0.5, 1_000_000, 1 << 20
 HITS = "doc_id long, item_id long, score double, n_seeds long, start long, end long"
 
 
+def pairs(found: Words, step: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of the word at each place with the word ``step`` places on, and whether that is in its text."""
+    n = len(found.hash)
+    out = np.zeros(n, np.uint64)
+    out[: max(0, n - step)] = mix64(mix64(found.hash[: max(0, n - step)]) * np.uint64(0x100000001B3) + found.hash[step:])
+    return out, np.arange(n) < np.repeat(found.at[1:], np.diff(found.at)) - step
+
+
+def ranges(first: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """The numbers first .. first + many - 1 of each row, joined."""
+    return np.repeat(first - (np.cumsum(many) - many), many) + np.arange(many.sum())
+
+
 class Items:
-    """Test items as arrays of word hashes, with their grams: sorted ``gram`` beside ``item`` and ``place``."""
+    """Test items as arrays of word hashes, with their seeds.
 
-    def __init__(self, ids: list[int], texts: list[bytes]):
+    ``distinct`` are the seed pairs of all items of SEED words or more, sorted; ``near`` and ``far`` number
+    the pair of each place of an item (from ``at`` on) with the next word and the one after it (-1 if there is
+    none). ``rare`` are the items to try for a pair, from ``rare_at`` on. ``whole`` has, for each size of shorter
+    items, their grams, sorted, beside the items."""
+
+    def __init__(self, ids: list[int], texts: list[bytes], threshold: float):
         self.ids = ids
         found = Words(pa.array(texts, pa.binary()), alphanumeric())
+        sizes = np.diff(found.at)
         self.words = [found.hash[a:b] for a, b in zip(found.at, found.at[1:])]
-        self.size = np.minimum(np.diff(found.at), SEED)
-        parts = []
-        for size in np.unique(self.size[self.size > 0]):
-            gram, whole = found.grams(int(size))
-            item = np.repeat(np.arange(len(ids)), np.diff(found.at))
-            keep = whole & (self.size[item] == size)
-            parts.append((gram[keep], item[keep], (np.arange(len(gram)) - found.at[item])[keep]))
-        joined = [np.concatenate(x) if parts else np.empty(0, np.int64) for x in (zip(*parts) if parts else ((), (), ()))]
-        order = np.argsort(joined[0], kind="stable")
-        self.gram, self.item, self.place = (x[order] for x in joined)
-        self.sizes = [int(s) for s in np.unique(self.size[self.size > 0])]
-
-
-def blocks(benchmark: DataFrame) -> Iterator[Items]:
+        self.whole = {}
+        for size in range(1, SEED):
+            own = np.flatnonzero(sizes == size)
+            gram = found.grams(size)[0][found.at[own]]
+            order = np.argsort(gram, kind="stable")
+            if len(own):
+                self.whole[size] = gram[order], own[order]
+        item = np.repeat(np.arange(len(ids)), sizes)
+        steps = [pairs(found, step) for step in (1, 2)]
+        steps = [(gram, whole & (sizes[item] >= SEED)) for gram, whole in steps]
+        self.distinct, number = np.unique(np.concatenate([gram[whole] for gram, whole in steps]), return_inverse=True)
+        self.at = found.at
+        self.near, self.far = (np.full(len(item), -1, np.int64) for _ in steps)
+        self.near[steps[0][1]], self.far[steps[1][1]] = np.split(number, [steps[0][1].sum()])
+        self.need = 2 * threshold * sizes - 2 - 1e-9
+        # an alignment that reaches the threshold has seeds at so many places that one of the rarest is among them
+        used = np.append(np.bincount(number, minlength=len(self.distinct)), 0)
+        rarity = used[self.near] + used[self.far]
+        places = []
+        for i in np.flatnonzero(sizes >= SEED):
+            spare = sizes[i] - max(1, int(np.ceil(self.need[i] / 2)))
+            places.append(found.at[i] + np.argsort(rarity[found.at[i] : found.at[i + 1] - 1], kind="stable")[:spare])
+        places = np.concatenate(places) if places else np.empty(0, np.int64)
+        tried = np.unique(np.concatenate([np.stack([x[places], item[places]]) for x in (self.near, self.far)], axis=1), axis=1)
+        tried = tried[:, tried[0] >= 0]
+        self.rare = tried[1]
+        self.rare_at = np.searchsorted(tried[0], np.arange(len(self.distinct) + 1))
+
+
+def blocks(benchmark: DataFrame, threshold: float) -> Iterator[Items]:
     """The items in blocks of bounded size."""
+    if threshold * SEED <= 1:
+        raise ValueError(f"threshold must be above 1/{SEED}: below, an item of {SEED} words is reached without a seed")
     ids, texts, words = [], [], 0
     for row in benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text")).toLocalIterator():
         ids.append(row["item_id"]), texts.append(row["text"].encode())
         words += len(texts[-1]) // 2 + 1
         if words >= BLOCK_WORDS:
-            yield Items(ids, texts)
+            yield Items(ids, texts, threshold)
             ids, texts, words = [], [], 0
     if ids:
-        yield Items(ids, texts)
-
-
-def seed_hits(found: Words, items: Items, distinct: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The places of words of ``found`` where a gram of ``distinct`` (sorted) begins, and which one."""
-    places, which = [], []
-    for size in items.sizes if len(distinct) else ():
-        gram, whole = found.grams(size)
-        at = np.minimum(np.searchsorted(distinct, gram), len(distinct) - 1)
-        hit = np.flatnonzero(whole & (distinct[at] == gram))
-        places.append(hit), which.append(at[hit])
-    return (np.concatenate(places), np.concatenate(which)) if places else (np.empty(0, np.int64), np.empty(0, np.int64))
+        yield Items(ids, texts, threshold)
 
 
 def align(item: np.ndarray, words: np.ndarray) -> tuple[float, int]:
@@ -92,38 +127,82 @@ def align(item: np.ndarray, words: np.ndarray) -> tuple[float, int]:
     return best, end
 
 
-def passages(doc_places: np.ndarray, item_places: np.ndarray, size: int, n: int) -> Iterator[tuple[int, int, int]]:
-    """Word ranges of a document of n words around seeds of an item of ``size`` words, with their number of
-    seeds: seeds further apart than the item is long are of different passages."""
-    order = np.argsort(doc_places, kind="stable")
-    doc, item = doc_places[order], item_places[order]
-    slack = size // 2 + 8
-    for rows in np.split(np.arange(len(doc)), np.flatnonzero(np.diff(doc) > size + slack) + 1):
-        low, high = int((doc[rows] - item[rows]).min()) - slack, int((doc[rows] - item[rows]).max()) + size + slack
-        yield max(0, low), min(n, high), len(np.unique(item[rows]))
+def candidates(hits: list[tuple[np.ndarray, np.ndarray]], items: Items) -> np.ndarray:
+    """(text, item) as rows of two, sorted: those whose seeds, anywhere in the text, are enough for the threshold.
+    ``hits`` are the texts and numbers of the pairs found with the next word and with the one after it."""
+    n = len(items.distinct)
+    sets = [np.unique(doc * n + which) for doc, which in hits]
+    both = np.union1d(*sets)
+    which = both % n
+    many = items.rare_at[which + 1] - items.rare_at[which]
+    tried = np.unique(np.repeat(both // n, many) * len(items.words) + items.rare[ranges(items.rare_at[which], many)])
+    doc, item = tried // len(items.words), tried % len(items.words)
+    sizes = np.diff(items.at)[item]
+    has = lambda keys, part: part[np.minimum(np.searchsorted(part, keys), len(part) - 1)] == keys if len(part) else np.zeros(len(keys), bool)
+    enough = np.zeros(len(tried), bool)
+    cuts = np.searchsorted(np.cumsum(sizes), np.arange(0, sizes.sum(), RUN_BYTES)[1:], side="right")
+    for part in np.split(np.arange(len(tried)), cuts):
+        if not len(part):
+            continue
+        place = ranges(items.at[item[part]], sizes[part])
+        base = np.repeat(doc[part], sizes[part]) * n
+        near, far = items.near[place], items.far[place]
+        next_, after = (near >= 0) & has(base + near, sets[0]), np.zeros(len(place), bool)
+        for pair, set_ in ((near, sets[1]), (far, sets[0]), (far, sets[1])):
+            after |= (pair >= 0) & has(base + pair, set_)
+        weight = np.add.reduceat(np.where(next_, 2, after), np.cumsum(sizes[part]) - sizes[part])
+        enough[part] = weight >= items.need[item[part]]
+    return np.stack([doc[enough], item[enough]], axis=1)
+
+
+def passages(place: np.ndarray, weight: np.ndarray, need: float, span: int, n: int) -> Iterator[tuple[int, int]]:
+    """Word ranges of a document of n words that hold every stretch of ``span`` words whose seeds, at the
+    sorted places ``place``, have a weight of ``need`` or more."""
+    total = np.concatenate([[0], np.cumsum(weight)])
+    start = place[total[np.searchsorted(place, place + span)] - total[:-1] >= need]
+    if len(start):
+        for rows in np.split(start, np.flatnonzero(np.diff(start) > span) + 1):
+            yield int(rows[0]), min(n, int(rows[-1]) + span)
 
 
 def matches(found: Words, items: Items, threshold: float) -> Iterator[tuple[int, int, float, int, int, int]]:
     """(text, item, score, seeds, first word, end word) of the best passage of each text and item that reaches
     the threshold."""
-    distinct, first = np.unique(items.gram, return_index=True)
-    last = np.append(first[1:], len(items.gram))
-    place, which = seed_hits(found, items, distinct)
-    if not len(place):
+    for size, (grams, owners) in items.whole.items():
+        gram, whole = found.grams(size)
+        place = np.flatnonzero(whole & np.isin(gram, grams))
+        first, end = (np.searchsorted(grams, gram[place], side) for side in ("left", "right"))
+        doc = np.repeat(np.searchsorted(found.at, place, side="right") - 1, end - first)
+        own, place = owners[ranges(first, end - first)], np.repeat(place, end - first)
+        for k in np.unique(np.stack([doc, own]), axis=1, return_index=True)[1]:
+            yield int(doc[k]), int(own[k]), 1.0, 1, int(place[k]), int(place[k]) + size
+    if not len(items.distinct):
         return
-    many = last[which] - first[which]
-    row = np.repeat(first[which], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-    place = np.repeat(place, many)
-    doc = np.searchsorted(found.at, place, side="right") - 1
-    item, inside = items.item[row], items.place[row]
-    order = np.lexsort((item, doc))
-    edges = np.flatnonzero((np.diff(doc[order]) != 0) | (np.diff(item[order]) != 0)) + 1
-    for rows in np.split(order, edges):
-        d, i = int(doc[rows[0]]), int(item[rows[0]])
+    hits = []
+    for step in (1, 2):
+        gram, whole = pairs(found, step)
+        at = np.minimum(np.searchsorted(items.distinct, gram), len(items.distinct) - 1)
+        place = np.flatnonzero(whole & (items.distinct[at] == gram))
+        hits.append((place, at[place], np.searchsorted(found.at, place, side="right") - 1))
+    for d, i in candidates([(doc, which) for _, which, doc in hits], items).tolist():
         start, stop = int(found.at[d]), int(found.at[d + 1])
         target = items.words[i]
+        near, far = (x[items.at[i] : items.at[i + 1]] for x in (items.near, items.far))
+        seeds = []
+        for step, (place, which, doc) in enumerate(hits, 1):
+            low, high = np.searchsorted(doc, [d, d + 1])
+            which, place = which[low:high], place[low:high] - start
+            for pair, weight in ((near, 2 if step == 1 else 1), (far, 1)):
+                rows = np.isin(which, pair)
+                seeds.append((place[rows], np.full(rows.sum(), weight), which[rows]))
+        place, weight, which = (np.concatenate(x) for x in zip(*seeds))
+        places, group = np.unique(place, return_inverse=True)
+        most = np.zeros(len(places), np.int64)
+        np.maximum.at(most, group, weight)
         best = None
-        for low, high, n in passages(place[rows] - start, inside[rows], len(target), stop - start):
+        # an alignment that reaches the threshold is no longer than this
+        span = int(len(target) * (3 - 2 * threshold) + 1e-9)
+        for low, high in passages(places, most, items.need[i], span, stop - start):
             words = found.hash[start + low : start + high]
             # no alignment can match more words than occur in both
             if np.isin(target, words).sum() < threshold * len(target):
@@ -132,6 +211,8 @@ def matches(found: Words, items: Items, threshold: float) -> Iterator[tuple[int,
             score /= 2 * len(target)
             if score >= threshold and (best is None or score > best[2]):
                 back = align(target[::-1], words[:end][::-1])[1]
+                inside = which[(place >= low) & (place < high)]
+                n = int((np.isin(near, inside) | np.isin(far, inside)).sum())
                 best = (d, i, score, n, start + low + end - back, start + low + end)
         if best:
             yield best
@@ -142,7 +223,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     are code points of the best passage. Clean documents have no row."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     out = None
-    for items in blocks(benchmark):
+    for items in blocks(benchmark, threshold):
         shared = docs.sparkSession.sparkContext.broadcast(items)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -170,7 +251,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
 def keep_clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that hold no item, with all their columns."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
-    for items in blocks(benchmark):
+    for items in blocks(benchmark, threshold):
         shared = docs.sparkSession.sparkContext.broadcast(items)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:

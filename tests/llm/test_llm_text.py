@@ -180,6 +180,35 @@ def test_decontamination_finds_one_version_of_an_item_in_many_documents(spark):
     assert [r["doc_id"] for r in decontam.keep_clean(frame(spark, rows), items).collect()] == [300]
 
 
+def _local_score(item, words):
+    best, row = 0, [0] * (len(words) + 1)
+    for a in item:
+        new = [0]
+        for k, b in enumerate(words):
+            new.append(max(0, row[k] + (2 if a == b else -1), row[k + 1] - 1, new[k] - 1))
+        best, row = max(best, *new), new
+    return best / (2 * len(item))
+
+
+def test_decontamination_equals_full_alignment(spark):
+    rnd = random.Random(9)
+    word = lambda: rnd.choice("abcdefghijklmnopqrstuvwxyzäöü") + str(int(rnd.expovariate(0.1)))
+    items = [(i, [word() for _ in range(n)]) for i, n in enumerate([15, 15, 16, 20, 30, 57, 4, 5])]
+    rows = [(0, ["other" if k % 4 == 3 else w for k, w in enumerate(items[0][1])]), (1, [x for w in items[4][1] for x in (w, "other")])]
+    for i in range(300):
+        rate, words = rnd.choice([0.1, 0.2, 0.25, 0.3, 0.4]), []
+        for w in items[rnd.randrange(6)][1]:
+            kind = rnd.randrange(3) if rnd.random() < rate else 3
+            words += [[word()], [], [w, word()], [w]][kind]
+        rows.append((10 + i, [*(word() for _ in range(rnd.randrange(40))), *words, *(word() for _ in range(rnd.randrange(40)))]))
+    want = {(d, i): s for d, words in rows for i, item in items if (s := _local_score(item, words)) >= 0.5}
+    assert {(0, 0), (1, 4)} <= set(want) and 100 < len(want) < 400
+    docs = frame(spark, [(d, " ".join(words)) for d, words in rows])
+    benchmark = spark.createDataFrame([(i, " ".join(words)) for i, words in items], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in decontam.contaminated(docs, benchmark).collect()}
+    assert got == want
+
+
 def test_decontamination_of_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     one = spark.createDataFrame([(1, "some words here and there")], "item_id long, text string")
