@@ -1,7 +1,7 @@
 """Operator 6: benchmark decontamination by seeds of word pairs and Smith-Waterman alignment.
 
-Words are runs of ASCII letters and digits and of other non-ASCII characters, A-Z lower-cased. A document
-is contaminated if its local alignment with an item by Smith-Waterman over words (match 2, mismatch and gap -1)
+Words are runs of letters and digits (of any script), A-Z lower-cased; in scripts without spaces, such as
+Chinese, Japanese and Thai, each character is a word. A document is contaminated if its local alignment with an item by Smith-Waterman over words (match 2, mismatch and gap -1)
 scores ``THRESHOLD`` or more of the item's alignment with itself. Seeds say where to align, and lose none:
 
 * A seed is a pair of words of the item, next to each other or with one between, that the document has

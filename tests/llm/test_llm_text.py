@@ -180,6 +180,33 @@ def test_decontamination_finds_one_version_of_an_item_in_many_documents(spark):
     assert [r["doc_id"] for r in decontam.keep_clean(frame(spark, rows), items).collect()] == [300]
 
 
+def test_words_are_letters_and_digits_of_any_script():
+    from stockroom.llm.words import Words, alphanumeric
+
+    texts = ["“Don’t”—naïve\u00a0Zoë, 3½ x²…", "他说：“你好，world2”。", "", "ภาษาไทย ไทย", "한국어 문장。カタカナ", "é\u0301a", "a", "b", "русский—язык", "😀ok😀"]
+    got = Words(pa.array([t.encode() for t in texts], pa.binary()), alphanumeric())
+    spelled = [bytes(got.body[a:b]).decode() for a, b in zip(got.start, got.end)]
+    want = [["don", "t", "naïve", "Zoë".lower(), "3½", "x²"], [*"他说你好", "world2"], [], [*"ภาษาไทยไทย"], ["한국어", "문장", *"カタカナ"], ["é\u0301a"], ["a"], ["b"], ["русский", "язык"], ["ok"]]
+    assert [spelled[a:b] for a, b in zip(got.at, got.at[1:])] == want
+
+
+def test_decontamination_of_scripts_without_spaces(spark):
+    item, other = "下列哪一种气体在地球大气中所占的体积比例最大", "“Which gas”—of these—makes up most of the air we breathe"
+    items = spark.createDataFrame([(1, item), (2, other)], "item_id long, text string")
+    rows = [(1, f"这是一段很长的中文文字，其中的内容包括{item}，以及其他没有关系的句子。"), (2, "这是一段很长的中文文字，没有任何题目，只有没有关系的句子。")]
+    rows += [(3, "before:\u00a0which gas of these makes up most of the air “we breathe”"), (4, "none of it")]
+    got = {r["doc_id"]: r for r in decontam.contaminated(frame(spark, rows), items).collect()}
+    assert {d: (r["item_id"], r["score"]) for d, r in got.items()} == {1: (1, 1.0), 3: (2, 1.0)}
+    assert rows[0][1][got[1]["start"] : got[1]["end"]] == item
+
+
+def test_terms_beside_other_punctuation(spark):
+    rows = [(i, f"text{i}。请联系“张霩”，邮箱zorb@mail.example.com，谢谢") for i in range(8)] + [(100 + i, f"谢谢你的邮箱，请联系张三 mail{i}@x{i}.example.com 谢谢") for i in range(200)]
+    got = {r["doc_id"]: r["spans"] for r in pii.spans(frame(spark, rows)).collect()}
+    at = rows[0][1].index("霩")
+    assert f"term:{at}:{at + 1}" in got[0].split(",") and "term" not in got[100]
+
+
 def _local_score(item, words):
     best, row = 0, [0] * (len(words) + 1)
     for a in item:
