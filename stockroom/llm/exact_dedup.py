@@ -3,13 +3,13 @@
 The digests of all texts seen so far are kept in an *index*: its shards hold, for a share of the digest
 space each, a minimal perfect hash (levels of bit arrays, a key's place being the rank of its bit) and
 one slot per digest with the full 32-byte digest and the locator (doc_id, row id) of the row that stays.
-New rows probe the shard of their digest. A perfect hash sends strangers to some slot as well, so the
+The digests of new rows probe their shards. A perfect hash sends strangers to some slot as well, so the
 slot's digest is compared byte by byte: equal means a repeat, different means a nonmember. Nonmembers
 are grouped among themselves and can be added to the index.
 
 Skew: digests are aggregated before any shuffle, so a text that a third of all rows share is one row per
-task in the build, and probes of one digest from one batch travel as one row. A shard holds about
-``SLOTS`` digests whatever the size of the corpus; only the number of shards grows.
+task in the build, and each distinct digest is probed once. The answers are joined to the rows by digest, with
+two written sides, so that Spark's skew join splits the rows of a hot digest. A shard holds about ``SLOTS`` digests whatever the size of the corpus; only the number of shards grows.
 
 Defined results: a null text counts as empty; texts are equal when identical after lower-casing A-Z;
 the largest doc_id stays (null counts as smallest), and among rows with the same doc_id and text the
@@ -18,8 +18,6 @@ one with the largest row id; other columns are ignored; an empty table gives an
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,7 +31,7 @@ SLOTS = 4096
 SPARE = 1.5
 ROW = "rid long, doc_id long, digest binary"
 INDEX = "shard long, levels array<long>, bits binary, digests binary, doc_ids binary, rids binary, counts binary"
-PROBED = "digest binary, member boolean, keep_id long, keep_rid long, known long, rows array<struct<rid: long, doc_id: long>>"
+PROBED = "digest binary, keep_id long, keep_rid long, group_size long, repeat boolean"
 NO_ID = -(1 << 63)
 
 
@@ -122,30 +120,17 @@ def _build(group: pa.Table) -> pa.Table:
     )
 
 
-def gather(rows: DataFrame) -> DataFrame:
-    """Rows of the same digest in one batch become one probe, so a hot digest does not fill a shard's task."""
-
-    def by_digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                found = pa.table(batch).group_by("digest").aggregate([("rid", "list"), ("doc_id", "list")])
-                rids, ids = found["rid_list"].combine_chunks(), found["doc_id_list"].combine_chunks()
-                pairs = pa.StructArray.from_arrays([rids.flatten(), ids.flatten()], ["rid", "doc_id"])
-                lists = pa.ListArray.from_arrays(rids.offsets, pairs)
-                yield pa.RecordBatch.from_arrays([found["digest"].combine_chunks(), lists], ["digest", "rows"])
-
-    return rows.select("rid", "doc_id", "digest").mapInArrow(by_digest, "digest binary, rows array<struct<rid: long, doc_id: long>>")
-
-
-def probe(rows: DataFrame, index: DataFrame, shards: int) -> DataFrame:
-    """Look up every digest of ``rows`` in the index; see PROBED for the columns."""
-    asked = gather(rows).withColumn("shard", shard_of(shards))
+def probe(distinct: DataFrame, index: DataFrame, shards: int) -> DataFrame:
+    """Look up the digests of ``distinct`` (digest, doc_id, rid, count) in the index: the row that stays and the
+    number of rows by the index, or for digests that are not in it those of ``distinct``."""
+    asked = distinct.withColumn("shard", shard_of(shards))
     return asked.groupBy("shard").cogroup(index.groupBy("shard")).applyInArrow(_probe, PROBED)
 
 
 def _probe(asked: pa.Table, index: pa.Table) -> pa.Table:
     n = asked.num_rows
-    member, keep, rid, known = np.zeros(n, bool), np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
+    member = np.zeros(n, bool)
+    out = [asked[name].to_numpy() for name in ("doc_id", "rid", "count")]
     if n and index.num_rows:
         shard = {name: index[name][0].as_py() for name in index.column_names}
         held = np.frombuffer(shard["digests"], np.uint8).reshape(-1, 32)
@@ -153,57 +138,36 @@ def _probe(asked: pa.Table, index: pa.Table) -> pa.Table:
         keys = _digest_rows(asked["digest"])
         at = slots_of(shard["levels"], bits, keys)
         member = (at >= 0) & (held[at] == keys).all(axis=1)
-        pick = lambda name: np.where(member, np.frombuffer(shard[name], "<i8")[at], 0)
-        keep, rid, known = pick("doc_ids"), pick("rids"), pick("counts")
-    no = ~member
-    return pa.Table.from_arrays(
-        [
-            asked["digest"].combine_chunks().cast(pa.binary()) if n else pa.array([], pa.binary()),
-            pa.array(member),
-            pa.array(keep, mask=no),
-            pa.array(rid, mask=no),
-            pa.array(known, mask=no),
-            asked["rows"].combine_chunks() if n else pa.array([], asked.schema.field("rows").type),
-        ],
-        names=["digest", "member", "keep_id", "keep_rid", "known", "rows"],
-    )
+        out = [np.where(member, np.frombuffer(shard[name], "<i8")[at], own) for name, own in zip(("doc_ids", "rids", "counts"), out)]
+    digest = asked["digest"].combine_chunks().cast(pa.binary()) if n else pa.array([], pa.binary())
+    return pa.Table.from_arrays([digest, *(pa.array(x, pa.int64()) for x in out), pa.array(member)], names=["digest", "keep_id", "keep_rid", "group_size", "repeat"])
 
 
 def shard_count(distinct: DataFrame) -> int:
     return max(1, -(-distinct.count() // SLOTS))
 
 
-def assign(rows: DataFrame, index: DataFrame | None = None, shards: int = 1) -> DataFrame:
-    """(rid, doc_id, digest, keep_id, keep_rid, group_size, repeat) of every row of ``rows``.
+def assign(rows: DataFrame, index: DataFrame | None = None, shards: int = 1, distinct: DataFrame | None = None) -> DataFrame:
+    """(rid, doc_id, digest, keep_id, keep_rid, group_size, repeat) of every row of ``rows``, a saved table;
+    ``distinct`` are its ``winners``, where they are known.
 
     ``repeat`` says that the digest is in the index. Without an index, or for digests that are not in
     it, the rows are grouped among themselves and ``repeat`` is false.
     """
-    spark = rows.sparkSession
     if index is None:
-        index = spark.createDataFrame([], INDEX)
-    found = save(probe(rows, index, shards), "probed")
-    lone = found.where("not member").select("digest", F.explode("rows").alias("row")).select("digest", "row.*")
-    fresh = winners(lone).select("digest", F.col("doc_id").alias("new_id"), F.col("rid").alias("new_rid"), "count")
-    strangers = (
-        found.where("not member")
-        .join(fresh, "digest")
-        .select("digest", "rows", F.col("new_id").alias("keep_id"), F.col("new_rid").alias("keep_rid"), F.col("count").alias("group_size"), F.lit(False).alias("repeat"))
-    )
-    known = found.where("member").select("digest", "rows", "keep_id", "keep_rid", F.col("known").alias("group_size"), F.lit(True).alias("repeat"))
-    return known.unionByName(strangers).select(
-        F.explode("rows").alias("row"), "digest", F.nullif("keep_id", F.lit(NO_ID)).alias("keep_id"), "keep_rid", "group_size", "repeat"
-    ).select("row.*", "digest", "keep_id", "keep_rid", "group_size", "repeat")
+        index = rows.sparkSession.createDataFrame([], INDEX)
+    found = save(probe(winners(rows) if distinct is None else distinct, index, shards), "probed")
+    return rows.join(found, "digest").select("rid", "doc_id", "digest", F.nullif("keep_id", F.lit(NO_ID)).alias("keep_id"), "keep_rid", "group_size", "repeat")
 
 
 def dedup(docs: DataFrame) -> DataFrame:
     """Every row of ``docs`` with the row that stays for its text: the index is built over all digests of
-    the corpus, then every row probes it."""
+    the corpus, then every digest probes it and its rows get the answer."""
     rows = digests(docs)
     distinct = save(winners(rows), "winners")
     shards = shard_count(distinct)
     index = save(build_index(distinct, shards), "index")
-    return assign(rows, index, shards).select("doc_id", "rid", "digest", "keep_id", "group_size", (F.col("rid") == F.col("keep_rid")).alias("kept"))
+    return assign(rows, index, shards, distinct).select("doc_id", "rid", "digest", "keep_id", "group_size", (F.col("rid") == F.col("keep_rid")).alias("kept"))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
@@ -214,5 +178,5 @@ def keep_first(docs: DataFrame) -> DataFrame:
     rows = save(source.select("rid", F.col("doc_id").cast("long").alias("doc_id"), digest), "digests")
     distinct = save(winners(rows), "winners")
     shards = shard_count(distinct)
-    stay = assign(rows, save(build_index(distinct, shards), "index"), shards).where("rid = keep_rid").select("rid")
+    stay = assign(rows, save(build_index(distinct, shards), "index"), shards, distinct).where("rid = keep_rid").select("rid")
     return saved.join(stay, "rid", "left_semi").select("doc.*")

@@ -41,6 +41,15 @@ def test_index_knows_members_and_strangers(spark):
     assert got == {100: (9, 2, True), 101: (102, 2, False), 102: (102, 2, False), 103: (103, 1, False)}
 
 
+def test_a_hot_digest_is_probed_once(spark, monkeypatch):
+    saved, save = {}, exact_dedup.save
+    monkeypatch.setattr(exact_dedup, "save", lambda df, name, **options: saved.setdefault(name, save(df, name, **options)))
+    got = exact_dedup.dedup(frame(spark, [(i, "a hot text" if i < 300 else f"text {i}") for i in range(310)])).collect()
+    assert sorted((r["keep_id"], r["group_size"], r["kept"]) for r in got if r["doc_id"] < 300) == [(299, 300, False)] * 299 + [(299, 300, True)]
+    probed = saved["probed"]
+    assert probed.count() == 11 and not any(kind.startswith("array") for _, kind in probed.dtypes)
+
+
 def test_perfect_hash_is_minimal_and_perfect():
     keys = np.frombuffer(b"".join(hashlib.sha256(str(i).encode()).digest() for i in range(5000)), np.uint8).reshape(-1, 32)
     sizes, bits = exact_dedup.perfect_hash(keys)
