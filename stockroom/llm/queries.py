@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockroom.llm import bpe, decontam, exact_dedup, langid, line_dedup, near_dedup, pii, quality, suffix_dedup, token_files
+from stockroom.llm import bpe, decontam, exact_dedup, langid, line_dedup, near_dedup, periodic, pii, quality, suffix_dedup, token_files, url_tree, whitening
 from stockroom.llm.common import table
 
 MULTI_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -61,6 +61,54 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", planted("doc_id", "text").alias("text"))
+    line = "concat_ws(',', r.start, r.length, r.period)"
+    best = "array_max(transform(runs, r -> struct(r.length AS length, -r.start AS start, -r.period AS period)))"
+    found = periodic.collapse(docs).withColumn("best", F.expr(best))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.expr("1000 * best.length DIV -best.period").alias("exponent_milli"),
+        F.sha2(F.expr(f"array_join(transform(runs, r -> concat({line}, '\n')), '')"), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def planted(key: str, text: str) -> Column:
+    """The texts of the query: in a tenth of the documents, by the checksum of the id, the words from one place
+    on repeat the first few of them."""
+    words = rf"filter(split({text}, '[\\x20\\x09-\\x0D]+'), w -> w != '')"
+    h = f"crc32(CAST({key} AS STRING))"
+    repeated = f"""
+    transform(array(struct({words} AS w, {h} DIV 10 AS g)), s -> transform(
+      array(struct(s.w AS w, s.g AS g, s.g % size(s.w) AS a)), s -> transform(
+        array(struct(s.w AS w, s.a AS a, 1 + (size(s.w) - s.a) DIV (3 + s.g % 8) AS p)), s ->
+          array_join(transform(s.w, (w, i) -> if(i < s.a, w, s.w[CAST(s.a + (i - s.a) % s.p AS INT)])), ' '))))[0][0][0]"""
+    return F.expr(f"CASE WHEN {h} % 10 = 0 AND size({words}) > 0 THEN {repeated} ELSE {text} END")
+
+
+RULES = (
+    url_tree.Rule("allow", "org", "/"),
+    url_tree.Rule("block", "example.org", "/es/"),
+    url_tree.Rule("block", "example.org", "/en/1"),
+    url_tree.Rule("allow", "com", "/fr/"),
+    url_tree.Rule("block", "com", "/de/"),
+)
+
+
+def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_tree.judge(table(spark, sf_dir, "pages"), RULES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_pii": op2_pii,
@@ -72,6 +120,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_quality": op9_quality,
     "op10_language_id": op10_language_id,
+    "op11_whitening": op11_whitening,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_url_filters": op13_url_filters,
 }
 
 ORACLE: dict[str, str] = {
