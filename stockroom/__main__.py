@@ -16,6 +16,8 @@ from pyspark.sql import SparkSession
 
 from stockroom.config import BUSINESS_PERIOD, Period
 from stockroom.plans.pipeline import DEFAULT_DAILY_ROWS_PER_TASK, KPI_SORT, run_pipeline
+from stockroom.plans.publish import LAYOUTS
+from stockroom.plans.snapshots import LATE
 from stockroom.session import RECOMMENDED_CONF, shared_or_local
 
 
@@ -32,6 +34,11 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--daily-by-year", action="store_true", help="write daily_stock in folders Year=...")
     ap.add_argument("--keep-scratch", action="store_true", help="keep the intermediate tables")
     ap.add_argument("--resume", metavar="SCRATCH_DIR", help="scratch_dir of an interrupted run of the same job")
+    ap.add_argument("--layout", choices=LAYOUTS, default="flat", help="<out>/<table>.parquet, or versions behind a pointer file")
+    ap.add_argument("--snapshots", metavar="DIR", help="folder of stock balances to start from and to add to")
+    ap.add_argument("--late", choices=LATE, default="raise", help="what to do when movements that a snapshot covers have changed")
+    ap.add_argument("--uncounted", action="store_true", help="no reject counts; date filters reach the scans of the facts")
+    ap.add_argument("--allow-duplicate-products", action="store_true", help="count a fact once per row of its ProductId")
     args = ap.parse_args(argv)
 
     builder = SparkSession.builder.appName("stockroom")
@@ -51,6 +58,11 @@ def main(argv: list[str] | None = None) -> None:
         price_scale=args.price_scale,
         daily_by_year=args.daily_by_year,
         keep_scratch=args.keep_scratch,
+        layout=args.layout,
+        snapshot_dir=args.snapshots,
+        late=args.late,
+        counted=not args.uncounted,
+        allow_duplicate_products=args.allow_duplicate_products,
     )
     print(
         json.dumps(
@@ -58,6 +70,8 @@ def main(argv: list[str] | None = None) -> None:
                 "out_dir": run.out_dir,
                 "scratch_dir": run.scratch_dir,
                 "reused": run.reused,
+                "snapshot": run.snapshot,
+                "counts": run.counts,
                 "seconds": {k: round(v, 3) for k, v in run.seconds.items()},
             }
         )

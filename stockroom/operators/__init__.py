@@ -1,6 +1,6 @@
 """DataFrame -> DataFrame operators of the retail stock and sales engine."""
 
-from stockroom.operators.enrich import enrich, period_filter, product_dimension, sized_broadcast, unmatched
+from stockroom.operators.enrich import enrich, enrich_marked, period_filter, product_dimension, sized_broadcast, unmatched
 from stockroom.operators.kpi import (
     average_stock,
     benefits_from_summary,
@@ -20,8 +20,10 @@ from stockroom.operators.kpi import (
 from stockroom.operators.ledger import (
     active_timeline,
     change_intervals,
+    densify_by_year,
     densify_daily,
     ledger,
+    ledger_in_order,
     net_movements,
     nonpositive_intervals,
     opening_stock,
@@ -41,27 +43,35 @@ from stockroom.operators.quality import (
     reconcile_quantity,
     table_shape,
 )
+from stockroom.operators.snapshot import absorb, advance, late_movements, opening_since, running_since, since, stock_snapshot
 
 __all__ = [
+    "absorb",
     "active_timeline",
+    "advance",
     "average_stock",
     "benefits_from_summary",
     "change_intervals",
     "clean",
     "compare_grains",
     "date_range",
+    "densify_by_year",
     "densify_daily",
     "duplicate_products",
     "enrich",
+    "enrich_marked",
     "inbound_cost",
     "interval_years",
     "kpi_facts",
     "kpi_summary",
+    "late_movements",
     "ledger",
+    "ledger_in_order",
     "line_amount",
     "net_movements",
     "nonpositive_intervals",
     "null_rejects",
+    "opening_since",
     "opening_stock",
     "period_filter",
     "positive_intervals",
@@ -73,9 +83,12 @@ __all__ = [
     "reconcile_quantity",
     "revenue",
     "rotation_from_summary",
+    "running_since",
     "running_stock",
+    "since",
     "sized_broadcast",
     "stock_days",
+    "stock_snapshot",
     "stock_timeline",
     "table_shape",
     "turnover",

@@ -37,11 +37,18 @@ def _round8(n: int) -> int:
     return (n + 7) // 8 * 8
 
 
-def measured_size_bytes(df: DataFrame) -> int:
+def measured_size_bytes(df: DataFrame, unique_key: str | None = None) -> int:
     """Upper bound of the in-memory size of ``df``: rows x (null-bit header + one 8-byte slot per
-    field + the longest value of each string column, 8-byte aligned). One small aggregate job."""
+    field + the longest value of each string column, 8-byte aligned). One small aggregate job.
+
+    With ``unique_key`` the same aggregate raises if two rows share that key."""
     string_cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    aggs = [F.count(F.lit(1)).alias("rows")]
+    rows = F.count(F.lit(1))
+    if unique_key:
+        spare = rows - F.count_distinct(unique_key)
+        message = F.concat(spare.cast("string"), F.lit(f" rows repeat the {unique_key} of another row; facts joined to it would count several times"))
+        rows = F.when(spare == 0, rows).otherwise(F.raise_error(message).cast("long"))
+    aggs = [rows.alias("rows")]
     aggs += [F.coalesce(F.max(F.octet_length(c)), F.lit(0)).alias(f"len_{i}") for i, c in enumerate(string_cols)]
     extra = 0
     for f in df.schema.fields:
@@ -55,11 +62,13 @@ def measured_size_bytes(df: DataFrame) -> int:
     return int(row["rows"]) * per_row
 
 
-def sized_broadcast(df: DataFrame, max_bytes: int | None = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
-    """``broadcast(df)`` when its measured size is at most ``max_bytes``, else ``df`` unchanged."""
-    if max_bytes is None:
+def sized_broadcast(df: DataFrame, max_bytes: int | None = DEFAULT_BROADCAST_MAX_BYTES, unique_key: str | None = None) -> DataFrame:
+    """``broadcast(df)`` when its measured size is at most ``max_bytes``, else ``df`` unchanged; raises if
+    rows share ``unique_key``."""
+    if max_bytes is None and unique_key is None:
         return df
-    return F.broadcast(df) if measured_size_bytes(df) <= max_bytes else df
+    size = measured_size_bytes(df, unique_key)
+    return F.broadcast(df) if max_bytes is not None and size <= max_bytes else df
 
 
 def product_dimension(
@@ -83,6 +92,17 @@ def enrich(
     return fact.join(product_dimension(products, cols, broadcast_max_bytes), "ProductId", "inner")
 
 
+def enrich_marked(
+    fact: DataFrame,
+    products: DataFrame,
+    cols: Sequence[str],
+    broadcast_max_bytes: int | None = DEFAULT_BROADCAST_MAX_BYTES,
+) -> DataFrame:
+    """C3 and C4 in one join: every fact, with NULL attributes where its product is unknown. The attributes of the
+    clean dimension are never NULL, so ``cols[0]`` tells the two apart."""
+    return fact.join(product_dimension(products, cols, broadcast_max_bytes), "ProductId", "left")
+
+
 def unmatched(
     fact: DataFrame, products: DataFrame, broadcast_max_bytes: int | None = DEFAULT_BROADCAST_MAX_BYTES
 ) -> DataFrame:

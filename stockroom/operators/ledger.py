@@ -159,6 +159,31 @@ def ledger(movements: DataFrame, grain: Sequence[str], period: Period, colocate:
     )
 
 
+def ledger_in_order(rows: DataFrame, grain: Sequence[str], period: Period) -> DataFrame:
+    """The intervals of :func:`ledger` without netting, in one window over rows as they are.
+
+    The running Stock takes in all rows of a date (a RANGE frame), and only a date's last row, whose
+    successor has another date, sets an interval. So nothing but the window's own order is asked for:
+    over a table bucketed by the grain and sorted by (grain, Date) there is no shuffle and no sort.
+    Use it where the rows of a key are bounded, as in a table summed per (finer key, day).
+    """
+    start, end = period.start_lit, period.end_lit
+    by_date = _by_date(grain)
+    state = rows.where(F.col("Date") <= end).select(
+        *grain,
+        "Date",
+        F.sum("Quantity").over(by_date.rangeBetween(Window.unboundedPreceding, Window.currentRow)).cast("long").alias("Stock"),
+        F.lead("Date").over(by_date).alias("_next"),
+    )
+    last = F.col("_next").isNull() | ((F.col("_next") > F.col("Date")) & (F.col("_next") > start))
+    return state.where(last & (F.col("Stock") > 0)).select(
+        *grain,
+        F.greatest(F.col("Date"), start).alias("StartDate"),
+        F.coalesce(F.date_sub("_next", 1), end).alias("EndDate"),
+        "Stock",
+    )
+
+
 def densify_daily(intervals: DataFrame, grain: Sequence[str], partitions: int | None = None) -> DataFrame:
     """C14: one row per day of each interval (``daily_stock``).
 
@@ -174,3 +199,22 @@ def densify_daily(intervals: DataFrame, grain: Sequence[str], partitions: int |
     if partitions is not None:
         iv = iv.repartition(partitions, *grain).sortWithinPartitions(*grain, "StartDate")
     return iv.select(*grain, F.explode(F.sequence("StartDate", "EndDate")).alias("Date"), "Stock")
+
+
+def densify_by_year(intervals: DataFrame, grain: Sequence[str], partitions: int) -> DataFrame:
+    """C14 with a Year column, for a table in folders ``Year=...``.
+
+    Intervals are cut at year ends and range-partitioned by (Year, key) before they are exploded, so a
+    task holds a year or two: about ``partitions`` files over all years, and no sort of the daily rows.
+    """
+    iv = intervals.where(F.col("StartDate") <= F.col("EndDate"))
+    years = F.explode(F.sequence(F.year("StartDate"), F.year("EndDate"))).alias("Year")
+    cut = iv.select(*grain, "StartDate", "EndDate", "Stock", years).select(
+        *grain,
+        F.greatest("StartDate", F.make_date("Year", F.lit(1), F.lit(1))).alias("StartDate"),
+        F.least("EndDate", F.make_date("Year", F.lit(12), F.lit(31))).alias("EndDate"),
+        "Stock",
+        "Year",
+    )
+    cut = cut.repartitionByRange(partitions, "Year", *grain, "StartDate").sortWithinPartitions("Year", *grain, "StartDate")
+    return cut.select(*grain, F.explode(F.sequence("StartDate", "EndDate")).alias("Date"), "Stock", "Year")

@@ -7,6 +7,7 @@ Money columns are converted to DOUBLE at the end of a query; dates stay DATE.
 
 from __future__ import annotations
 
+import datetime as dt
 import importlib
 import tempfile
 from collections.abc import Callable
@@ -21,6 +22,7 @@ from stockroom.functions.dates import days_in_year
 from stockroom.functions.money import units_to_double
 from stockroom.operators import kpi as K
 from stockroom.operators import quality as Q
+from stockroom.operators import snapshot as S
 from stockroom.plans import pipeline as job
 from stockroom.session import scratch_path, shared_or_local
 from stockroom.sources.fixtures import derive_inputs
@@ -31,6 +33,8 @@ E = importlib.import_module("stockroom.operators.enrich")
 L = importlib.import_module("stockroom.operators.ledger")
 
 P, SCALE = FIXTURE_PERIOD, FIXTURE_PRICE_SCALE
+#: The day before the period, and the end of the year before: the days of the snapshot queries.
+AS_OF, EARLIER = P.start - dt.timedelta(days=1), P.start - dt.timedelta(days=366)
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -83,6 +87,19 @@ class Frames:
     def daily(self, grain=ROOT_GRAIN) -> DataFrame:
         """The daily table of written intervals, spread by their measured days."""
         return job.daily_table(self.saved(self.intervals(grain), "intervals"), grain)
+
+    def bucketed_cube(self) -> DataFrame:
+        shared_or_local(self.spark, tempfile.gettempdir())
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return job.save_cube(self.cube(), scratch_path(self.spark, "bucketed"), buckets)
+
+    # --- snapshots: written balances, then the later movements alone ---------------------
+    def snapshot(self, as_of: dt.date = AS_OF) -> DataFrame:
+        return self.saved(S.stock_snapshot(self.movements_at(ROOT_GRAIN), ROOT_GRAIN, as_of), "snapshot")
+
+    def since_snapshot(self, build: Callable[..., DataFrame], *more: dt.date) -> DataFrame:
+        return build(self.snapshot(), self.movements_at(ROOT_GRAIN), ROOT_GRAIN, AS_OF, *more)
+
     # --- ledger, step by step ---------------------------------------------------------
     def net(self, grain=ROOT_GRAIN) -> DataFrame:
         return L.net_movements(self.movements_at(grain), grain)
@@ -171,6 +188,17 @@ def _written(f: Frames) -> DataFrame:
     return f.spark.read.parquet(path).withColumns({c: F.col(c).cast("date") for c in ("StartDate", "EndDate")})
 
 
+def _job_counts(f: Frames) -> DataFrame:
+    """Reject counts and balances as the job takes them, in the passes that write its cube and its summary."""
+    counts = job.Counts()
+    movements = job.cleaned(f.raw.stock_movements, "movements", counts)
+    cube = f.saved(job.movement_cube(movements, f.dimension, P, SCALE, None, counts), "cube")
+    sales = job.cleaned(f.raw.sales, "sales", counts)
+    f.saved(job.summary_of(sales, f.dimension, cube, P, SCALE, counts), "summary")
+    rows = sorted(counts.settle().items())
+    return f.spark.createDataFrame(rows, "Name string, Value bigint")
+
+
 def _summary_doubles(summary: DataFrame) -> DataFrame:
     return summary.select(
         *[c for c in summary.columns if not c.endswith("Units")],
@@ -219,6 +247,14 @@ QUERIES: dict[str, Query] = {
     "daily_stock_family": _q(lambda f: f.daily(FAMILY_GRAIN)),
     "daily_stock_job": _q(lambda f: job.daily_table(f.saved(job.root_intervals(f.cube(), P), "intervals"), ROOT_GRAIN)),
     "interval_stock_written": _q(_written),
+    "interval_stock_bucketed": _q(lambda f: job.root_intervals(f.bucketed_cube(), P, ordered=True)),
+    "daily_stock_by_year": _q(lambda f: job.daily_table(f.saved(f.intervals(), "intervals"), ROOT_GRAIN, by_year=True)),
+    # C6 / C7 from a written snapshot and the movements after it
+    "stock_snapshot": _q(lambda f: f.snapshot()),
+    "stock_snapshot_advanced": _q(lambda f: S.advance(f.snapshot(EARLIER), f.movements_at(ROOT_GRAIN), ROOT_GRAIN, EARLIER, AS_OF)),
+    "running_stock_since": _q(lambda f: f.since_snapshot(S.running_since)),
+    "opening_stock_since": _q(lambda f: f.since_snapshot(S.opening_since, P.start)),
+    "interval_stock_since": _q(lambda f: L.ledger(f.since_snapshot(S.since), ROOT_GRAIN, P)),
     # profit
     "revenue_by_family": _q(lambda f: _double(f.revenue("Family"), "Revenue")),
     "revenue_by_store": _q(lambda f: _double(f.revenue("StoreId"), "Revenue")),
@@ -253,4 +289,5 @@ QUERIES: dict[str, Query] = {
     "reconcile_quantity": _q(_reconcile_quantity),
     "reconcile_days": _q(_reconcile_days),
     "compare_grains": _q(_compare_grains),
+    "job_counts": _q(_job_counts),
 }

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from stockroom.config import FIXTURE_PERIOD
 
+AS_OF = f"CAST(DATE '{FIXTURE_PERIOD.start.isoformat()}' - 1 AS DATE)"
 START = f"DATE '{FIXTURE_PERIOD.start.isoformat()}'"
 END = f"DATE '{FIXTURE_PERIOD.end.isoformat()}'"
 
@@ -57,6 +58,10 @@ def _ledger_ctes(g: str, k: str) -> str:
 {g}_daily AS (SELECT {key}, CAST(ts AS DATE) AS "Date", Stock FROM {g}_days)"""
 
 
+_SNAPSHOT = f"""
+SELECT ProductRootCode, StoreId, {AS_OF} AS AsOf, CAST(SUM(Quantity) AS BIGINT) AS Stock
+FROM r_mov WHERE "Date" <= {AS_OF} GROUP BY ProductRootCode, StoreId"""
+
 PRELUDE = f"""
 WITH
 products AS (
@@ -218,6 +223,23 @@ FROM r_flags WHERE (n_rows = 1 AND Stock = 0 AND "Date" = {START}) OR n_non_nega
     "interval_stock": "SELECT * FROM r_iv",
     "interval_stock_steps": "SELECT * FROM r_iv",
     "interval_stock_job": "SELECT * FROM r_iv",
+    "interval_stock_bucketed": "SELECT * FROM r_iv",
+    "interval_stock_since": "SELECT * FROM r_iv",
+    "daily_stock_by_year": 'SELECT *, CAST(year("Date") AS INTEGER) AS "Year" FROM r_daily',
+    "stock_snapshot": _SNAPSHOT,
+    "stock_snapshot_advanced": _SNAPSHOT,
+    "running_stock_since": f'SELECT * FROM r_run WHERE "Date" > {AS_OF}',
+    "opening_stock_since": "SELECT * FROM r_open",
+    "job_counts": f"""
+SELECT 'movements_rows' AS Name, COUNT(*) AS Value FROM stock_movements
+UNION ALL SELECT 'null_movements', COUNT(*) - (SELECT COUNT(*) FROM m_clean) FROM stock_movements
+UNION ALL SELECT 'sales_rows', COUNT(*) FROM sales
+UNION ALL SELECT 'null_sales', COUNT(*) - (SELECT COUNT(*) FROM s_clean) FROM sales
+UNION ALL SELECT 'unmatched_sales', COUNT(*) FROM s_period s WHERE NOT EXISTS (SELECT 1 FROM p_clean p WHERE p.ProductId = s.ProductId)
+UNION ALL SELECT 'unmatched_movements', COUNT(*) FROM m_period m WHERE NOT EXISTS (SELECT 1 FROM p_clean p WHERE p.ProductId = m.ProductId)
+UNION ALL SELECT 'movement_quantity', CAST(SUM(Quantity) AS BIGINT) FROM r_mov WHERE "Date" <= {END}
+UNION ALL SELECT 'cube_quantity', CAST(SUM(Quantity) AS BIGINT) FROM f_net WHERE "Date" <= {END}
+""",
     "nonpositive_intervals": "SELECT * FROM r_iv_all WHERE Stock <= 0",
     "interval_stock_family": "SELECT * FROM f_iv",
     "net_movements_family": "SELECT * FROM f_net",

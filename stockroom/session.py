@@ -86,12 +86,6 @@ def shared_or_local(spark: SparkSession, fallback: str) -> str:
     return ensure_checkpoint_dir(spark, fallback)
 
 
-def remove_path(spark: SparkSession, path: str) -> None:
-    """Delete a folder in whatever store it is in."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/stockroom/{uuid.uuid4().hex}/{name}"

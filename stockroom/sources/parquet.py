@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +24,8 @@ class Inputs:
     products: DataFrame
     sales: DataFrame
     stock_movements: DataFrame
+    #: Where the tables were read from, by name; empty for frames that a caller made.
+    paths: dict[str, str] = field(default_factory=dict)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -32,11 +36,27 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 def read_inputs(spark: SparkSession, in_dir: str) -> Inputs:
     """``products.parquet``, ``sales.parquet`` and ``stock_movements.parquet`` below ``in_dir``."""
     base = in_dir.rstrip("/")
-    return Inputs(
-        products=read_table(spark, f"{base}/products.parquet", schemas.PRODUCTS),
-        sales=read_table(spark, f"{base}/sales.parquet", schemas.SALES),
-        stock_movements=read_table(spark, f"{base}/stock_movements.parquet", schemas.STOCK_MOVEMENTS),
-    )
+    wanted = {"products": schemas.PRODUCTS, "sales": schemas.SALES, "stock_movements": schemas.STOCK_MOVEMENTS}
+    paths = {name: f"{base}/{name}.parquet" for name in wanted}
+    return Inputs(**{name: read_table(spark, paths[name], schema) for name, schema in wanted.items()}, paths=paths)
+
+
+#: How many folders ``Year=...`` a task may write to at once before Spark sorts its rows by folder.
+YEARS_AT_ONCE = 16
+
+
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for the time of a write."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
 
 
 def dates_to_timestamps(df: DataFrame) -> DataFrame:
@@ -65,19 +85,23 @@ def write_table(
     contract. ``sort_by`` is meant for the small KPI tables only (readability); large
     tables are written in partition order. ``partitions`` coalesces small results into few files.
     ``contract``: the published schema the written frame must have (checked before writing; with
-    DATE in place of timestamps when dates are written as they are). ``by_year`` adds folders
-    ``Year=...`` from the Date column, so that a reader of some years scans these alone.
+    DATE in place of timestamps when dates are written as they are). ``by_year`` writes folders
+    ``Year=...``, so that a reader of some years scans these alone; a frame without a Year column gets it from
+    Date. Tasks keep a file open for each of up to ``YEARS_AT_ONCE`` years, so the rows need no sort by year.
     """
     out = dates_to_timestamps(df) if timestamp_output else df
     if contract is not None:
-        problems = schemas.schema_mismatches(out, contract if timestamp_output else schemas.with_dates(contract))
+        published = out.drop("Year") if by_year else out
+        problems = schemas.schema_mismatches(published, contract if timestamp_output else schemas.with_dates(contract))
         if problems:
             raise ValueError(f"{path}: output does not match its contract: {problems}")
     if partitions is not None:
         out = out.coalesce(partitions)
     if sort_by:
         out = out.sortWithinPartitions(*sort_by)
-    writer = (out.withColumn("Year", F.year("Date")) if by_year else out).write
-    if by_year:
-        writer = writer.partitionBy("Year")
-    writer.mode("overwrite").option("compression", compression).parquet(path)
+    if not by_year:
+        out.write.mode("overwrite").option("compression", compression).parquet(path)
+        return
+    out = out if "Year" in out.columns else out.withColumn("Year", F.year("Date"))
+    with setting(out.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", str(YEARS_AT_ONCE)):
+        out.write.partitionBy("Year").mode("overwrite").option("compression", compression).parquet(path)

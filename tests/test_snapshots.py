@@ -1,0 +1,169 @@
+"""Balance snapshots: a run from one equals a run over the whole history."""
+
+from __future__ import annotations
+
+import datetime as dt
+import tempfile
+
+import pytest
+from conftest import SF_SMALL, collect_sorted, d
+from pyspark.sql import functions as F
+
+from stockroom.config import FAMILY_GRAIN, FIXTURE_PRICE_SCALE, ROOT_GRAIN, Period
+from stockroom.operators import (
+    absorb,
+    advance,
+    late_movements,
+    ledger,
+    ledger_in_order,
+    net_movements,
+    opening_since,
+    opening_stock,
+    running_since,
+    running_stock,
+    since,
+    stock_snapshot,
+)
+from stockroom.plans import plan_text, run_pipeline
+from stockroom.plans.pipeline import priced_products
+from stockroom.plans.snapshots import SnapshotStore, history
+from stockroom.operators.quality import clean
+from stockroom.sources import read_inputs, write_inputs
+
+P = Period.of("2019-03-01", "2019-12-31")
+ROWS = [
+    (1, 7, "2018-12-30", 5), (1, 7, "2019-01-10", -5), (1, 7, "2019-03-01", 2), (1, 7, "2019-06-01", 4),
+    (2, 7, "2019-02-28", 3), (2, 7, "2019-03-05", -3), (2, 7, "2020-01-05", 9),
+    (3, 8, "2018-01-01", -4), (3, 8, "2019-04-01", 6), (4, 8, "2019-05-05", 1), (4, 8, "2019-05-05", 1), (5, 9, "2019-02-28", 1), (5, 9, "2019-02-28", -1),
+]
+
+
+def moves(spark, rows):
+    data = [(root, store, d(day), q) for store, root, day, q in rows]
+    return spark.createDataFrame(data, "ProductRootCode int, StoreId int, Date date, Quantity int")
+
+
+@pytest.mark.parametrize("as_of", ["2017-01-01", "2018-12-31", "2019-02-28"])
+def test_every_step_from_a_snapshot_equals_the_whole_history(spark, as_of):
+    rows, day = moves(spark, ROWS), d(as_of)
+    snap = stock_snapshot(rows, ROOT_GRAIN, day)
+    whole = running_stock(net_movements(rows, ROOT_GRAIN), ROOT_GRAIN)
+    assert collect_sorted(running_since(snap, rows, ROOT_GRAIN, day)) == collect_sorted(whole.where(F.col("Date") > F.lit(day)))
+    want = opening_stock(whole, ROOT_GRAIN, P.start)
+    assert collect_sorted(opening_since(snap, rows, ROOT_GRAIN, day, P.start)) == collect_sorted(want)
+    intervals = collect_sorted(ledger(rows, ROOT_GRAIN, P))
+    assert collect_sorted(ledger(since(snap, rows, ROOT_GRAIN, day), ROOT_GRAIN, P)) == intervals
+    assert collect_sorted(ledger_in_order(since(snap, rows, ROOT_GRAIN, day), ROOT_GRAIN, P)) == intervals
+    assert collect_sorted(ledger_in_order(rows, ROOT_GRAIN, P)) == intervals
+
+
+def test_advance_and_its_refusals(spark):
+    rows = moves(spark, ROWS)
+    first = stock_snapshot(rows, ROOT_GRAIN, d("2018-12-31"))
+    got = advance(first, rows, ROOT_GRAIN, d("2018-12-31"), d("2019-06-30"))
+    assert collect_sorted(got) == collect_sorted(stock_snapshot(rows, ROOT_GRAIN, d("2019-06-30")))
+    with pytest.raises(ValueError, match="before the snapshot"):
+        advance(first, rows, ROOT_GRAIN, d("2018-12-31"), d("2018-01-01"))
+    with pytest.raises(ValueError, match="says nothing"):
+        opening_since(first, rows, ROOT_GRAIN, d("2019-12-31"), P.start)
+
+
+def test_late_movements_rebuild_their_keys_alone(spark):
+    rows, day = moves(spark, ROWS), d("2019-02-28")
+    snap = stock_snapshot(rows, ROOT_GRAIN, day)
+    batch = moves(spark, [(1, 7, "2019-01-05", 10), (9, 9, "2018-05-05", 2), (2, 7, "2019-07-07", 100)])
+    assert late_movements(batch, day).count() == 2
+    got = collect_sorted(absorb(snap, batch, ROOT_GRAIN, day))
+    assert got == collect_sorted(stock_snapshot(rows.unionByName(batch), ROOT_GRAIN, day))
+    before = collect_sorted(snap)
+    assert set(before) - set(got) == {(7, 1, day, 0)} and set(got) - set(before) == {(7, 1, day, 10), (9, 9, day, 2)}
+
+
+def test_the_plan_reads_later_movements_only(spark, tmp_path):
+    moves(spark, ROWS).write.parquet(f"{tmp_path}/m")
+    rows = spark.read.parquet(f"{tmp_path}/m")
+    snap = stock_snapshot(rows, ROOT_GRAIN, d("2019-02-28"))
+    snap.write.parquet(f"{tmp_path}/s")
+    text = plan_text(ledger(since(spark.read.parquet(f"{tmp_path}/s"), rows, ROOT_GRAIN, d("2019-02-28")), ROOT_GRAIN, P), "formatted")
+    assert "GreaterThan(Date,2019-02-28)" in text
+
+
+@pytest.fixture(scope="module")
+def in_dir(spark):
+    path = tempfile.mkdtemp(prefix="stockroom-in-")
+    write_inputs(spark, SF_SMALL, path)
+    return path
+
+
+LATER = Period.of("2000-01-01", "2000-12-31")
+
+
+def tables(spark, run):
+    return {n: collect_sorted(spark.read.parquet(f"{run.out_dir}/{n}.parquet")) for n in ("interval_stock", "store_rotation", "family_benefits", "store_benefits")}
+
+
+def job(spark, in_dir, period, **more):
+    return run_pipeline(spark, tempfile.mkdtemp(), in_dir=in_dir, period=period, price_scale=FIXTURE_PRICE_SCALE, **more)
+
+
+def test_a_job_from_a_snapshot_equals_a_full_job(spark, in_dir):
+    snapshots = tempfile.mkdtemp(prefix="stockroom-snap-")
+    year = Period.of("1999-01-01", "1999-12-31")
+    first = job(spark, in_dir, year, snapshot_dir=snapshots, tables=("store_benefits",))
+    assert first.snapshot is None
+    run = job(spark, in_dir, LATER, snapshot_dir=snapshots)
+    assert run.snapshot == "1999-12-31"
+    want = job(spark, in_dir, LATER)
+    assert tables(spark, run) == tables(spark, want)
+    assert run.counts["movements_rows"] < want.counts["movements_rows"]
+    store = SnapshotStore(spark, snapshots, priced_products(clean(read_inputs(spark, in_dir).products), FIXTURE_PRICE_SCALE))
+    assert store.days() == [year.end, LATER.end]
+    # the second snapshot was made from the first and the movements after it
+    whole = clean(read_inputs(spark, in_dir).stock_movements).join(store_products(spark, in_dir), "ProductId")
+    keys = ["ProductRootCode", "Family", "StoreId"]
+    assert collect_sorted(store.open(LATER.end).balances()) == collect_sorted(stock_snapshot(whole, keys, LATER.end))
+    # a period that begins on the snapshot's day needs that day's inbound movements
+    assert store.usable(read_inputs(spark, in_dir).stock_movements, year.end) is None
+
+
+def store_products(spark, in_dir):
+    return clean(read_inputs(spark, in_dir).products).select("ProductId", "ProductRootCode", "Family")
+
+
+def test_stale_snapshots_raise_or_are_rebuilt(spark):
+    in_dir, snapshots = tempfile.mkdtemp(prefix="stockroom-in-"), tempfile.mkdtemp(prefix="stockroom-snap-")
+    write_inputs(spark, SF_SMALL, in_dir)
+    job(spark, in_dir, Period.of("1999-01-01", "1999-12-31"), snapshot_dir=snapshots, tables=("store_benefits",))
+    raw = read_inputs(spark, in_dir)
+    product = clean(raw.products).select("ProductId").first()[0]
+    batch = spark.createDataFrame([(1, product, dt.date(1998, 5, 5), 50), (1, product, dt.date(2000, 5, 5), 7)], raw.stock_movements.schema)
+    batch.coalesce(1).write.mode("append").parquet(f"{in_dir}/stock_movements.parquet")
+    with pytest.raises(ValueError, match="stale: movements up to that day"):
+        job(spark, in_dir, LATER, snapshot_dir=snapshots)
+    with pytest.raises(ValueError, match="late is one of"):
+        job(spark, in_dir, LATER, snapshot_dir=snapshots, late="maybe")
+    rebuilt = job(spark, in_dir, LATER, snapshot_dir=snapshots, late="rebuild")
+    want = tables(spark, job(spark, in_dir, LATER))
+    assert rebuilt.snapshot is None and tables(spark, rebuilt) == want
+    # the batch's late rows, absorbed into the snapshot, make it usable again
+    raw = read_inputs(spark, in_dir)
+    products = priced_products(clean(raw.products), FIXTURE_PRICE_SCALE)
+    store = SnapshotStore(spark, snapshots, products)
+    enriched = clean(batch).join(store_products(spark, in_dir), "ProductId")
+    fixed = store.absorb(dt.date(1999, 12, 31), batch, enriched)
+    assert fixed.about["history"] == history(raw.stock_movements, dt.date(1999, 12, 31))
+    again = job(spark, in_dir, LATER, snapshot_dir=snapshots)
+    assert again.snapshot == "1999-12-31" and tables(spark, again) == want
+    # a product that moves to another family takes its history along
+    moved = raw.products.withColumn("Family", F.when(F.col("ProductId") == product, "elsewhere").otherwise(F.col("Family")))
+    with pytest.raises(ValueError, match="product dimension has changed"):
+        SnapshotStore(spark, snapshots, priced_products(clean(moved), FIXTURE_PRICE_SCALE)).usable(raw.stock_movements, LATER.start)
+
+
+def test_family_grain_and_empty_history(spark):
+    rows = moves(spark, ROWS).withColumn("Family", F.lit("f"))
+    snap = stock_snapshot(rows, FAMILY_GRAIN, d("2019-02-28"))
+    assert collect_sorted(ledger(since(snap, rows, FAMILY_GRAIN, d("2019-02-28")), FAMILY_GRAIN, P)) == collect_sorted(ledger(rows, FAMILY_GRAIN, P))
+    nothing = rows.limit(0)
+    empty = stock_snapshot(nothing, ROOT_GRAIN, d("2019-02-28"))
+    assert empty.count() == 0 and ledger(since(empty, nothing, ROOT_GRAIN, d("2019-02-28")), ROOT_GRAIN, P).count() == 0
