@@ -1,0 +1,333 @@
+"""Operators 11, 12 and 13 against brute force."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import defaultdict
+from fractions import Fraction
+
+import numpy as np
+import pytest
+from llm_cases import EDGES, frame
+
+from stockroom.llm import periodic, queries, url_tree, whitening
+
+SF = "/root/testdata/sf0.01"
+VECTORS = "vec_id long, embedding array<double>, label int, n int, deviation string, whitened string"
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame([(i, v, None, 1, "x", "y") for i, v in rows], VECTORS)
+
+
+def exact_model(xs):
+    """n, sums and covariance of integer vectors, in rational numbers."""
+    n, d = len(xs), len(xs[0])
+    sums = [sum(x[i] for x in xs) for i in range(d)]
+    return n, sums, [[Fraction(sum((n * x[i] - sums[i]) * (n * x[j] - sums[j]) for x in xs), n**3) for j in range(d)] for i in range(d)]
+
+
+def check_whitened(got, rows, components):
+    kept = [(i, [math.floor(64 * float(c)) + 1000000 for c in v]) for i, v in rows]
+    n, sums, cov = exact_model([x for _, x in kept])
+    cov = np.array([[float(c) for c in row] for row in cov])
+    values = np.linalg.eigvalsh(cov)[::-1]
+    k = min(components, len(sums))
+    by = defaultdict(dict)
+    for r in got:
+        by[r["vec_id"]][r["component"]] = r
+    assert len(got) == len(kept) * k and set(by) == {i for i, _ in kept}
+    white = np.array([[by[i][c]["whitened"] for c in range(1, k + 1)] for i, _ in kept])
+    for i, x in kept:
+        for r in by[i].values():
+            assert r["n"] == n and int(r["deviation"]) == sum((n * a - s) ** 2 for a, s in zip(x, sums))
+            assert r["explained"] == pytest.approx(values[r["component"] - 1] / values.sum(), rel=1e-4)
+    measured = np.abs(np.cov(white.T, bias=True).reshape(k, k) - np.eye(k)).max()
+    assert measured < 1e-4 and got[0]["identity_error"] < 1e-4
+    # a whitened column is the projection on a unit eigenvector over the root of its eigenvalue
+    centred = np.array([[a - s / n for a, s in zip(x, sums)] for _, x in kept], dtype=float)
+    axes, *_ = np.linalg.lstsq(centred, white, rcond=None)
+    axes = axes * np.sqrt(values[:k])
+    assert np.allclose(axes.T @ axes, np.eye(k), atol=1e-6) and np.allclose(cov @ axes, axes * values[:k], atol=1e-6 * values[0])
+
+
+def test_whitening_query(spark):
+    rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
+    check_whitened(queries.op11_whitening(spark, SF).collect(), rows, 32)
+
+
+def test_whitening_edges(spark):
+    rnd = random.Random(5)
+    good = [(i, [rnd.gauss(0, 1 + j) + (rnd.random() if j else 0) for j in range(3)]) for i in range(40)]
+    good += [(7, good[7][1]), (100, [1e9, -3.5, 0.0])]
+    bad = [(200, None), (201, []), (202, [1.0, None, 2.0]), (203, [1.0, float("nan"), 2.0]), (204, [float("inf"), 0.0, 0.0]), (205, [1e300, 0.0, 0.0]), (206, [1.0])]
+    got = whitening.whiten(vectors(spark, good + bad).repartition(5)).collect()
+    assert {r["vec_id"] for r in got}.isdisjoint(range(200, 207))
+    one = [r for r in got if r["vec_id"] != 7]
+    twice = [r for r in got if r["vec_id"] == 7]
+    assert len(twice) == 6 and len({(r["component"], r["whitened"]) for r in twice}) == 3
+    n, sums, _ = exact_model([[math.floor(64 * c) + 1000000 for c in v] for _, v in good])
+    assert n == 42 and {r["n"] for r in got} == {42}
+    for r in one:
+        x = [math.floor(64 * c) + 1000000 for c in dict(good)[r["vec_id"]]]
+        assert int(r["deviation"]) == sum((n * a - s) ** 2 for a, s in zip(x, sums))
+    assert max(r["identity_error"] for r in got) < 1e-4
+
+
+def test_whitening_without_variance(spark):
+    assert whitening.whiten(vectors(spark, [(1, None), (2, [float("nan")])])).collect() == []
+    assert whitening.whiten(vectors(spark, [])).columns == ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"]
+    got = whitening.whiten(vectors(spark, [(1, [1.0, 2.0]), (2, [1.0, 2.0]), (None, [1.0, 2.0])])).collect()
+    assert len(got) == 6 and {(r["whitened"], r["explained"], int(r["deviation"]), r["identity_error"]) for r in got} == {(0.0, 0.0, 0, 0.0)}
+    line = whitening.whiten(vectors(spark, [(i, [float(i), 2.0 * i]) for i in range(5)])).collect()
+    assert {r["whitened"] for r in line if r["component"] == 2} == {0.0} and line[0]["identity_error"] < 1e-9
+
+
+def test_square_sums_are_exact():
+    rnd = random.Random(2)
+    for bits in (3, 25, 26, 50, 51, 60):
+        s = np.array([[rnd.randrange(-(1 << bits), 1 << bits) for _ in range(3)] for _ in range(whitening.BLOCK)])
+        s[0] = [(1 << bits) - 1, -(1 << bits), 0]
+        assert list(whitening.square_sums(s)) == [sum(int(v) ** 2 for v in s[:, j]) for j in range(3)]
+    wide = np.array([[1 << 70, -3]], dtype=object)
+    assert list(whitening.square_sums(wide)) == [1 << 140, 9]
+
+
+def test_wide_and_narrow_entries_agree():
+    x = np.array([[5, 1 << 40], [7, -(1 << 40)], [12, 3]])
+    sums, least = [int(v) for v in x.sum(axis=0)], [int(v) for v in x.min(axis=0)]
+    spread = int((x.max(axis=0) - x.min(axis=0)).max())
+    narrow = whitening.centred(x, 3, sums, least, spread)
+    wide = whitening.centred(x.astype(object), 3, sums, least, spread)
+    assert narrow.dtype == np.int64 and wide.dtype == object
+    assert narrow.tolist() == wide.tolist() == [[3 * int(v) - s for v, s in zip(row, sums)] for row in x]
+
+
+def runs_by_hand(words):
+    """All maximal runs (start, length, period) by comparing words at every distance."""
+    out = {}
+    for p in range(1, len(words) // 4 + 1):
+        i = 0
+        while i + p < len(words):
+            start = i
+            while i + p < len(words) and words[i] == words[i + p]:
+                i += 1
+            if i - start + p >= max(6, 4 * p):
+                out.setdefault((start, i + p), p)
+            i = max(i, start + 1)
+    return sorted((s, e - s, p) for (s, e), p in out.items())
+
+
+def kept_by_hand(words, runs):
+    gone = {i for s, n, p in runs for i in range(s + p, s + n)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+def split(text):
+    return re.findall("[^\x20\x09-\x0d]+", text or "")
+
+
+def repetitive(rnd):
+    n, letters, out = rnd.choice([0, 1, 5, 6, 12, 60, 200, 700]), rnd.choice([1, 2, 3, 25]), []
+    while len(out) < n:
+        base = [rnd.randrange(letters) for _ in range(rnd.choice([1, 2, 3, 7, 8, 9, 15, 16, 17, 31, 33, 64]))]
+        if rnd.random() < 0.3:
+            base = base * rnd.randrange(2, 6) + [rnd.randrange(letters)]
+        out += [base[i % len(base)] for i in range(int(rnd.uniform(0.5, 7) * len(base)))]
+    return [f"w{x}" for x in out[:n]]
+
+
+def test_runs_equal_brute_force():
+    rnd = random.Random(11)
+    for _ in range(25):
+        docs = [repetitive(rnd) for _ in range(12)]
+        names = {w: i for i, w in enumerate({w for d in docs for w in d})}
+        at = np.concatenate([[0], np.cumsum([len(d) for d in docs])])
+        found = defaultdict(list)
+        for s, n, p in zip(*periodic.find_runs(np.array([names[w] for d in docs for w in d], np.int32), at)):
+            d = int(np.searchsorted(at, s, side="right")) - 1
+            found[d].append((int(s - at[d]), int(n), int(p)))
+        assert [sorted(found[d]) for d in range(len(docs))] == [runs_by_hand(d) for d in docs]
+
+
+def test_false_equality_is_cut(monkeypatch):
+    """Stretches that only hashes hold for equal are cut where the words differ."""
+    rnd = random.Random(3)
+    base = [rnd.randrange(1000) for _ in range(10)]
+    words = [rnd.randrange(1000, 2000) for _ in range(50)] + base * 5 + [rnd.randrange(1000, 2000) for _ in range(50)]
+    monkeypatch.setattr(periodic.RollingHash, "of", lambda self, a, b: np.zeros(len(a), np.uint64))
+    got = [tuple(int(v) for v in r) for r in zip(*periodic.find_runs(np.array(words), np.array([0, len(words)])))]
+    assert got == runs_by_hand(words) == [(50, 50, 10)]
+
+
+def test_collapse_edges(spark):
+    rnd = random.Random(4)
+    rows = [*EDGES, *[(300 + i, rnd.choice([" ", "\n\t"]).join(repetitive(rnd))) for i in range(30)], (400, "a b " * 3 + "a", "en")]
+    got = periodic.collapse(frame(spark, rows)).collect()
+    by = defaultdict(list)
+    for r in got:
+        by[r["doc_id"]].append((r["n_words"], [tuple(x) for x in r["runs"]], r["collapsed"]))
+    want = defaultdict(list)
+    for d, t, *_ in rows:
+        words = split(t)
+        runs = runs_by_hand(words) if len(set(words)) > 1 or len(words) < 100 else [(0, len(words), 1)]
+        want[d].append((len(words), runs, kept_by_hand(words, runs)))
+    assert {d: sorted(v) for d, v in by.items()} == {d: sorted(v) for d, v in want.items()}
+    assert periodic.collapse(frame(spark, [])).count() == 0
+
+
+def test_periodic_query(spark):
+    """The planted repetition, the digests and the greatest run, for every document."""
+    got = {r["doc_id"]: r for r in queries.op12_periodic_runs(spark, SF).collect()}
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    assert len(got) == len(docs)
+    some = 0
+    for doc in docs:
+        words, h = split(doc["text"]), zlib.crc32(str(doc["doc_id"]).encode())
+        g = h // 10
+        if h % 10 == 0 and words:
+            a = g % len(words)
+            p = 1 + (len(words) - a) // (3 + g % 8)
+            words = [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+        elif len(words) > 1500:
+            continue  # too slow by hand
+        runs = runs_by_hand(words)
+        r = got[doc["doc_id"]]
+        some += bool(runs)
+        assert r["n_runs"] == len(runs)
+        assert r["runs_sha256"] == hashlib.sha256("".join(f"{s},{n},{p}\n" for s, n, p in runs).encode()).hexdigest()
+        assert r["collapsed_sha256"] == hashlib.sha256(kept_by_hand(words, runs).encode()).hexdigest()
+        best = min(runs, key=lambda x: (-x[1], x[0], x[2])) if runs else (None, None, None)
+        assert (r["start"], r["length"], r["period"]) == best
+        assert r["exponent_milli"] == (1000 * best[1] // best[2] if runs else None)
+    assert some > 50
+
+
+def parse_by_hand(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url[url.index("://") + 3 :]
+    end = min((rest.index(c) for c in "/?#" if c in rest), default=len(rest))
+    host, tail = rest[:end], rest[end:]
+    stop = min((tail.index(c) for c in "?#" if c in tail), default=len(tail))
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host), tail[:stop]
+
+
+def rule_by_hand(host, path):
+    fits = [r for r in queries.RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    best = max(fits, key=lambda r: len(r.name), default=None)
+    return (best.name, best.verdict) if best else (None, None)
+
+
+def tokens_by_hand(path):
+    if not path:
+        return ()
+    out = []
+    for seg in path[1:].split("/"):
+        seg = re.sub(r"[*(|)]", "~", seg)
+        stem = seg.split(".", 1)[0]
+        if re.fullmatch("[0-9A-Fa-f-]{9,}", stem) and re.search("[0-9]", stem) and re.search("[A-Fa-f]", stem):
+            seg = "#x" + seg[len(stem) :]
+        out.append(re.sub("[0-9]+", "#", seg))
+    return tuple(out if len(out) <= url_tree.DEPTH else [*out[: url_tree.DEPTH - 1], "/".join(out[url_tree.DEPTH - 1 :])])
+
+
+def kind_by_hand(tokens, at):
+    if at >= len(tokens):
+        return "end"
+    t = tokens[at]
+    return "directory" if t == "" else "number" if t in ("#", "#x") else "mixed" if "#" in t else "word"
+
+
+def purities_by_hand(urls):
+    """(host, tokens) -> purity of its template, one host and node after the other."""
+    rows = defaultdict(lambda: [0, 0, 0])
+    for u in urls:
+        host, path = parse_by_hand(u)
+        row = rows[host, tokens_by_hand(path)]
+        row[0] += 1
+        row[1] += rule_by_hand(host, path)[1] == "allow"
+        row[2] += rule_by_hand(host, path)[1] == "block"
+    a, b = sum(r[1] for r in rows.values()), sum(r[2] for r in rows.values())
+    prior, out = (a + 1) / (a + b + 2), {}
+
+    def grow(paths, level, purity):
+        total, children = sum(rows[p][0] for p in paths), defaultdict(list)
+        for p in paths:
+            if len(p[1]) <= level:
+                out[p] = purity
+            else:
+                children[p[1][level]].append(p)
+        inside = sum(rows[p][0] for ps in children.values() for p in ps)
+        assert inside <= total
+        folded = defaultdict(list)
+        for t, ps in children.items():
+            n = sum(rows[p][0] for p in ps)
+            folded["*" if n < url_tree.LEAST or n < url_tree.SHARE * total else t] += ps
+        branches = []
+        for t, ps in folded.items():
+            branch = {"token": t} | dict(zip(("n", "allowed", "blocked"), (sum(rows[p][i] for p in ps) for i in range(3))))
+            branches.append(branch | {k: sum(rows[p][0] for p in ps if kind_by_hand(p[1], level + 1) == k) for k in url_tree.KINDS})
+        for group in url_tree.merge(branches, purity):
+            grow([p for t in group["tokens"] for p in folded[t]], level + 1, group["purity"])
+
+    for host in {h for h, _ in rows}:
+        own = [p for p in rows if p[0] == host]
+        x, y = sum(rows[p][1] for p in own), sum(rows[p][2] for p in own)
+        grow(own, 0, (x + url_tree.WEIGHT * prior) / (x + y + url_tree.WEIGHT))
+    return out
+
+
+def check_urls(got, urls):
+    want = purities_by_hand(urls.values())
+    assert len(got) == len(urls)
+    for r in got:
+        host, path = parse_by_hand(urls[r["page_id"]])
+        rule, verdict = rule_by_hand(host, path)
+        purity = want[host, tokens_by_hand(path)]
+        assert (r["host"], r["path"], r["rule"]) == (host, path, rule), urls[r["page_id"]]
+        assert r["purity"] == pytest.approx(purity) and r["verdict"] == (verdict or ("block" if purity < url_tree.PURITY else "allow"))
+
+
+def test_url_query(spark):
+    urls = {r["page_id"]: r["url"] for r in spark.read.parquet("/root/testdata/sf0.1/pages.parquet").collect()}
+    check_urls(queries.op13_url_filters(spark, "/root/testdata/sf0.1").collect(), urls)
+
+
+ODD = [
+    None, "", "no scheme", "://", "http://", "http://?q", "http://ORG", "http://org/", "http://x.ORG/a/b", "http://xorg/", "http://É.Example.ORG/es/1",
+    "http://example.org/es", "http://example.org/en/1/", "http://a.example.org/en/2", "https://b.com/fr/#x", "https://b.com/fr", "https://com/de/?q=1",
+    "x://y://z.com/de/", "http://u:p@h.com:80/de/1", "http://c.net//a//b", "http://c.net/" + "/".join("abcdefghijklmnop"), "http://c.net/a*(b|c)/%20",
+    "http://c.net/deadbeef12/0a1b2c3d4e.html", "http://c.net/\u4e2d\u6587/\n", "http://d.com/" + "9" * 20_000, "http://d.com/a?b/c#d/e",
+]
+
+
+def test_url_edges(spark):
+    rnd = random.Random(8)
+    urls = dict(enumerate(ODD))
+    for i in range(1500):
+        host = rnd.choice(["shop.example.com", "shop.example.com", "news.example.com", "a.example.net"])
+        top = rnd.choice(["fr", "de", "en", "es", f"slug-{rnd.randrange(9999)}", f"w{chr(97 + rnd.randrange(26))}x"])
+        if host.startswith("news") and rnd.random() < 0.6:
+            top = "de"
+        urls[100 + i] = f"http://{host}/{top}/" + rnd.choice(["", f"{rnd.randrange(999)}", f"{rnd.randrange(99)}.html", "about", f"x/y{i}/z"])
+    schema = "page_id long, url string, html string, host string, path string, rule string, template string, n string, tokens string"
+    table = spark.createDataFrame([(i, u, *["x"] * 7) for i, u in urls.items()], schema).repartition(6)
+    got = url_tree.judge(table, queries.RULES).collect()
+    check_urls(got, urls)
+    assert {"allow", "block"} == {r["verdict"] for r in got if r["rule"] is None}
+    assert url_tree.judge(table.limit(0), queries.RULES).count() == 0
+    doubled = url_tree.judge(table.union(table), queries.RULES)
+    assert doubled.count() == 2 * len(urls)
+
+
+def test_labelled_urls_and_ties(spark):
+    pages = spark.createDataFrame([(i, f"http://h.net/{'good' if i % 2 else 'bad'}/{i}") for i in range(200)], "page_id long, url string")
+    labelled = spark.createDataFrame([(f"http://h.net/{p}/x{i}", v) for p, v in (("good", "allow"), ("bad", "block")) for i in range(300)], "url string, verdict string")
+    got = url_tree.judge(pages, [], labelled).collect()
+    assert {(r["path"].split("/")[1], r["verdict"], r["rule"]) for r in got} == {("good", "allow", None), ("bad", "block", None)}
+    assert {r["verdict"] for r in url_tree.judge(pages, []).collect()} == {"allow"}
+    tie = [url_tree.Rule("allow", "h.net", "/goo"), url_tree.Rule("block", "h.net", "/goo")]
+    assert {r["verdict"] for r in url_tree.judge(pages, tie).collect() if r["rule"]} == {"block"}
