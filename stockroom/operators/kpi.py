@@ -132,6 +132,7 @@ def turnover(units: DataFrame, avg: DataFrame, by: str) -> DataFrame:
 # All four KPI tables in one aggregation
 # ---------------------------------------------------------------------------------------
 
+STOCK_MEASURES = ("StockDays", "StockRows")
 _SUMMARY_MEASURES = ("RevenueUnits", "CostUnits", "UnitsSold", "StockDays", "SalesRows", "CostRows", "StockRows")
 
 
@@ -158,7 +159,11 @@ def kpi_facts(
 
     Money measures are exact LONG minor units of ``price_scale``.
     """
-    s = _facts(
+    return sales_facts(sales, price_scale).unionByName(inbound_facts(inbound, price_scale)).unionByName(stock_facts(family_intervals))
+
+
+def sales_facts(sales: DataFrame, price_scale: int = DEFAULT_PRICE_SCALE) -> DataFrame:
+    return _facts(
         sales.select(
             _year(),
             "StoreId",
@@ -170,26 +175,33 @@ def kpi_facts(
         UnitsSold=F.col("_qty"),
         SalesRows=F.lit(1).cast("long"),
     )
+
+
+def inbound_facts(inbound: DataFrame, price_scale: int = DEFAULT_PRICE_SCALE) -> DataFrame:
     if "InboundCostUnits" in inbound.columns:
-        c = _facts(
+        return _facts(
             inbound.select(_year(), "StoreId", "Family", "InboundCostUnits", "InboundRows"),
             CostUnits=F.col("InboundCostUnits"),
             CostRows=F.col("InboundRows").cast("long"),
         )
-    else:
-        c = _facts(
-            inbound.select(
-                _year(), "StoreId", "Family", line_amount(inbound, "SupplierPrice", price_scale).alias("_amount")
-            ),
-            CostUnits=F.col("_amount"),
-            CostRows=F.lit(1).cast("long"),
-        )
-    d = _facts(
+    return _facts(
+        inbound.select(_year(), "StoreId", "Family", line_amount(inbound, "SupplierPrice", price_scale).alias("_amount")),
+        CostUnits=F.col("_amount"),
+        CostRows=F.lit(1).cast("long"),
+    )
+
+
+def stock_facts(family_intervals: DataFrame) -> DataFrame:
+    return _facts(
         interval_years(family_intervals, ["StoreId", "Family"]),
         StockDays=F.col("StockDays").cast("long"),
         StockRows=F.col("Days").cast("long"),  # (key, day) rows with positive stock
     )
-    return s.unionByName(c).unionByName(d)
+
+
+def fact_sums(facts: DataFrame) -> DataFrame:
+    """The facts summed per (Year, StoreId, Family): a few rows for each store, which further facts can be added to."""
+    return facts.groupBy("Year", "StoreId", "Family").agg(*[F.sum(m).alias(m) for m in _SUMMARY_MEASURES])
 
 
 def kpi_summary(facts: DataFrame) -> DataFrame:
@@ -198,7 +210,11 @@ def kpi_summary(facts: DataFrame) -> DataFrame:
     ``Grain`` names the set a row belongs to ('StoreId' or 'Family'); the other key is NULL. The facts are
     first summed per (Year, StoreId, Family), so only that small result is expanded to both sets.
     """
-    sums = facts.groupBy("Year", "StoreId", "Family").agg(*[F.sum(m).alias(m) for m in _SUMMARY_MEASURES])
+    return summary_of_sums(fact_sums(facts))
+
+
+def summary_of_sums(sums: DataFrame) -> DataFrame:
+    """:func:`kpi_summary` from rows of :func:`fact_sums`."""
     grouped = sums.groupingSets([["Year", "StoreId"], ["Year", "Family"]], "Year", "StoreId", "Family").agg(
         F.sum("RevenueUnits").alias("RevenueUnits"),
         F.sum("CostUnits").alias("CostUnits"),

@@ -309,6 +309,8 @@ _BODIES["interval_stock_written"] = _BODIES["interval_stock"]
 for _name in ("store_benefits", "family_benefits", "store_rotation", "family_rotation"):
     _BODIES[f"{_name}_job"] = _BODIES[_name]
 _BODIES["duplicate_products"] = 'SELECT ProductId, COUNT(*) AS "Rows" FROM products GROUP BY ProductId HAVING COUNT(*) > 1'
+for _name in ("interval_stock", "daily_stock", "kpi_summary"):
+    _BODIES[f"{_name}_incremental"] = _BODIES[_name]
 _BODIES["kpi_summary_job"] = _BODIES["kpi_summary"]  # same result, computed by the job's plan
 
 
