@@ -33,6 +33,8 @@ from stockroom.llm.common import in_tasks, per_worker, scratch, slices, text_arr
 from stockroom.llm.pieces import distinct_pieces
 
 TASK_BYTES, RUN_BYTES, RUN_PIECES, KNOWN = 16 << 20, 4 << 20, 4096, 400_000
+#: Pieces of ASCII or two-byte characters from U+00C0 on, without white space but a blank in front.
+PLAIN = re.compile(rb" ?(?:[\x21-\x7e]|[\xc3-\xdf][\x80-\xbf])+")
 INDEX = np.dtype([("end", "<u8"), ("doc_id", "<i8"), ("null", "<u8")])
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
@@ -47,19 +49,35 @@ class PieceEncoder:
         self.size = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[bytes, bytes] = {}
+        self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.size).tobytes() for e in found]
 
+    def _learn(self, pieces: list[bytes]) -> None:
+        """Encode new pieces. Those that a line end on either side leaves as they are go to the library as the
+        lines of one text, which costs far less than a text each; others alone."""
+        plain = [p for p in pieces if PLAIN.fullmatch(p)]
+        if plain and len(self.line_end) == 1:
+            text = b"\n".join(plain).decode() + "\n"
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.size)
+            ends = np.flatnonzero(ids == self.line_end[0])
+            if len(ends) == len(plain):
+                body, cuts = ids.tobytes(), (ends * self.size.itemsize).tolist()
+                starts = [0, *(c + self.size.itemsize for c in cuts[:-1])]
+                self.known.update(zip(plain, [body[a:b] for a, b in zip(starts, cuts)]))
+        rest = [p for p in pieces if p not in self.known]
+        if rest:
+            self.known.update(zip(rest, self._ids([p.decode() for p in rest])))
+
     def of(self, distinct: list[bytes]) -> list[bytes]:
         if len(self.known) > KNOWN:
             self.known.clear()
         known = self.known
         new = [p for p in distinct if p not in known]
         for at in range(0, len(new), RUN_PIECES):
-            part = new[at : at + RUN_PIECES]
-            known.update(zip(part, self._ids([p.decode() for p in part])))
+            self._learn(new[at : at + RUN_PIECES])
         return [known[p] for p in distinct]
 
     def encode(self, texts: pa.Array) -> list[bytes]:
