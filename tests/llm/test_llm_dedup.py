@@ -5,6 +5,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pytest
 from llm_cases import EDGES, frame, linked_components, normal, shingle_set, without_frequent_lines, without_repeats
 
 from stockroom.llm import exact_dedup, line_dedup, near_dedup, suffix_dedup
@@ -41,13 +42,53 @@ def test_index_knows_members_and_strangers(spark):
     assert got == {100: (9, 2, True), 101: (102, 2, False), 102: (102, 2, False), 103: (103, 1, False)}
 
 
-def test_a_hot_digest_is_probed_once(spark, monkeypatch):
-    saved, save = {}, exact_dedup.save
-    monkeypatch.setattr(exact_dedup, "save", lambda df, name, **options: saved.setdefault(name, save(df, name, **options)))
+def test_a_hot_digest_is_asked_once_a_batch(spark, monkeypatch):
+    saved, save = [], exact_dedup.save
+
+    def keep(df, name, **options):
+        saved.append((name, save(df, name, **options)))
+        return saved[-1][1]
+
+    monkeypatch.setattr(exact_dedup, "save", keep)
     got = exact_dedup.dedup(frame(spark, [(i, "a hot text" if i < 300 else f"text {i}") for i in range(310)])).collect()
     assert sorted((r["keep_id"], r["group_size"], r["kept"]) for r in got if r["doc_id"] < 300) == [(299, 300, False)] * 299 + [(299, 300, True)]
-    probed = saved["probed"]
-    assert probed.count() == 11 and not any(kind.startswith("array") for _, kind in probed.dtypes)
+    marked = [df for name, df in saved if name == "marked"]
+    assert len(marked) == exact_dedup.BATCHES - 1
+    for df in marked:
+        assert df.count() <= 11 and not any(kind.startswith("array") for _, kind in df.dtypes)
+        assert df.where("repeat").count() == 1  # the hot text was in the batch before
+
+
+def test_batches_meet_the_index_of_those_before(spark):
+    """Any number of batches gives the same; texts of a batch alone, of several, and repeated in one."""
+    rnd = random.Random(6)
+    docs = [(i, f"text {rnd.randrange(60)}") for i in range(150)] + [(None, "text 1"), (None, "none"), (7, "twice"), (7, "twice")]
+    rows = exact_dedup.digests(frame(spark, docs))
+    want = {bytes(r["digest"]): (r["doc_id"], r["rid"], r["count"]) for r in exact_dedup.winners(rows).collect()}
+    for batches in (1, 2, 5):
+        got = exact_dedup.keepers(rows, batches).collect()
+        assert len(got) == len(want)
+        assert {bytes(r["digest"]): (r["keep_id"], r["keep_rid"], r["group_size"]) for r in got} == want
+
+
+def test_without_the_byte_check_the_result_is_wrong(spark, monkeypatch):
+    """The perfect hash sends nonmembers to slots too: taking those for members loses texts."""
+    docs = frame(spark, [(i, f"text {i}") for i in range(400)])
+    members = exact_dedup._members
+    assert exact_dedup.keep_first(docs).count() == 400
+
+    def unchecked(asked, shard):
+        at, _ = members(asked, shard)
+        return at, at >= 0
+
+    monkeypatch.setattr(exact_dedup, "_members", unchecked)
+    assert exact_dedup.keep_first(docs).count() < 400
+
+
+def test_absorbing_a_stranger_raises(spark):
+    index = exact_dedup.build_index(exact_dedup.winners(exact_dedup.digests(frame(spark, [(1, "a")]))), 1)
+    with pytest.raises(Exception, match="not in the index"):
+        exact_dedup.absorb(index, exact_dedup.winners(exact_dedup.digests(frame(spark, [(2, "b")]))), 1).collect()
 
 
 def test_perfect_hash_is_minimal_and_perfect():
