@@ -12,7 +12,7 @@ and any store that Spark can write to will do. The readers map the files where t
 that executors share, and read them through Spark elsewhere.
 
 Texts are range-partitioned by doc_id (ties by text, then by place) into tasks of about ``TASK_BYTES``
-of text; equal doc_ids may fill several tasks. A worker keeps the ids of at most ``KNOWN`` pieces.
+of text; equal doc_ids may fill several tasks. A worker keeps the ids of about twice ``KNOWN`` pieces.
 
 Defined results: a null text counts as empty and gives id 0 alone; null doc_ids come first; repeated rows
 are written each; other columns are ignored; an empty table gives an empty folder and no row.
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from stockroom.llm.common import in_tasks, per_worker, scratch, slices, text_array
 from stockroom.llm.pieces import distinct_pieces
 
-TASK_BYTES, RUN_BYTES, RUN_PIECES, KNOWN = 16 << 20, 4 << 20, 4096, 400_000
+TASK_BYTES, RUN_BYTES, RUN_PIECES, KNOWN = 16 << 20, 4 << 20, 4096, 300_000
 #: Pieces of ASCII or two-byte characters from U+00C0 on, without white space but a blank in front.
 PLAIN = re.compile(rb" ?(?:[\x21-\x7e]|[\xc3-\xdf][\x80-\xbf])+")
 INDEX = np.dtype([("end", "<u8"), ("doc_id", "<i8"), ("null", "<u8")])
@@ -49,6 +49,7 @@ class PieceEncoder:
         self.size = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids
 
     def _ids(self, texts: list[str]) -> list[bytes]:
@@ -73,9 +74,12 @@ class PieceEncoder:
 
     def of(self, distinct: list[bytes]) -> list[bytes]:
         if len(self.known) > KNOWN:
-            self.known.clear()
-        known = self.known
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
         new = [p for p in distinct if p not in known]
+        if older:  # what is still in use moves on, the rest goes with the next change
+            known.update((p, older[p]) for p in new if p in older)
+            new = [p for p in new if p not in known]
         for at in range(0, len(new), RUN_PIECES):
             self._learn(new[at : at + RUN_PIECES])
         return [known[p] for p in distinct]

@@ -4,6 +4,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import pytest
@@ -299,3 +300,20 @@ def test_kneser_ney_probabilities_sum_to_one():
     for context in (int(values[3]) >> 6, 0, (20 << 12) | (8 << 6) | 5):
         codes = (context << 6) + np.arange(64)
         assert abs(np.exp(langid.log_probs(model, codes)).sum() - 1) < 1e-5
+
+
+PIECES_JSON = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def test_token_pieces_that_go_and_come_back(monkeypatch):
+    """Pieces that the encoder forgot, or moved to its older half, are encoded as the library does."""
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(token_files, "KNOWN", 30)
+    one, known = token_files.PieceEncoder(PIECES_JSON), Tokenizer.from_file(PIECES_JSON)
+    rnd = random.Random(9)
+    letters = " \n\t'abcdeéßñ.,!?0123—　\xa0中文<|>sre\x85"
+    for _ in range(60):
+        texts = ["".join(rnd.choice(letters) for _ in range(rnd.randrange(40))) for _ in range(20)] + ["a line\nand\r\n\nmore  of it", "<|endoftext|>"]
+        got = one.encode(pa.array([t.encode() for t in texts], pa.binary()))
+        assert got == [np.array(known.encode(t, add_special_tokens=False).ids, one.size).tobytes() for t in texts]
