@@ -1,10 +1,11 @@
 """Operator 8: line deduplication with levelled sorted runs of line hashes.
 
-A store of lines keeps *runs*: tables sorted by line hash with, for each line, the number of documents
-that hold it and the largest of them. A new batch is summed up per line, then merge-anti-joined with the
-runs: lines that no run has form a run of their own, the others a run of increments. When a level has
-``FANOUT`` runs they are merged into one run of the next level, so a store of n batches has about
-FANOUT * log(n) runs and each line is rewritten once per level.
+A store of lines keeps *runs*: tables with, for each line, the number of documents that hold it and the largest of them. A
+line is in one run only. Runs are bucketed by line hash and sorted within buckets, so joining one needs
+neither a shuffle nor a sort of it. A new batch is summed up per line, then merge-joined with the runs: a run
+counts the batch's documents at the lines that it holds, and what an anti-join with all runs leaves, the lines that are new,
+forms a run of its own. When a level has ``FANOUT`` runs they are compacted into one run of the next level, so a store of n
+batches has about FANOUT * log(n) runs.
 
 Deduplication adds the documents batch by batch, then reads the merged runs: the lines that enough
 documents hold are dropped everywhere except in the largest doc_id that holds them.
@@ -27,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockroom.llm.common import lower_az, save
+from stockroom.llm.common import lower_az, save, scratch
+from stockroom.sources.bucketed import forget, save_bucketed
 
 #: Fixed by the rule: what is stripped from both ends of a line.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -37,39 +39,56 @@ CLEANED = "doc_id long, n_lines long, n_dropped long, kept string"
 
 
 class LineRuns:
-    """Levelled sorted runs of (line, n_docs, keep); keep is the largest (did, body) that holds the line."""
+    """Levelled sorted runs of (line, n_docs, keep); keep is the largest (did, body) that holds the line. No two
+    runs have a line in common."""
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.levels: list[list[DataFrame]] = []
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.folder = scratch(spark, "runs")
+        self.written = 0
 
     def runs(self) -> list[DataFrame]:
         return [run for level in self.levels for run in level]
 
     def merged(self) -> DataFrame:
         """All runs as one: a row per line."""
-        return summed(_union(self.runs()))
+        return _union(self.runs())
 
     def add(self, batch: DataFrame) -> DataFrame:
         """Add the lines of ``batch`` (line, did, body) and return those that no earlier batch had."""
-        lines = save(_sorted(summed(batch.select("line", F.lit(1).cast("long").alias("n_docs"), F.struct("did", "body").alias("keep")))), "lines")
-        if not self.runs():
-            self._push(0, lines)
-            return lines
-        known = _union([r.select("line") for r in self.runs()])
-        fresh = save(_sorted(lines.join(known.hint("merge"), "line", "left_anti")), "fresh")
-        again = save(_sorted(lines.join(known.hint("merge"), "line", "left_semi")), "again")
+        one = F.struct("did", "body").alias("keep")
+        lines = self._write(summed(batch.select("line", F.lit(1).cast("long").alias("n_docs"), one)))
+        fresh = self._write(self._new(lines)) if self.runs() else lines
+        for level in self.levels:
+            level[:] = [self._write(self._counted(run, lines)) for run in level]
         self._push(0, fresh)
-        self._push(0, again)
         return fresh
 
+    def _new(self, lines: DataFrame) -> DataFrame:
+        """``lines`` that no run has: a merge-anti-join of sorted buckets with each."""
+        for run in self.runs():
+            lines = lines.join(run.select("line").hint("merge"), "line", "left_anti")
+        return lines
+
+    def _counted(self, run: DataFrame, lines: DataFrame) -> DataFrame:
+        """``run`` with the documents of ``lines`` at the lines that it holds."""
+        more = lines.select("line", F.col("n_docs").alias("more"), F.col("keep").alias("other")).hint("merge")
+        n_docs = F.col("n_docs") + F.coalesce("more", F.lit(0).cast("long"))
+        return run.join(more, "line", "left").select("line", n_docs.alias("n_docs"), F.greatest("keep", "other").alias("keep"))
+
+    def _write(self, run: DataFrame) -> DataFrame:
+        self.written += 1
+        return save_bucketed(run, f"{self.folder}/run{self.written}", ["line"], ["line"], self.buckets)
+
     def _push(self, level: int, run: DataFrame) -> None:
         while len(self.levels) <= level:
             self.levels.append([])
         self.levels[level].append(run)
         if len(self.levels[level]) >= FANOUT:
             full, self.levels[level] = self.levels[level], []
-            self._push(level + 1, save(_sorted(summed(_union(full))), f"level{level + 1}"))
+            self._push(level + 1, self._write(_union(full)))
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -83,10 +102,6 @@ def summed(rows: DataFrame) -> DataFrame:
     return rows.groupBy("line").agg(F.sum("n_docs").alias("n_docs"), F.max("keep").alias("keep"))
 
 
-def _sorted(run: DataFrame) -> DataFrame:
-    return run.sortWithinPartitions("line")
-
-
 def documents(docs: DataFrame) -> DataFrame:
     """(doc_id, text) with the document's key: did (doc_id, null smallest) and a hash of the text."""
     text = F.coalesce("text", F.lit(""))
@@ -125,6 +140,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
         store.add(lines.where(F.col("batch") == batch).drop("batch").distinct())
     often = store.merged().where(F.col("n_docs") >= min_docs).select("line", F.col("keep.did").alias("keep_did"))
     often = save(often, "often")
+    forget(docs.sparkSession, store.folder)
     # a line's hash in one document once more: repeated rows of a document collapse in the set
     drops = (
         lines.join(often, "line")

@@ -9,6 +9,7 @@ import pytest
 from llm_cases import EDGES, frame, linked_components, normal, shingle_set, without_frequent_lines, without_repeats
 
 from stockroom.llm import exact_dedup, line_dedup, near_dedup, suffix_dedup
+from stockroom.plans import plan_counts
 
 
 def test_exact_edges(spark):
@@ -217,3 +218,28 @@ def test_runs_return_new_lines_and_compact(spark):
     assert len(store.levels) > 1 and all(len(level) < line_dedup.FANOUT for level in store.levels)
     merged = {bytes(r["line"]).decode(): (r["n_docs"], r["keep"]["did"]) for r in store.merged().collect()}
     assert merged == {"a": (3, 5), "b": (3, 5), "c": (3, 5), "d": (1, 1), "x": (2, 3), "y": (1, 2), "z": (1, 2), "q": (2, 5)}
+
+
+def _line_batch(spark, names, did):
+    return spark.createDataFrame([(n.encode(), did, 0) for n in names], "line binary, did long, body long")
+
+
+def test_runs_are_joined_without_shuffle_or_sort(spark):
+    store = line_dedup.LineRuns(spark)
+    for did, names in enumerate(["abc", "bcd"]):
+        store.add(_line_batch(spark, names, did))
+    lines = store._write(line_dedup.summed(store.merged()))
+    for joined in (store._new(lines), store._counted(store.runs()[0], lines)):
+        counts = plan_counts(joined)
+        assert (counts["Exchange"], counts["Sort"], counts["BroadcastExchange"]) == (0, 0, 0)
+
+
+@pytest.mark.parametrize("step", ["_new", "_counted"])
+def test_the_result_hangs_on_each_merge(spark, monkeypatch, step):
+    """Without the anti-join a line is in two runs, without the counting its documents are lost."""
+    text = "a line of more than forty characters that nine documents hold"
+    docs = frame(spark, [(i, text) for i in range(9)])
+    dropped = lambda: sorted(r["n_dropped"] for r in line_dedup.dedup_lines(docs).collect())
+    assert dropped() == [0, *[1] * 8]
+    monkeypatch.setattr(line_dedup.LineRuns, step, {"_new": lambda self, lines: lines, "_counted": lambda self, run, lines: run}[step])
+    assert dropped() != [0, *[1] * 8]
