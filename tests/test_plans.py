@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import os
+
 from conftest import SF_SMALL
 
 from stockroom.config import FAMILY_GRAIN, FIXTURE_PERIOD, ROOT_GRAIN
@@ -138,3 +141,46 @@ def test_broadcast_hint_survives_the_per_join_selection(spark):
         assert plan_counts(movement_cube(movements, priced, P, 2, None))["BroadcastExchange"] == 1
     finally:
         spark.conf.set(auto, before)
+
+
+def test_a_hot_product_is_split_above_the_broadcast_bound(spark, tmp_path):
+    """With the bound at 0 the product join shuffles; a product with a third of the facts is split by AQE, also in
+    the counting form, and the result is that of the broadcast."""
+    from pyspark.sql import functions as F
+
+    from stockroom.operators import enrich_marked
+    from stockroom.plans.pipeline import Counts, matched
+    from stockroom.sources.parquet import setting
+
+    products, _, movements = _inputs(spark)
+    hot = products.select(F.min("ProductId")).first()[0]
+    n = movements.count()
+    copies = movements.withColumn("ProductId", F.lit(hot)).limit(n // 2)
+    movements.unionByName(copies).withColumn("Note", F.repeat(F.lit("x"), F.col("Quantity") % 7 + 60)).repartition(16).write.parquet(f"{tmp_path}/m")
+    facts = spark.read.parquet(f"{tmp_path}/m")
+    cols = ["ProductRootCode", "Family"]
+    want = enrich(facts, products, cols)
+    total = want.count()
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.files.maxPartitionBytes": "16k", "spark.sql.files.openCostInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    with contextlib.ExitStack() as stack:
+        for key, value in settings.items():
+            stack.enter_context(setting(spark, key, value))
+        counts = Counts()
+        for joined in (
+            enrich(facts, products, cols, 0),
+            enrich_marked(facts, products, cols, 0).where("Family IS NOT NULL"),
+            matched(facts, products, cols, "facts", F.lit(True), counts),
+        ):
+            assert plan_counts(joined)["BroadcastExchange"] == 0
+            path = f"{tmp_path}/{joined.semanticHash()}-{len(os.listdir(tmp_path))}"
+            joined.select(F.spark_partition_id().alias("task"), *want.columns).write.parquet(path)
+            back = spark.read.parquet(path)
+            sizes = [r["count"] for r in back.groupBy("task").count().collect()]
+            assert sum(sizes) == total and max(sizes) < total / 8, sorted(sizes)[-3:]
+            assert back.drop("task").exceptAll(want).count() == 0
+        assert counts.settle() == {"unmatched_facts": facts.count() - total}
