@@ -67,7 +67,7 @@ def sized_broadcast(df: DataFrame, max_bytes: int | None = DEFAULT_BROADCAST_MAX
     rows share ``unique_key``."""
     if max_bytes is None and unique_key is None:
         return df
-    size = measured_size_bytes(df, unique_key)
+    size = measured_size_bytes(df, unique_key) if unique_key else measured_size_bytes(df)
     return F.broadcast(df) if max_bytes is not None and size <= max_bytes else df
 
 
