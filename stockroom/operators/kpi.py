@@ -139,7 +139,7 @@ _SUMMARY_MEASURES = ("RevenueUnits", "CostUnits", "UnitsSold", "StockDays", "Sal
 def _facts(df: DataFrame, **measures: Column) -> DataFrame:
     cols = [F.col("Year"), F.col("StoreId"), F.col("Family")]
     for m in _SUMMARY_MEASURES:
-        cols.append((measures[m] if m in measures else F.lit(None)).alias(m))
+        cols.append((measures[m] if m in measures else F.lit(None).cast("long")).alias(m))
     return df.select(*cols)
 
 

@@ -99,6 +99,7 @@ def test_a_batch_of_one_store_rewrites_that_store_and_equals_a_full_run(spark, i
         # all files of other stores are the same files; none of the store's is
         assert same == {n for n in old if f"StoreId={STORE}/" not in n}, table
         assert {n for n in new if n not in same} == {n for n in new if f"StoreId={STORE}/" in n}
+    assert {kind for name, kind in state.read("facts").dtypes if name not in ("Year", "StoreId", "Family")} == {"bigint"}  # exact sums
     assert state.apply("b1", inputs.products, movements, sales) is None
     assert RetailState.open(spark, state.folder).about["batches"] == ["first", "b1"]
 
