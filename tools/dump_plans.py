@@ -31,6 +31,7 @@ from stockroom.operators import (  # noqa: E402
     with_price_units,
 )
 from stockroom.plans import movement_cube, plan_counts, plan_text, save  # noqa: E402
+from stockroom.plans.pipeline import root_intervals, save_cube  # noqa: E402
 from stockroom.session import build_session, ensure_checkpoint_dir  # noqa: E402
 from stockroom.sources import read_inputs, write_inputs  # noqa: E402
 
@@ -62,8 +63,8 @@ def main(sf_dir: str) -> None:
     sales, movements = clean(inputs.sales), clean(inputs.stock_movements)
 
     cube_df = movement_cube(movements, products, P, FIXTURE_PRICE_SCALE, None)
-    cube = save(cube_df, f"{scratch}/cube")
-    root_df = ledger(cube.select(*ROOT_GRAIN, "Date", "Quantity"), ROOT_GRAIN, P, colocate=True)
+    cube = save_cube(cube_df, f"{scratch}/cube", 16)
+    root_df = root_intervals(cube, P, ordered=True)
     root = save(root_df, f"{scratch}/root")
     daily = densify_daily(root, ROOT_GRAIN, partitions=32)
     sales_e = enrich(period_filter(sales, P), products, ["Family", "RetailPriceUnits"], None)
@@ -74,9 +75,10 @@ def main(sf_dir: str) -> None:
 
     steps = [
         ("movement_cube", "Scan movements (pushed `Date <= end`, not-null filters), broadcast-join the "
-         "priced product slice, partial sum per map task, one exchange, final sum.", cube_df),
-        ("root_intervals", "Read the saved cube, one hash exchange by (ProductRootCode, StoreId); netting, "
-         "running sum and `lead` share it (one Window node).", root_df),
+         "priced product slice, partial sum per map task, one exchange, final sum. (The counting job reads all rows, "
+         "joins with a left join and observes rejects on the way.)", cube_df),
+        ("root_intervals", "Read the saved cube, bucketed by (ProductRootCode, StoreId) and sorted by date: running sum and "
+         "`lead` in one Window node, no exchange and no sort.", root_df),
         ("daily_stock", "Hash the saved intervals by key into a measured number of tasks, sort the intervals "
          "(not the output) by key and start inside each task, then a narrow `explode(sequence)`: the daily "
          "rows come out clustered by (key, Date).", daily),
