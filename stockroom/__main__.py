@@ -39,6 +39,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--late", choices=LATE, default="raise", help="what to do when movements that a snapshot covers have changed")
     ap.add_argument("--uncounted", action="store_true", help="no reject counts; date filters reach the scans of the facts")
     ap.add_argument("--allow-duplicate-products", action="store_true", help="count a fact once per row of its ProductId")
+    ap.add_argument("--filter-facts", action="store_true", help="Bloom filter of the products before their joins, where they are too many to broadcast")
     args = ap.parse_args(argv)
 
     builder = SparkSession.builder.appName("stockroom")
@@ -63,6 +64,7 @@ def main(argv: list[str] | None = None) -> None:
         late=args.late,
         counted=not args.uncounted,
         allow_duplicate_products=args.allow_duplicate_products,
+        filter_facts=args.filter_facts,
     )
     print(
         json.dumps(

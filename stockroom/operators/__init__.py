@@ -1,6 +1,7 @@
 """DataFrame -> DataFrame operators of the retail stock and sales engine."""
 
-from stockroom.operators.enrich import enrich, enrich_marked, period_filter, product_dimension, sized_broadcast, unmatched
+from stockroom.operators.enrich import enrich, enrich_filtered, enrich_marked, period_filter, product_dimension, sized_broadcast, unmatched
+from stockroom.operators.keyfilter import filter_bits, may_contain
 from stockroom.operators.kpi import (
     average_stock,
     benefits_from_summary,
@@ -59,7 +60,9 @@ __all__ = [
     "densify_daily",
     "duplicate_products",
     "enrich",
+    "enrich_filtered",
     "enrich_marked",
+    "filter_bits",
     "inbound_cost",
     "interval_years",
     "kpi_facts",
@@ -68,6 +71,7 @@ __all__ = [
     "ledger",
     "ledger_in_order",
     "line_amount",
+    "may_contain",
     "net_movements",
     "nonpositive_intervals",
     "null_rejects",

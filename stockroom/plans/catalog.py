@@ -75,6 +75,10 @@ class Frames:
     def movements_at(self, grain: tuple[str, ...]) -> DataFrame:
         return E.enrich(self.movements, self.dimension, [grain[0]], None)
 
+    def movements_filtered(self) -> DataFrame:
+        """Movements met by the Bloom filter of the clean ProductIds before their product join."""
+        return E.enrich_filtered(self.movements, self.dimension, [ROOT_GRAIN[0]])
+
     def unmatched(self, fact: DataFrame) -> DataFrame:
         return E.unmatched(fact, self.dimension, None)
 
@@ -235,6 +239,7 @@ QUERIES: dict[str, Query] = {
     "null_movements": _q(lambda f: Q.null_rejects(f.raw.stock_movements)),
     # Enrichment and period
     "enrich_movements": _q(lambda f: f.movements_at(ROOT_GRAIN)),
+    "enrich_filtered": _q(lambda f: f.movements_filtered()),
     "enrich_sales": _q(lambda f: f.sales_enriched().drop("RetailPriceUnits")),
     "unmatched_sales": _q(lambda f: f.unmatched(f.sales_in_period())),
     "unmatched_movements": _q(lambda f: f.unmatched(f.inbounds_in_period())),

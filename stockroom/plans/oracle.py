@@ -203,6 +203,7 @@ _BODIES: dict[str, str] = {
     "null_sales": _nulls("sales", ["StoreId", "ProductId", "Date", "Quantity"], []),
     "null_movements": _nulls("stock_movements", ["StoreId", "ProductId", "Date", "Quantity"], []),
     "enrich_movements": "SELECT ProductId, StoreId, \"Date\", Quantity, ProductRootCode FROM r_mov",
+    "enrich_filtered": "SELECT ProductId, StoreId, \"Date\", Quantity, ProductRootCode FROM r_mov",
     "enrich_sales": "SELECT * FROM s_enriched",
     "unmatched_sales": "SELECT * FROM s_period s WHERE NOT EXISTS (SELECT 1 FROM p_clean p WHERE p.ProductId = s.ProductId)",
     "unmatched_movements": (

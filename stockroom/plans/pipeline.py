@@ -46,6 +46,7 @@ from stockroom.functions.money import price_scale_of
 from stockroom.functions.nulls import any_missing
 from stockroom.operators import snapshot as S
 from stockroom.operators.enrich import enrich, enrich_marked, period_filter, sized_broadcast
+from stockroom.operators.keyfilter import filter_bits, may_contain
 from stockroom.operators.kpi import (
     benefits_from_summary,
     kpi_facts,
@@ -83,6 +84,8 @@ class Counts:
 
     #: Seconds that the values of a finished action may take to arrive.
     PATIENCE = 60
+    #: Facts that the key filter dropped; ``settle`` adds them to the unmatched ones.
+    DROPPED = "dropped_"
 
     def __init__(self) -> None:
         self.values: dict[str, int] = {}
@@ -109,6 +112,8 @@ class Counts:
             except Py4JJavaError:  # Spark left the branch out, as it has no rows
                 got = {}
             fresh |= {name: int(got.get(name) or 0) for name in metrics}
+        for name in [n for n in fresh if n.startswith(self.DROPPED)]:
+            fresh[f"unmatched_{name.removeprefix(self.DROPPED)}"] += fresh.pop(name)
         self.values |= fresh
         return fresh
 
@@ -121,8 +126,23 @@ def cleaned(raw: DataFrame, name: str, counts: Counts | None) -> DataFrame:
     return clean(counts.observe(raw, **rows))
 
 
-def matched(fact: DataFrame, products: DataFrame, cols: list[str], name: str, scope: Column, counts: Counts | None, max_bytes: int | None = None) -> DataFrame:
-    """C3 and, where counted, C4: enriched facts; how many facts within ``scope`` have no clean product."""
+def matched(
+    fact: DataFrame,
+    products: DataFrame,
+    cols: list[str],
+    name: str,
+    scope: Column,
+    counts: Counts | None,
+    max_bytes: int | None = None,
+    filter_bits: int | None = None,
+) -> DataFrame:
+    """C3 and, where counted, C4: enriched facts; how many facts within ``scope`` have no clean product. With
+    ``filter_bits`` a Bloom filter of that size drops, and counts, most of these before the join."""
+    if filter_bits:
+        known = may_contain(fact, products, "ProductId", filter_bits)
+        if counts is not None:
+            fact = counts.observe(fact, **{f"{Counts.DROPPED}{name}": F.count_if(~known & scope)})
+        fact = fact.where(known)
     if counts is None:
         return enrich(fact, products, cols, max_bytes)
     marked = enrich_marked(fact, products, cols, max_bytes)
@@ -141,6 +161,7 @@ def movement_cube(
     price_scale: int = DEFAULT_PRICE_SCALE,
     broadcast_max_bytes: int | None = DEFAULT_BROADCAST_MAX_BYTES,
     counts: Counts | None = None,
+    filter_bits: int | None = None,
 ) -> DataFrame:
     """Clean movements up to the period end, aggregated per (root, family, store, day).
 
@@ -154,7 +175,7 @@ def movement_cube(
         products = with_price_units(products, price_scale)
     cols = ["ProductRootCode", "Family", "SupplierPriceUnits"]
     past = movements.where(F.col("Date") <= period.end_lit)
-    enriched = matched(past, products, cols, "movements", inbound_in(period), counts, broadcast_max_bytes)
+    enriched = matched(past, products, cols, "movements", inbound_in(period), counts, broadcast_max_bytes, filter_bits)
     if counts is not None:
         enriched = counts.observe(enriched, movement_quantity=F.sum("Quantity"))
     inbound = F.col("Quantity") > 0
@@ -219,10 +240,10 @@ def daily_table(
     return densify_by_year(intervals, grain, tasks) if by_year else densify_daily(intervals, grain, partitions=tasks)
 
 
-def summary_of(sales: DataFrame, products: DataFrame, cube: DataFrame, period: Period, price_scale: int, counts: Counts | None = None) -> DataFrame:
+def summary_of(sales: DataFrame, products: DataFrame, cube: DataFrame, period: Period, price_scale: int, counts: Counts | None = None, filter_bits: int | None = None) -> DataFrame:
     """The KPI summary from clean sales, priced products and the movement cube. ``counts`` gets the unmatched
     sales of the period (C4)."""
-    sales_e = matched(period_filter(sales, period), products, ["Family", "RetailPriceUnits"], "sales", F.lit(True), counts)
+    sales_e = matched(period_filter(sales, period), products, ["Family", "RetailPriceUnits"], "sales", F.lit(True), counts, None, filter_bits)
     inbound = cube.where(period.contains("Date") & (F.col("InboundRows") > 0))
     family_iv = ledger(cube.select(*FAMILY_GRAIN, "Date", "Quantity"), FAMILY_GRAIN, period)
     return kpi_summary(kpi_facts(sales_e, inbound, family_iv, price_scale))
@@ -334,6 +355,7 @@ def run_pipeline(
     cube_buckets: int | None = None,
     snapshot_dir: str | None = None,
     late: str = "raise",
+    filter_facts: bool = False,
 ) -> PipelineRun:
     """Compute the six tables and publish them below ``out_dir`` as one version; returns the seconds of each step.
 
@@ -350,6 +372,9 @@ def run_pipeline(
     without it, date filters reach the scans of the fact tables. A ProductId with several clean rows stops the job
     unless ``allow_duplicate_products``: each of its facts would count several times.
 
+    ``filter_facts`` drops most facts of unknown products by a Bloom filter of the clean ProductIds before the product
+    joins, for products above the broadcast bound; results and counts stay the same.
+
     ``snapshot_dir`` keeps balances of period ends (``plans.snapshots``): the run starts from the latest that is before
     ``period.start``, reads only movements after it, and adds that of ``period.end``. ``late`` says what happens when movements that a snapshot
     covers have changed or arrived since: "raise", "rebuild" (the snapshot is not used) or "ignore" (not checked).
@@ -442,6 +467,7 @@ def run_pipeline(
         return found
 
     products = step("product_dimension", dimension)
+    bits = filter_bits(products.count()) if filter_facts else None
     movements = inputs.stock_movements
     store = base = None
     if snapshot_dir:
@@ -453,7 +479,7 @@ def run_pipeline(
             movements = movements.where((F.col("Date") > F.lit(base.as_of)) | F.col("Date").isNull())
 
     def cube_of() -> DataFrame:
-        cube = movement_cube(cleaned(movements, "movements", counts), products, period, price_scale, None, counts)
+        cube = movement_cube(cleaned(movements, "movements", counts), products, period, price_scale, None, counts, bits)
         return with_snapshot(cube, base.balances()) if base else cube
 
     buckets = cube_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -508,7 +534,7 @@ def run_pipeline(
     if kpis:
 
         def summary() -> DataFrame:
-            return summary_of(cleaned(inputs.sales, "sales", counts), products, cube, period, price_scale, counts)
+            return summary_of(cleaned(inputs.sales, "sales", counts), products, cube, period, price_scale, counts, bits)
 
         summary = step("kpi_summary", lambda build=summary: saved("kpi_summary", build))
         for name in sorted(kpis):

@@ -245,3 +245,11 @@ def test_daily_table_by_year_is_written_without_a_sort_of_its_rows(spark, out_di
         assert above(text) == 0 and above(spark.sql(explain).first()[0]) == 1
     finally:
         spark.sql("DROP TABLE stockroom_by_year")
+
+
+def test_a_filtered_run_gives_the_same_tables_and_counts(spark, in_dir, out_dir):
+    plain = job(spark, out_dir, in_dir)
+    filtered = job(spark, tempfile.mkdtemp(), in_dir, filter_facts=True, broadcast_max_bytes=0)
+    assert filtered.counts == plain.counts
+    for table in SMALL:
+        assert collect_sorted(publish.read_published(spark, filtered.out_dir, table)) == collect_sorted(publish.read_published(spark, out_dir, table))
