@@ -6,7 +6,7 @@ the merge table and contracts, in each word, the leftmost pair of the lowest ran
 word is in the table. Decoding joins token rows with the vocabulary and puts their bytes together by an
 ordered aggregation of each document's tokens.
 
-Bounds: texts are handled in runs of ``RUN_BYTES``, words in runs of ``RUN_WORDS``; the worker's table of
+Bounds: texts are handled in runs of ``RUN_BYTES``, words in runs of ``RUN_WORDS``, tokens to decode in runs of ``RUN_TOKENS``; the worker's table of
 encoded pieces is emptied when it has ``KNOWN`` rows, which only costs time. Pieces above ``LONG`` bytes
 are contracted in the same order with a heap instead, as the recursion copies a word at each step.
 
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from stockroom.llm.common import in_tasks, per_worker, slices, text_array
 from stockroom.llm.pieces import distinct_pieces
 
-RUN_BYTES, RUN_WORDS, KNOWN, LONG = 2 << 20, 16_000, 400_000, 400
+RUN_BYTES, RUN_WORDS, RUN_TOKENS, KNOWN, LONG = 2 << 20, 16_000, 1 << 20, 400_000, 400
 ENCODED = "doc_id long, n_tokens long, ids binary, decoded binary"
 
 #: b packs the pair's merged id, the position of its left part and of its right part.
@@ -50,7 +50,12 @@ FROM step JOIN (SELECT word, max(iter) AS iter FROM step GROUP BY word) USING (w
 GROUP BY word
 """
 
-DECODE = "SELECT doc, list(tok ORDER BY pos) AS ids FROM tokens GROUP BY doc ORDER BY doc"
+#: Pieces are small binaries; a document's list of them, in order, is its bytes.
+DECODE = """
+SELECT doc, list(piece ORDER BY pos) AS pieces
+FROM tokens JOIN vocabulary USING (tok)
+GROUP BY doc ORDER BY doc
+"""
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -85,10 +90,6 @@ class Codec:
         self._table("merges", pa.table({"left_tok": left, "right_tok": right, "merged": merged}))
         tokens = sorted(self.ranks, key=self.ranks.get)
         self._table("vocabulary", pa.table({"tok": pa.array([self.ranks[t] for t in tokens], pa.int32()), "piece": pa.array(tokens, pa.large_binary())}))
-        sizes = np.zeros(max(self.ranks.values()) + 1, np.int64)
-        sizes[[self.ranks[t] for t in tokens]] = [len(t) for t in tokens]
-        self.spelled, self.spelled_sizes = np.frombuffer(b"".join(tokens), np.uint8), sizes
-        self.spelled_starts = np.cumsum(sizes) - sizes
         self._empty()
 
     def _table(self, name: str, rows: pa.Table) -> None:
@@ -164,22 +165,22 @@ class Codec:
         return ids[np.repeat(at[number] - ends[:-1], sizes) + np.arange(ends[-1])], ends[offsets]
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> list[bytes]:
-        """The bytes of each run of ids: the tokens in order, each replaced by its entry of the vocabulary."""
-        n = len(offsets) - 1
-        doc = np.repeat(np.arange(n, dtype=np.int32), np.diff(offsets))
-        self.db.register("tokens", pa.table({"doc": doc, "pos": np.arange(len(ids)), "tok": ids.astype(np.int32)}))
-        rows = self._arrow(DECODE)
-        out = [b""] * n
-        if rows.num_rows:
-            lists = rows["ids"].combine_chunks()
-            tok, ends = lists.flatten().to_numpy(), lists.offsets.to_numpy()
-            sizes = self.spelled_sizes[tok]
-            at = np.concatenate([[0], np.cumsum(sizes)])
-            body = self.spelled[np.repeat(self.spelled_starts[tok] - at[:-1], sizes) + np.arange(at[-1])].tobytes()
-            cuts = at[ends]
-            for doc, a, b in zip(rows["doc"].to_pylist(), cuts, cuts[1:]):
-                out[doc] = body[a:b]
-        return out
+        """The bytes of each run of ids: the tokens join the vocabulary, and each run's pieces are put together in order."""
+        doc = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))
+        parts: list[list[bytes]] = [[] for _ in offsets[1:]]
+        for start in range(0, len(ids), RUN_TOKENS):
+            run = slice(start, start + RUN_TOKENS)
+            pos = np.arange(len(doc[run]), dtype=np.int32)
+            self.db.register("tokens", pa.table({"doc": doc[run], "pos": pos, "tok": ids[run].astype(np.int32)}))
+            for rows in self._arrow(DECODE).to_batches():
+                lists = rows.column("pieces")
+                pieces = lists.flatten().cast(pa.large_binary())
+                cuts = np.asarray(pieces.buffers()[1]).view(np.int64)[pieces.offset : pieces.offset + len(pieces) + 1]
+                ends = cuts[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+                body = pieces.buffers()[2]
+                for d, a, b in zip(rows.column("doc").to_pylist(), ends, ends[1:]):
+                    parts[d].append(body[a:b].to_pybytes())
+        return [b"".join(p) for p in parts]
 
 
 def codec(path: str) -> Codec:
