@@ -13,14 +13,16 @@ scores ``THRESHOLD`` or more of the item's alignment with itself. Seeds say wher
 
 So a document is aligned with an item where a stretch of that many words has seeds of that weight, and
 nowhere else. At most two of a place's weight come from one place of the item, so seeds lie at TL - 1 places
-or more; of the others one more than can be missing, the rarest in the benchmark, are looked up first. No
-seed is dropped because many documents hold it.
+or more. The rarest in the benchmark are looked up first: so many places that even if all that may be missing were
+among them, 1 + ``MORE`` of the others would be found. What has fewer is no candidate. No seed is dropped because
+many documents hold it.
 
 Items travel to the tasks in blocks of at most ``BLOCK_WORDS`` words, a pass over the documents each, so
 what is broadcast is bounded whatever the size of the benchmark. A document is scored in the task that
 reads it: nothing is shuffled, and no document or item can be hot.
 
-Defined results: texts that are null or without words match nothing; an item of fewer than ``SEED``
+Defined results: on equal scores the first stretch of a document counts, in it the alignment that ends at the first word
+of the item, then of the text, and its start is found from there backwards by the same rule; texts that are null or without words match nothing; an item of fewer than ``SEED``
 words matches only where it stands whole; repeated rows, documents or items, give their rows each; other columns are ignored.
 """
 
@@ -38,6 +40,8 @@ from stockroom.llm.common import in_tasks, mix64, save, slices, text_array
 from stockroom.llm.words import Words, alphanumeric
 
 SEED, THRESHOLD, BLOCK_WORDS, RUN_BYTES = 4, 0.5, 1_000_000, 1 << 20
+#: The share of the further places that is looked up too, so that one seed alone makes no candidate.
+MORE = 0.15
 HITS = "doc_id long, item_id long, score double, n_seeds long, start long, end long"
 
 
@@ -82,17 +86,18 @@ class Items:
         self.near, self.far = (np.full(len(item), -1, np.int64) for _ in steps)
         self.near[steps[0][1]], self.far[steps[1][1]] = np.split(number, [steps[0][1].sum()])
         self.need = 2 * threshold * sizes - 2 - 1e-9
-        # an alignment that reaches the threshold has seeds at so many places that one of the rarest is among them
+        # an alignment that reaches the threshold has seeds at all places but `spare`, so at `least` of the rarest
         used = np.append(np.bincount(number, minlength=len(self.distinct)), 0)
         rarity = used[self.near] + used[self.far]
-        places = []
+        places, self.least = [], np.ones(len(ids), np.int64)
         for i in np.flatnonzero(sizes >= SEED):
-            spare = sizes[i] - max(1, int(np.ceil(self.need[i] / 2)))
-            places.append(found.at[i] + np.argsort(rarity[found.at[i] : found.at[i + 1] - 1], kind="stable")[:spare])
+            spare = sizes[i] - 1 - max(1, int(np.ceil(self.need[i] / 2)))
+            self.least[i] = 1 + int(MORE * (sizes[i] - 2 - spare))
+            places.append(found.at[i] + np.argsort(rarity[found.at[i] : found.at[i + 1] - 1], kind="stable")[: spare + self.least[i]])
         places = np.concatenate(places) if places else np.empty(0, np.int64)
-        tried = np.unique(np.concatenate([np.stack([x[places], item[places]]) for x in (self.near, self.far)], axis=1), axis=1)
+        tried = np.unique(np.concatenate([np.stack([x[places], places]) for x in (self.near, self.far)], axis=1), axis=1)
         tried = tried[:, tried[0] >= 0]
-        self.rare = tried[1]
+        self.owner, self.rare_place = item, tried[1]
         self.rare_at = np.searchsorted(tried[0], np.arange(len(self.distinct) + 1))
 
 
@@ -127,15 +132,33 @@ def align(item: np.ndarray, words: np.ndarray) -> tuple[float, int]:
     return best, end
 
 
+def rarest(doc: np.ndarray, which: np.ndarray, items: Items) -> np.ndarray:
+    """text * items + item of those texts that have, of the rarest places of an item, as many as an alignment must.
+    The pairs ``which`` are found in the texts ``doc``, in ascending order; texts are taken a few at a time."""
+    many = items.rare_at[which + 1] - items.rare_at[which]
+    out = [np.empty(0, np.int64)]
+    ends = np.flatnonzero(np.diff(doc, append=-1)) + 1
+    total = np.cumsum(many)[ends - 1] if len(ends) else ends
+    cuts = np.append(0, ends[np.flatnonzero(np.diff(total // RUN_BYTES, append=-1))])
+    for a, b in zip(cuts, cuts[1:]):
+        at = ranges(items.rare_at[which[a:b]], many[a:b])
+        # a place counts once, though both of its pairs may be there
+        place = np.unique(np.repeat(doc[a:b], many[a:b]) * len(items.near) + items.rare_place[at])
+        owner = place // len(items.near) * len(items.words) + items.owner[place % len(items.near)]
+        first = np.flatnonzero(np.diff(owner, prepend=-1))
+        held = np.diff(np.append(first, len(owner)))
+        owner = owner[first]
+        out.append(owner[held >= items.least[owner % len(items.words)]])
+    return np.concatenate(out)
+
+
 def candidates(hits: list[tuple[np.ndarray, np.ndarray]], items: Items) -> np.ndarray:
     """(text, item) as rows of two, sorted: those whose seeds, anywhere in the text, are enough for the threshold.
     ``hits`` are the texts and numbers of the pairs found with the next word and with the one after it."""
     n = len(items.distinct)
     sets = [np.unique(doc * n + which) for doc, which in hits]
     both = np.union1d(*sets)
-    which = both % n
-    many = items.rare_at[which + 1] - items.rare_at[which]
-    tried = np.unique(np.repeat(both // n, many) * len(items.words) + items.rare[ranges(items.rare_at[which], many)])
+    tried = rarest(both // n, both % n, items)
     doc, item = tried // len(items.words), tried % len(items.words)
     sizes = np.diff(items.at)[item]
     has = lambda keys, part: part[np.minimum(np.searchsorted(part, keys), len(part) - 1)] == keys if len(part) else np.zeros(len(keys), bool)

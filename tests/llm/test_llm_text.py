@@ -108,6 +108,19 @@ def test_bpe_matches_tiktoken(spark):
     assert bpe.encoded(frame(spark, []), RANKS).count() == 0
 
 
+def test_decoding_hangs_on_the_vocabulary(monkeypatch):
+    """Runs of tokens give the same bytes however short, and a token that the vocabulary lacks leaves a gap."""
+    codec = bpe.Codec(RANKS)
+    texts = [b"", "naïve words, naïve words".encode(), b"", b"plain text", b""]
+    ids, at = codec.encode(pa.array(texts, pa.binary()))
+    for run in (1, 3, 1 << 20):
+        monkeypatch.setattr(bpe, "RUN_TOKENS", run)
+        assert codec.decode(ids, at) == texts
+    codec.db.execute("DELETE FROM vocabulary WHERE tok = ?", [int(ids[0])])
+    spelled = {rank: token for token, rank in codec.ranks.items() if rank != ids[0]}
+    assert codec.decode(ids, at)[1] == b"".join(spelled.get(int(i), b"") for i in ids[at[1] : at[2]]) != texts[1]
+
+
 def test_token_files_match_the_library(spark):
     import numpy as np
     from tokenizers import Tokenizer
@@ -237,6 +250,33 @@ def test_decontamination_equals_full_alignment(spark):
     assert got == want
 
 
+def test_no_candidate_is_lost_by_the_rarest_places(monkeypatch):
+    """Whatever share of further places is looked up, and however short the runs, the candidates stay the same."""
+    rnd = random.Random(4)
+    word = lambda: f"w{int(rnd.paretovariate(0.6)) % 400}"
+    items = [[word() for _ in range(rnd.choice([4, 5, 9, 20, 40]))] for _ in range(60)]
+    texts = []
+    for _ in range(200):
+        own = [w if rnd.random() > 0.3 else word() for w in items[rnd.randrange(60)]]
+        texts.append(" ".join([*(word() for _ in range(rnd.randrange(60))), *own]))
+    found = decontam.Words(pa.array([t.encode() for t in texts], pa.binary()), decontam.alphanumeric())
+    want = None
+    for more, run in ((0, 1 << 20), (0.15, 1 << 20), (0.15, 50), (1, 1 << 20)):
+        monkeypatch.setattr(decontam, "MORE", more), monkeypatch.setattr(decontam, "RUN_BYTES", run)
+        own = decontam.Items(list(range(60)), [" ".join(i).encode() for i in items], 0.5)
+        got = list(decontam.matches(found, own, 0.5))
+        want = want or got
+        assert got == want and len(got) > 100
+
+
+def test_of_equal_passages_the_first_is_given(spark):
+    item = "alpha beta gamma delta epsilon zeta"
+    text = f"{item} and then again {item}"
+    docs, benchmark = frame(spark, [(1, text)]), spark.createDataFrame([(7, item)], "item_id long, text string")
+    rows = decontam.contaminated(docs, benchmark).collect()
+    assert [(r["score"], r["start"], r["end"]) for r in rows] == [(1.0, 0, len(item))]
+
+
 def test_decontamination_of_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     one = spark.createDataFrame([(1, "some words here and there")], "item_id long, text string")
