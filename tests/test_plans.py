@@ -184,3 +184,18 @@ def test_a_hot_product_is_split_above_the_broadcast_bound(spark, tmp_path):
             assert sum(sizes) == total and max(sizes) < total / 8, sorted(sizes)[-3:]
             assert back.drop("task").exceptAll(want).count() == 0
         assert counts.settle() == {"unmatched_facts": facts.count() - total}
+
+
+def test_audits_sum_each_frame_by_itself(spark):
+    """No daily row is tagged or unioned: what meets the union of the balances is one row of each frame."""
+    from pyspark.sql import functions as F
+
+    from stockroom.operators import compare_grains, densify_daily, reconcile_days
+
+    days = [F.lit(x).cast("date").alias(c) for c, x in (("StartDate", "1999-01-01"), ("EndDate", "1999-01-10"))]
+    iv = spark.range(5).select(F.col("id").cast("int").alias("ProductRootCode"), F.lit(1).alias("StoreId"), *days, F.lit(3).cast("long").alias("Stock"))
+    balance = reconcile_days(iv, densify_daily(iv, ("ProductRootCode", "StoreId")))
+    assert tuple(balance.first()) == (50, 50, True)
+    assert tuple(reconcile_days(iv.limit(0), densify_daily(iv, ("ProductRootCode", "StoreId"))).first()) == (0, 50, False)
+    for df in (balance, compare_grains(iv, iv)):
+        assert plan_counts(df)["Exchange"] == 2  # one for each frame's sum
