@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from stockroom import schemas
 from stockroom.config import FIXTURE_PERIOD, FIXTURE_PRICE_SCALE
-from stockroom.plans import run_pipeline
+from stockroom.operators import densify_daily
+from stockroom.operators.ledger import densify_by_year
+from stockroom.plans import pipeline, run_pipeline
 from stockroom.plans.incremental import RetailState
 from stockroom.sources import files, read_inputs, write_inputs
 from stockroom.sources.parquet import Inputs
@@ -214,3 +216,44 @@ def test_many_stores_share_partition_folders(spark, monkeypatch):
         again.apply("late", products, moved.where(late), sold.where(late))
     monkeypatch.undo()
     assert len(moves) == 4 and published(RetailState.open(spark, again.folder)) == published(whole)
+
+
+def test_days_before_the_quarter_of_a_batch_stay(spark, inputs, monkeypatch):
+    """Where a year's folder would hold more than a task's rows it is cut by quarter, and a batch rewrites from its quarter on."""
+    monkeypatch.setattr(pipeline, "DEFAULT_DAILY_ROWS_PER_TASK", 6_000)
+    new = (F.col("Date") > "2000-08-15") & (F.col("StoreId") <= 4)
+    first, movements, sales = parts(inputs, new)
+    state = RetailState.create(spark, tempfile.mkdtemp(prefix="stockroom-state-") + "/s", first, FIXTURE_PERIOD, FIXTURE_PRICE_SCALE)
+    before = file_times(state.folder, "daily")
+    assert before and all("/Quarter=" in name for name in before)
+    applied = state.apply("autumn", inputs.products, movements, sales)
+    assert published(state) == full(spark, inputs, "whole")
+    after = file_times(state.folder, "daily")
+    touched = {f"daily/Year=2000/StoreId={s}/Quarter={q}" for s in applied.stores for q in (3, 4)}
+    changed = {name.rpartition("/")[0] for name in before if after.get(name) != before[name]}
+    assert changed and changed <= touched
+    assert {name.rpartition("/")[0] for name in after if name not in before} <= touched
+
+    # all stock of a store taken away from spring on: its later quarters go, its year's folder stays; then its years go too
+    products = {r["ProductRootCode"]: r["ProductId"] for r in inputs.products.dropna().collect()}
+    place = f"{state.folder}/daily/Year=2000/StoreId={STORE}"
+    for batch, day, left in (("spring", d("2000-04-01"), ["Quarter=1"]), ("ever", d("1992-01-01"), None)):
+        drained = spark.createDataFrame([(STORE, p, day, -1_000_000) for p in products.values()], inputs.stock_movements.schema)
+        state.apply(batch, inputs.products, drained)
+        assert (sorted(os.listdir(place)) if os.path.isdir(place) else None) == left
+        assert state.table("daily_stock").where((F.col("StoreId") == STORE) & (F.col("Date") >= F.lit(day))).count() == 0
+    assert RetailState.open(spark, state.folder).about["quarters"] is True
+
+
+def test_quarters_of_days(spark):
+    """The rows by quarter are the daily rows, each in its quarter; a state from before there were quarters has none."""
+    days = [("1999-11-30", "2000-02-29"), ("2000-03-31", "2000-04-01"), ("2000-12-31", "2000-12-31"), ("2000-01-02", "2000-01-01")]
+    schema = "ProductRootCode int, StoreId int, StartDate date, EndDate date, Stock bigint"
+    iv = spark.createDataFrame([(i, 1, d(a), d(b), i + 5) for i, (a, b) in enumerate(days)], schema)
+    grain = ("ProductRootCode", "StoreId")
+    found = densify_by_year(iv, grain, 3, ["Year", "StoreId", "Quarter"])
+    want = densify_daily(iv, grain).withColumns({"Year": F.year("Date"), "Quarter": F.quarter("Date")})
+    assert found.columns == want.columns and collect_sorted(found) == collect_sorted(want) and want.count() == 95
+    folder = tempfile.mkdtemp(prefix="stockroom-state-")
+    files.write_text(spark, f"{folder}/_STATE", '{"period": ["1999-01-01", "2000-12-31"], "price_scale": 2, "products": "", "batches": []}')
+    assert {k: RetailState.open(spark, folder).about[k] for k in ("groups", "quarters")} == {"groups": 0, "quarters": False}
